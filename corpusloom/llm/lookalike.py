@@ -28,6 +28,7 @@ _MARKS = "\u0300-\u036f\u3099\u309a"
 #: What may need repair, for a filter inside the JVM: the above, and any letter of the scripts with look-alikes.
 SUSPECT = f"[{_INVISIBLE}{_SPACES}{_COMPAT}{_MARKS}\u0370-\u058f\ua4d0-\ua4ff]"
 
+_suspect = re.compile(SUSPECT)
 _invisible, _spaces = re.compile(f"[{_INVISIBLE}]"), re.compile(f"[{_SPACES}]")
 _compat, _marked = re.compile(f"[{_COMPAT}]+"), re.compile(f"[^{_MARKS}][{_MARKS}]+")
 _token = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -87,7 +88,7 @@ def repair(text: str) -> tuple[str, list[tuple[str, str]]]:
 
 def canonical(text: str) -> str:
     """The one consistent spelling of a text, for comparisons (mixed tokens repaired without a look at the corpus)."""
-    return text if text.isascii() else repair(text)[0]
+    return repair(text)[0] if not text.isascii() and _suspect.search(text) else text
 
 
 REPAIRED = "tbl string, row_id long, text string, repaired string, tokens array<struct<token:string,repaired:string>>"

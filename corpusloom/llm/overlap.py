@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.lookalike import canonical
-from corpusloom.session import checked_broadcast, materialize
+from corpusloom.session import checked_broadcast, materialize, written
 
 MIN_WORDS = 8
 #: At most a fifth of the words of the longer text may differ.
@@ -36,12 +36,17 @@ _BUCKET = 1 << 15
 
 _word = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
+_BLANKS = {i: " " for i in range(128) if not chr(i).isalnum()}
+
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters and digits with an apostrophe inside; letter case, punctuation and look-alike spellings aside."""
     if not text:
         return []
-    if not text.isascii():
+    if text.isascii():
+        if "'" not in text:
+            return text.lower().translate(_BLANKS).split()
+    else:
         text = canonical(text).replace("’", "'")
     return _word.findall(text.casefold())
 
@@ -93,8 +98,9 @@ def near(a: list[str], b: list[str]) -> bool:
 
 # A text of the index: n words, a 64-bit word signature, the words as 32-bit codes, the spans it contributes (place * 8 + length).
 INDEX = "id long, train boolean, n int, sig long, codes binary, picks binary"
-# A suffix entry: kind 0 where the query is the longer text, 1 where the training text is; key: a hash of its first words and of the kind.
-ENTRY = "kind int, key long, id long, n int, pos int, sig long"
+# A suffix entry. key: a hash of its first words and of its kind (0 where the query is the longer text, 1 where the
+# training text is); at: words of the text * 2^32 + place.
+ENTRY = "key long, id long, at long, sig long"
 
 
 def index(texts: DataFrame) -> DataFrame:
@@ -104,15 +110,14 @@ def index(texts: DataFrame) -> DataFrame:
         import numpy as np
         import xxhash
 
-        memo: dict[str, int] = {}
+        class Codes(dict):
+            def __missing__(self, w: str) -> int:
+                if len(self) > 300_000:
+                    self.clear()
+                h = self[w] = xxhash.xxh32_intdigest(w)
+                return h
 
-        def code(w: str) -> int:
-            h = memo.get(w)
-            if h is None:
-                if len(memo) > 300_000:
-                    memo.clear()
-                h = memo[w] = xxhash.xxh32_intdigest(w)
-            return h
+        code = Codes().__getitem__
 
         def emit(ids, train, sizes, flat) -> pa.RecordBatch:
             x, n = np.array(flat, np.uint32), np.array(sizes)
@@ -153,13 +158,19 @@ def span_hash(x, w: int):
 
     h = np.full(len(x), w, np.uint64)
     for j in range(w):
-        y = np.zeros(len(x), np.uint64)
+        y = np.zeros(len(x), np.uint32)
         y[: len(x) - j] = x[j:]
-        h = (h ^ y) * np.uint64(0x9FB21C651E98DF25)
-        h ^= h >> np.uint64(29)
+        h = _mix(h, y)
     return h
 
 
+def _mix(h, codes):
+    import numpy as np
+
+    h = (h ^ codes) * np.uint64(0x9FB21C651E98DF25)
+    return h ^ (h >> np.uint64(29))
+
+
 def choose_spans(x, n, start):
     """(place, length, spans per text): for each text of n words floor(n / PER) + 1 disjoint spans that are rarest together.
 
@@ -222,58 +233,94 @@ def _key(hashes, kind: int):
     return (hashes ^ np.uint64(kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).view(np.int64)
 
 
-def _entries(kinds: tuple[int, int], bitmaps: dict[int, tuple[int, bytes]] | None):
-    """A mapInArrow function over rows of the index: the entries of each text, its spans under ``kinds[0]`` and all its
-    suffixes under ``kinds[1]`` (-1: leave out). With ``bitmaps`` {kind: (slots, bits)}, entries whose slot of that kind
-    is not set are left out."""
+def _read(batch: pa.RecordBatch):
+    """Columns of an index batch (id, n, sig, codes, picks) as arrays: id, n, sig, codes, start, span places, span lengths, their text."""
+    import numpy as np
+
+    ident, n, sig = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+    n = n.astype(np.int64)
+    x = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32)
+    picks = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).astype(np.int64)
+    start = np.concatenate(([0], np.cumsum(n)[:-1])) if len(n) else n
+    return ident, n, sig, x, start, picks >> 3, picks & 7, np.repeat(np.arange(len(n)), n // PER + 1)
+
+
+def _span_keys(x, start, place, length, by, kind: int):
+    """Keys of the chosen spans alone."""
+    import numpy as np
+
+    keys = np.zeros(len(place), np.int64)
+    for w in SPANS:
+        mine = np.flatnonzero(length == w)
+        at = start[by[mine]] + place[mine]
+        h = np.full(len(at), w, np.uint64)
+        for j in range(w):
+            h = _mix(h, x[at + j])
+        keys[mine] = _key(h, kind)
+    return keys
+
+
+def _slots_of_spans(mask: int):
+    """A mapInArrow function: the presence slots of the spans of each text, under kind 0 for queries and 1 for training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        bits = {k: (s - 1, np.frombuffer(b, np.uint8)) for k, (s, b) in (bitmaps or {}).items()}
         for batch in batches:
-            ident, n, sig = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if not len(ident):
+            if batch.num_rows:
+                _, _, _, x, start, place, length, by = _read(batch)
+                side = batch.column(5).to_numpy(zero_copy_only=False).astype(np.int32)[by]
+                slot = np.where(side == 1, _span_keys(x, start, place, length, by, 1), _span_keys(x, start, place, length, by, 0)) & mask
+                yield pa.RecordBatch.from_arrays([pa.array(side), pa.array(slot)], names=["kind", "slot"])
+
+    return run
+
+
+def _entries(kinds: tuple[int, int], bitmaps: dict[int, tuple[int, bytes]], slots_only: bool = False):
+    """A mapInArrow function over rows of the index: the entries of each text, its spans under ``kinds[0]`` (-1: none) and
+    all its suffixes under ``kinds[1]``. Entries whose slot is not set in the bitmap {kind: (slots, bits)} of their
+    kind, if there is one, are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        bits = {k: (s - 1, np.frombuffer(b, np.uint8)) for k, (s, b) in bitmaps.items()}
+
+        def present(key, kind):
+            if kind not in bits:
+                return np.arange(len(key))
+            mask, held = bits[kind]
+            slot = key & mask
+            return np.flatnonzero((held[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            x = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32)
-            picks = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).astype(np.int64)
-            n = n.astype(np.int64)
-            start = np.concatenate(([0], np.cumsum(n)[:-1]))
+            ident, n, sig, x, start, place, length, by = _read(batch)
+            found = []
+            if kinds[0] >= 0:
+                key = _span_keys(x, start, place, length, by, kinds[0])
+                here = present(key, kinds[0])
+                found.append((key[here], by[here], place[here]))
             owner = np.repeat(np.arange(len(n)), n)
             pos = np.arange(len(x)) - start[owner]
-            by = np.repeat(np.arange(len(n)), n // PER + 1)
             for w in SPANS:
-                h = span_hash(x, w)
-                mine = (picks & 7) == w
-                for kind, o, p in ((kinds[0], by[mine], picks[mine] >> 3), (kinds[1], None, None)):
-                    if kind < 0:
-                        continue
-                    if o is None:
-                        fits = np.flatnonzero(pos + w <= n[owner])
-                        o, p = owner[fits], pos[fits]
-                    key = _key(h[start[o] + p], kind)
-                    if kind in bits:
-                        mask, held = bits[kind]
-                        slot = key & mask
-                        here = (held[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-                        o, p, key = o[here], p[here], key[here]
-                    if len(o):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(o), kind, np.int32)), pa.array(key), pa.array(ident[o]), pa.array(n[o].astype(np.int32)), pa.array(p.astype(np.int32)), pa.array(sig[o])],
-                            names=["kind", "key", "id", "n", "pos", "sig"],
-                        )
+                fits = np.flatnonzero(pos + w <= n[owner])
+                key = _key(span_hash(x, w)[fits], kinds[1])
+                here = present(key, kinds[1])
+                found.append((key[here], owner[fits[here]], pos[fits[here]]))
+            for key, o, p in found:
+                if slots_only:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kinds[1], np.int32)), pa.array(key & bits[kinds[1]][0])], names=["kind", "slot"])
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ident[o]), pa.array(n[o] << 32 | p), pa.array(sig[o])], names=["key", "id", "at", "sig"])
 
     return run
 
 
-def _run(rows: DataFrame, kinds: tuple[int, int], bitmaps=None) -> DataFrame:
-    return rows.select("id", "n", "sig", "codes", "picks").mapInArrow(_entries(kinds, bitmaps), ENTRY)
-
-
-def presence(keys: DataFrame, slots: int) -> dict[int, tuple[int, bytes]]:
-    """For kinds 0 and 1 a bitmap of ``slots`` bits: which slots the (kind, key) rows fall into. A fixed size to the driver."""
-    slot = F.col("key").bitwiseAND(F.lit(slots - 1))
-    per = keys.select("kind", F.shiftright(slot, 15).cast("int").alias("bucket"), slot.bitwiseAND(F.lit(_BUCKET - 1)).alias("bit"))
+def presence(slots_set: DataFrame, slots: int) -> dict[int, tuple[int, bytes]]:
+    """For kinds 0 and 1 a bitmap of ``slots`` bits, those of the (kind, slot) rows set. A fixed size to the driver."""
+    per = slots_set.select("kind", F.shiftright("slot", 15).cast("int").alias("bucket"), F.col("slot").bitwiseAND(F.lit(_BUCKET - 1)).alias("bit"))
     maps = per.groupBy("kind", "bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect()
     out = {k: bytearray(slots // 8) for k in (0, 1)}
     for r in maps:
@@ -305,18 +352,19 @@ def candidates(indexed: DataFrame) -> DataFrame:
     """(q, t, spans): each pair that shares a span and passes the bounds of length, place and word signature.
 
     ``indexed`` should be materialized. spans: how many shared spans reveal the pair."""
-    queries, train = indexed.where(~F.col("train")), indexed.where("train")
-    size = indexed.select(F.sum(F.floor(F.col("n") / PER) + 1)).first()[0] or 0
-    spans = _run(queries, (0, -1)).unionByName(_run(train, (1, -1))).select("kind", "key")
-    bitmaps = presence(spans, slots_for(size))
-    q = _run(queries, (0, 1), {1: bitmaps[1]})
+    rows = indexed.select("id", "n", "sig", "codes", "picks", "train")
+    queries, train = rows.where(~F.col("train")), rows.where("train")
+    slots = slots_for(rows.select(F.sum(F.floor(F.col("n") / PER) + 1)).first()[0] or 0)
+    spans = presence(rows.mapInArrow(_slots_of_spans(slots - 1), "kind int, slot long"), slots)
     # The training side's own spans meet only suffixes of queries: a second bitmap tells which of them can.
-    wanted = presence(_run(queries, (-1, 1), {1: bitmaps[1]}).select("kind", "key"), slots_for(size))
-    t = _run(train, (1, 0), {0: bitmaps[0], 1: wanted[1]})
+    wanted = presence(queries.mapInArrow(_entries((-1, 1), {1: spans[1]}, True), "kind int, slot long"), slots)
+    q = queries.mapInArrow(_entries((0, 1), {1: spans[1]}), ENTRY)
+    t = train.mapInArrow(_entries((1, 0), {0: spans[0], 1: wanted[1]}), ENTRY)
+    q = q.withColumn("n", F.shiftright("at", 32)).withColumn("pos", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)))
+    t = t.withColumn("n", F.shiftright("at", 32)).withColumn("pos", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)))
     k = F.floor(F.greatest("q.n", "t.n") / PER)
-    longer = F.when(F.col("q.kind") == 0, F.col("q.n") >= F.col("t.n")).otherwise(F.col("t.n") > F.col("q.n"))
     meet = (
-        (F.col("q.key") == F.col("t.key")) & (F.col("q.kind") == F.col("t.kind")) & longer
+        (F.col("q.key") == F.col("t.key"))
         & (F.abs(F.col("q.n") - F.col("t.n")) <= k) & (F.abs(F.col("q.pos") - F.col("t.pos")) <= k)
         & (F.bit_count(F.col("q.sig").bitwiseXOR(F.col("t.sig"))) <= 2 * k)
     )
@@ -345,21 +393,12 @@ def verified(pairs: DataFrame, queries: DataFrame, train: DataFrame) -> DataFram
             cols = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.int32()) for c in cols[2:])], names=["q", "t", "distance", "q_words", "t_words"])
 
-    # Only texts in a pair travel: the others fail a bitmap of bounded size (a few pass it by chance and meet no pair).
-    key = lambda c: F.xxhash64(c)
-    ids = pairs.select(F.lit(0).alias("kind"), key("q").alias("key")).unionByName(pairs.select(F.lit(1).alias("kind"), key("t").alias("key")))
-    slots = slots_for(pairs.count())
-    bits = presence(ids, slots)
-
-    def involved(df: DataFrame, kind: int) -> DataFrame:
-        held = df.sparkSession.createDataFrame([(bytearray(bits[kind][1]),)], "bits binary")
-        slot = F.xxhash64("id").bitwiseAND(F.lit(slots - 1))
-        byte = F.conv(F.hex(F.substring("bits", F.shiftright(slot, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        hit = F.getbit(byte, slot.bitwiseAND(F.lit(7)).cast("int")) == 1
-        return df.select("id", "text").crossJoin(F.broadcast(held)).where(hit).select("id", "text")
-
-    a = involved(queries, 0).select(F.col("id").alias("q"), F.col("text").alias("a"))
-    b = involved(train, 1).select(F.col("id").alias("t"), F.col("text").alias("b"))
+    # Only texts in a pair travel, if their ids are few enough to be broadcast.
+    def involved(df: DataFrame, side: str, name: str) -> DataFrame:
+        ids = checked_broadcast(pairs.select(F.col(side).alias("id")).distinct())
+        return df.join(ids, "id", "left_semi").select(F.col("id").alias(side), F.col("text").alias(name))
+
+    a, b = involved(queries, "q", "a"), involved(train, "t", "b")
     return pairs.select("q", "t").join(a, "q").join(b, "t").select("q", "t", "a", "b").mapInArrow(run, "q long, t long, distance int, q_words int, t_words int")
 
 
@@ -375,7 +414,7 @@ def near_copies(clips: DataFrame) -> DataFrame:
     members, others = copies(texts)
     one = texts.join(checked_broadcast(others), "id", "left_anti")
     queries, train = one.where(~F.col("train")).select("id", "text"), one.where("train").select("id", "text")
-    pairs = materialize(candidates(materialize(index(one))))
+    pairs = materialize(candidates(written(index(one))))
     close = verified(pairs, queries, train)
     qs = checked_broadcast(members.where(~F.col("train")).select(F.col("rep").alias("q"), F.col("id").alias("clip_id_q")))
     ts = checked_broadcast(members.where("train").select(F.col("rep").alias("t"), F.col("id").alias("clip_id_t")))
