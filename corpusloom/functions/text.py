@@ -6,6 +6,8 @@ lists or strings, unless a function says otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -199,7 +201,8 @@ def clean_title(title: Column) -> Column:
         less = F.regexp_replace(F.regexp_replace(t, "(?i)" + EPISODE_MARK, ""), r"[ |\-–]+$", "")
         return F.when(less == "", t).otherwise(less)
 
-    return F.trim(F.aggregate(F.sequence(F.lit(1), F.lit(TITLE_ROUNDS)), F.regexp_replace(title, SHORTS_TAG, ""), step))
+    bare = F.aggregate(F.sequence(F.lit(1), F.lit(TITLE_ROUNDS)), F.regexp_replace(title, SHORTS_TAG, ""), step)
+    return F.regexp_replace(bare, r"(?U)^\s+|\s+$", "")
 
 
 def without_boilerplate(text: Column) -> Column:
@@ -223,10 +226,19 @@ def clean_description(text: Column, title: Column, most: int | None = None) -> C
     return clean if most is None else F.regexp_replace(F.substring(clean, 1, most), r"\s+$", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once: a lambda variable, not an expression copied into each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_ngrams(words: Column, n: int) -> Column:
     """All runs of ``n`` words joined by blanks; an empty list for fewer words (sequence would count down)."""
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    def grams(w: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= n, runs).when(w.isNotNull(), F.array().cast("array<string>"))
+
+    return let(words, grams)
 
 
 def pack_sentences(parts: Column, most: int, joiner: int = 1) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.stats import upper_median
-from corpusloom.functions.text import word_ngrams
+from corpusloom.functions.text import let, word_ngrams
 
 # What the gates are calibrated to.
 LOOP_NGRAM, COVERAGE_FLOOR, BLOAT_CEILING = 6, 0.85, 1.5
@@ -16,8 +16,7 @@ TOKENS_PER_SECOND, SEQUENCE, TEXT_RESERVE = 82.5, 2048, 256
 
 def has_repeat(words: Column, n: int = LOOP_NGRAM) -> Column:
     """Some run of ``n`` words stands twice."""
-    grams = word_ngrams(words, n)
-    return F.size(F.array_distinct(grams)) < F.size(grams)
+    return let(word_ngrams(words, n), lambda grams: F.size(F.array_distinct(grams)) < F.size(grams))
 
 
 def repeated_ngrams(df: DataFrame, key: str, words: Column, n: int = LOOP_NGRAM) -> DataFrame:
