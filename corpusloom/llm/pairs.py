@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.wordtrie import last_words, word_counts
+from corpusloom.session import materialize
 
 # Words that stand for a missing title, compared without case and outer signs.
 STAND_INS = frozenset(
@@ -320,7 +321,7 @@ def defective_pairs(verdicts: DataFrame, descriptions: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=["verdict_id", "defect", "token"])
 
     pairs = pair_texts(verdicts, descriptions).withColumn("verdict_id", F.col("verdict_id").cast("long"))
-    found = pairs.mapInArrow(run, FEATURES)
+    found = materialize(pairs.mapInArrow(run, FEATURES))
     titles = verdicts.select(F.explode("titles").alias("title")).select(_without_tail(F.col("title")).alias("title"))
     counts = word_counts(titles, drop_last=False)
     words = last_words(found.where(F.col("defect").isNull()), counts)
