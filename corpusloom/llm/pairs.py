@@ -56,7 +56,7 @@ _DOTS = re.compile(r"(?:…|\.{2,})\s*$")
 _SENTENCE = re.compile(r"[^.!?。！？…\n]+[.!?。！？…]*")
 _NAMES = ("empty", "truncated", "refusal", "copied", "other_language")
 
-#: Words a match in the automaton must have, share of the title that matches must cover, share of a sentence that must be covered.
+#: Words some match must have (the others one less), share of the title that matches must cover, share of a sentence that must be covered.
 SEED, TITLE_SHARE, SENTENCE_SHARE, SENTENCE_WORDS = 3, 0.6, 0.67, 4
 
 
@@ -214,7 +214,7 @@ def copied(title: str, description: str) -> bool:
         if w:
             bounds.append((len(all_words), len(all_words) + len(w)))
             all_words += w
-    runs = SuffixAutomaton(all_words).matches(words, SEED)
+    runs = SuffixAutomaton(all_words).matches(words, SEED - 1)
     if sum(n for *_, n in runs) < TITLE_SHARE * len(words):
         return False
     hit = set()

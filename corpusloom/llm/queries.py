@@ -100,7 +100,7 @@ def oracle_sql() -> dict[str, str]:
     lines = r"""
         WITH d AS (SELECT video_id, channel, string_split(snippet.description, chr(10)) AS ls FROM descriptions WHERE snippet.description IS NOT NULL),
         l AS (SELECT video_id, channel, unnest(ls) AS t, unnest(range(1, 1 + len(ls))) AS line_no FROM d),
-        k AS (SELECT video_id, channel, line_no, trim(lower(upper(regexp_replace(t, '[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')))) AS k FROM l),
+        k AS (SELECT video_id, channel, line_no, replace(trim(lower(regexp_replace(t, '[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'))), 'ß', 'ss') AS k FROM l),
         c AS (SELECT channel, count(*) AS n FROM d GROUP BY channel),
         h AS (SELECT k.channel, k.k FROM k JOIN c ON c.channel IS NOT DISTINCT FROM k.channel WHERE k.k <> '' GROUP BY k.channel, k.k, c.n
               HAVING count(DISTINCT video_id) >= 5 AND count(DISTINCT video_id) >= 0.05 * c.n)"""

@@ -17,8 +17,8 @@ SLACK = 0.5
 
 
 def line_key(line: Column) -> Column:
-    """The form in which two lines are compared: no letter case, no outer white space, one blank for inner white space."""
-    return F.lower(F.upper(F.trim(F.regexp_replace(line, r"(?U)[\s\u001c-\u001f]+", " "))))
+    """The form in which two lines are compared: no letter case (capitals of ß are SS), no outer white space, one blank for inner white space."""
+    return F.replace(F.lower(F.trim(F.regexp_replace(line, r"(?U)[\s\u001c-\u001f]+", " "))), F.lit("ß"), F.lit("ss"))
 
 
 def lines_of(df: DataFrame, key: str, source: Column, text: Column) -> DataFrame:

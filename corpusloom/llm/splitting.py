@@ -98,7 +98,7 @@ def split_item(text: str | None, seconds: float | None, max_chars: int | None, m
         limit = min(limit, int(n * max_seconds / seconds))
     if n == 0 or limit < 1:
         edges = [n * i // slices for i in range(slices + 1)]
-        return [(text and text[a:b], a, b, a, seconds / slices) for a, b in zip(edges, edges[1:])]
+        return [(text and text[a:b], a, b, a, None if seconds is None else seconds / slices) for a, b in zip(edges, edges[1:])]
     parts = split_text(text, limit, overlap or 0)
     return [(text[s:b], s, b, a, None if seconds is None else seconds * (b - a) / n) for s, a, b in parts]
 

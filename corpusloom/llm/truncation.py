@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.wordtrie import WORD, last_words, word_counts
+from corpusloom.session import materialize
 
 _CLOSERS = "\"'”’»›)]』」*_`"
 _TERMINAL = ".!?。！？"
@@ -152,7 +153,7 @@ def truncated(documents: DataFrame) -> DataFrame:
     where words alone do not, and lengths at which a source's texts pile up are combined with them. Whole texts are
     read; the vocabulary, the trie and the lengths are tables of any size. A null source is a source of its own."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "kind", "text")
-    e = endings(texts)
+    e = materialize(endings(texts))
     words = last_words(e.where(F.col("token") != ""), word_counts(documents.select("text")))
     limits = length_limits(e)
     no = F.lit(False)

@@ -23,7 +23,7 @@ KNOWN_LAST, KNOWN_LAST_SHARE = 3, 0.03
 
 def word_counts(texts: DataFrame, drop_last: bool = True) -> DataFrame:
     """word (lower case), n, n_end of the one text column of ``texts``: how often it stands in them and how often at
-    the end of a sentence. ``drop_last``: the last word of each text is not counted, as it may be cut; else it is
+    the end of a sentence. A last word without a sentence end may be cut: it is not counted, or, unless ``drop_last``,
     counted in n_last. Null and empty texts have no words. Counts of parts add up; whole texts are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,9 +46,9 @@ def word_counts(texts: DataFrame, drop_last: bool = True) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 if text:
                     words = WORD.findall(text.lower())
-                    if words:
+                    if words and words[-1][-1] not in _ENDS:
                         last[words.pop()] += 1
-                        seen.update(words)
+                    seen.update(words)
             if len(seen) > FLUSH:
                 yield flush()
                 seen.clear()
@@ -57,7 +57,7 @@ def word_counts(texts: DataFrame, drop_last: bool = True) -> DataFrame:
 
     parts = texts.mapInArrow(run, "word string, n long, n_end long, n_last long")
     counts = parts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_end").alias("n_end"), F.sum("n_last").alias("n_last"))
-    return counts.drop("n_last") if drop_last else counts
+    return counts.drop("n_last").where("n > 0") if drop_last else counts
 
 
 def last_words(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
