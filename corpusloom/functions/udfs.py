@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.text import number_words
 
@@ -50,12 +51,12 @@ def html_parts(html: str) -> tuple[str, list[str]]:
     return "".join(p.out), [h for h in p.headings if h]
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def html_text(a: pa.Array) -> pa.Array:
     return pa.array([None if x is None else html_parts(x)[0] for x in a.to_pylist()], pa.string())
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(T.ArrayType(T.StringType()))
 def html_headings(a: pa.Array) -> pa.Array:
     return pa.array([None if x is None else html_parts(x)[1] for x in a.to_pylist()], pa.list_(pa.string()))
 
@@ -68,7 +69,7 @@ def ratio(a, b, autojunk: bool = False) -> float:
 def text_ratio(a: Column, b: Column) -> Column:
     """F11 on characters, no junk heuristic; null if either is null."""
 
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
         return pa.array([None if p is None or q is None else ratio(p, q) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
 
@@ -78,7 +79,7 @@ def text_ratio(a: Column, b: Column) -> Column:
 def token_ratio(a: Column, b: Column, autojunk: bool = True) -> Column:
     """F11 on token lists."""
 
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
         return pa.array([None if p is None or q is None else ratio(p, q, autojunk) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
 
@@ -101,7 +102,7 @@ def longest_common(a: list, b: list) -> int:
 def lcs_length(a: Column, b: Column) -> Column:
     """F10 on token lists; null if either is null."""
 
-    @F.arrow_udf("int")
+    @F.arrow_udf(T.IntegerType())
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
         return pa.array([None if p is None or q is None else longest_common(p, q) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.int32())
 
@@ -161,12 +162,12 @@ def regnal_names(text: str) -> tuple[str, int]:
     return _NAME.sub(say, _POPE.sub(say, text)), changed
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def scripture(a: pa.Array) -> pa.Array:
     return pa.array([None if x is None else spoken_scripture(x) for x in a.to_pylist()], pa.string())
 
 
-@F.arrow_udf("struct<text:string,changed:int>")
+@F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("changed", T.IntegerType())]))
 def regnal(a: pa.Array) -> pa.Array:
     rows = [(None, None) if x is None else regnal_names(x) for x in a.to_pylist()]
     return pa.array([{"text": t, "changed": n} for t, n in rows], pa.struct([("text", pa.string()), ("changed", pa.int32())]))
@@ -185,7 +186,7 @@ def word_error_rate(want: list[str], got: list[str]) -> float:
 
 
 def wer(want: Column, got: Column) -> Column:
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
         return pa.array([None if p is None or q is None else word_error_rate(p, q) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
 
