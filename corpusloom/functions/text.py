@@ -52,6 +52,11 @@ def number_words_column(n: Column) -> Column:
     return F.when((n >= 0) & (n <= 9999), F.concat_ws(" ", thousand, hundred, ten, one)).otherwise(none)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once: a lambda variable, not an expression copied into each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[ \t\n\r\f\x0B]+", " "))
 
@@ -199,7 +204,7 @@ def clean_title(title: Column) -> Column:
 
     def step(t: Column, _: Column) -> Column:
         less = F.regexp_replace(F.regexp_replace(t, "(?i)" + EPISODE_MARK, ""), r"[ |\-–]+$", "")
-        return F.when(less == "", t).otherwise(less)
+        return let(less, lambda x: F.when(x == "", t).otherwise(x))
 
     bare = F.aggregate(F.sequence(F.lit(1), F.lit(TITLE_ROUNDS)), F.regexp_replace(title, SHORTS_TAG, ""), step)
     return F.regexp_replace(bare, r"(?U)^\s+|\s+$", "")
@@ -214,10 +219,14 @@ def without_boilerplate(text: Column) -> Column:
 
 def without_title_echo(text: Column, title: Column) -> Column:
     """Without a first line that equals, begins or is begun by the title, both normalised."""
-    first, key = title_key(F.split(text, "\n", 2)[0]), title_key(title)
-    echo = (first != "") & (key != "") & (first.startswith(key) | key.startswith(first))
-    rest = F.coalesce(F.get(F.split(text, "\n", 2), F.lit(1)), F.lit(""))
-    return F.when(echo, F.regexp_replace(rest, r"^\s+|\s+$", "")).otherwise(text)
+    echoes = lambda x: (x["f"] != "") & (x["k"] != "") & (x["f"].startswith(x["k"]) | x["k"].startswith(x["f"]))
+
+    def strip(t: Column) -> Column:
+        keys = F.struct(title_key(F.substring_index(t, "\n", 1)).alias("f"), title_key(title).alias("k"))
+        rest = F.when(F.contains(t, F.lit("\n")), F.regexp_replace(F.regexp_replace(t, r"^[^\n]*\n", ""), r"^\s+|\s+$", "")).otherwise(F.lit(""))
+        return F.when(let(keys, echoes), rest).otherwise(t)
+
+    return let(text, strip)
 
 
 def clean_description(text: Column, title: Column, most: int | None = None) -> Column:
@@ -226,11 +235,6 @@ def clean_description(text: Column, title: Column, most: int | None = None) -> C
     return clean if most is None else F.regexp_replace(F.substring(clean, 1, most), r"\s+$", "")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once: a lambda variable, not an expression copied into each use."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def word_ngrams(words: Column, n: int) -> Column:
     """All runs of ``n`` words joined by blanks; an empty list for fewer words (sequence would count down)."""
 

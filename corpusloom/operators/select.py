@@ -19,9 +19,11 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def chronological_split(df: DataFrame, order: list[str], share: float) -> DataFrame:
-    """The newest max(1, round(n * share)) rows are 'eval', the others 'train'."""
+    """The newest max(1, round(n * share)) rows are 'eval', the others 'train'. ``order`` must be total."""
     k = F.greatest(F.lit(1), F.bround(F.col("total_rows") * F.lit(share)))
-    return numbered(df, order).withColumn("split", F.when(F.col("row") >= F.col("total_rows") - k, "eval").otherwise("train")).drop("row", "total_rows")
+    # Only the order keys are sorted; the one row at the edge is broadcast and every row compares itself with it.
+    edge = numbered(df.select(*order), order).where(F.col("row") == F.col("total_rows") - k).select(F.struct(*order).alias("_edge"))
+    return df.crossJoin(F.broadcast(edge)).withColumn("split", F.when(F.struct(*order) >= F.col("_edge"), "eval").otherwise("train")).drop("_edge")
 
 
 def even_spread(df: DataFrame, order: list[str], share: float) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.stats import percent_below_scaled
-from corpusloom.functions.text import clean_description, clean_title
+from corpusloom.functions.text import clean_title, without_boilerplate, without_title_echo
 from corpusloom.operators.select import chronological_split
+from corpusloom.session import materialize
 
 # Who is rated, and the tiers by percent of the group strictly below.
 LEAST_IMPRESSIONS, TOP, STRONG, TYPICAL, LEAST_CONTENT, EVAL_SHARE = 1000, 90, 70, 30, 60, 0.08
@@ -31,17 +32,20 @@ def tiers(rows: DataFrame, group: list[str]) -> DataFrame:
 
 
 def title_rows(videos: DataFrame, verdicts: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """The latest verdict of each video with its format, channel, tier and page text (null without one)."""
+    """The latest verdict of each video with its format, channel, tier, has_page and page (its text without
+    boilerplate, taken out before the join so that less is shuffled; null without a text)."""
     v = latest(videos.select("video_id", "channel", "format", "published_at", "loaded_at"), ["video_id"], ["loaded_at"]).drop("loaded_at")
     d = latest(verdicts.select("video_id", "verdict_id", "titles", "lifetime", "loaded_at"), ["video_id"], ["loaded_at", "verdict_id"]).drop("loaded_at")
-    return tiers(d.join(v, "video_id"), ["channel", "format"]).join(descriptions.select("video_id", "snippet"), "video_id", "left")
+    pages = descriptions.select("video_id", F.col("snippet").isNotNull().alias("has_page"), without_boilerplate(F.col("snippet.description")).alias("page"))
+    return tiers(d.join(v, "video_id"), ["channel", "format"]).join(pages, "video_id", "left")
 
 
 def examples(videos: DataFrame, verdicts: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Text examples: video_id, verdict_id, channel, format, tier, title, content, published_at, split. Videos without a
     snippet, a title or LEAST_CONTENT characters of content are left out (``backfill`` lists the last)."""
     rows = _cleaned(title_rows(videos, verdicts, descriptions)).where(F.length("content") >= LEAST_CONTENT)
-    return chronological_split(rows.select("video_id", "verdict_id", "channel", "format", "tier", "title", "content", "published_at"), ["published_at", "video_id"], EVAL_SHARE)
+    ready = materialize(rows.select("video_id", "verdict_id", "channel", "format", "tier", "title", "content", "published_at"))  # a global order reads its input twice
+    return chronological_split(ready, ["published_at", "video_id"], EVAL_SHARE)
 
 
 def backfill(videos: DataFrame, verdicts: DataFrame, descriptions: DataFrame) -> DataFrame:
@@ -51,9 +55,9 @@ def backfill(videos: DataFrame, verdicts: DataFrame, descriptions: DataFrame) ->
 
 
 def _cleaned(rows: DataFrame) -> DataFrame:
-    usable = rows.where(F.col("snippet").isNotNull() & (F.size("titles") > 0) & F.element_at("titles", -1).isNotNull())
+    usable = rows.where(F.col("has_page") & (F.size("titles") > 0) & F.element_at("titles", -1).isNotNull())
     titled = usable.withColumn("title", clean_title(F.element_at("titles", -1)))
-    return titled.withColumn("content", clean_description(F.coalesce("snippet.description", F.lit("")), F.col("title")))
+    return titled.withColumn("content", without_title_echo(F.coalesce("page", F.lit("")), F.col("title")))
 
 
 def messages(df: DataFrame, system: str = "Write a title for the video.") -> DataFrame:

@@ -14,11 +14,11 @@ from corpusloom.sources import vtt
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where(F.col("text").isNotNull())
+    return table(spark, d, "documents", spread=True).where(F.col("text").isNotNull())
 
 
 def _clips(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "clips")
+    return table(spark, d, "clips", spread=True)
 
 
 def _words(spark: SparkSession, d: str) -> DataFrame:

@@ -42,7 +42,7 @@ def _clean_title_sql(title: str) -> str:
 
 
 def _tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return table(spark, d, "videos"), table(spark, d, "verdicts"), table(spark, d, "descriptions")
+    return table(spark, d, "videos"), table(spark, d, "verdicts"), table(spark, d, "descriptions", spread=True)
 
 
 @query("WITH " + _LATEST + " SELECT v.video_id, v.channel, v.format, v.published_at FROM v")
@@ -92,7 +92,7 @@ _BOILER = text.BOILERPLATE.replace("'", "''")
 def boilerplate_filter(spark, d):
     """P5: lines of each description, and those that are links, labels or plugs."""
     lines = F.split("snippet.description", r"\r\n|\n|\r")
-    rows = table(spark, d, "descriptions").where(F.col("snippet.description").isNotNull())
+    rows = table(spark, d, "descriptions", spread=True).where(F.col("snippet.description").isNotNull())
     bad = F.filter(lines, lambda x: x.rlike("(?i)" + text.BOILERPLATE))
     return rows.select("video_id", F.size(lines).cast("long").alias("lines"), F.size(bad).cast("long").alias("dropped"))
 
@@ -103,7 +103,7 @@ def boilerplate_filter(spark, d):
     SELECT video_id, f <> '' AND t <> '' AND (starts_with(f, t) OR starts_with(t, f)) AS echo FROM k WHERE f IS NOT NULL AND t IS NOT NULL""")
 def title_echo(spark, d):
     """Does the first line of a description echo its title."""
-    rows = table(spark, d, "descriptions").where(F.col("snippet.description").isNotNull() & F.col("snippet.title").isNotNull())
+    rows = table(spark, d, "descriptions", spread=True).where(F.col("snippet.description").isNotNull() & F.col("snippet.title").isNotNull())
     f, t = text.title_key(F.split("snippet.description", "\n")[0]), text.title_key(F.col("snippet.title"))
     return rows.select("video_id", ((f != "") & (t != "") & (f.startswith(t) | t.startswith(f))).alias("echo"))
 
@@ -114,7 +114,7 @@ def title_echo(spark, d):
     FROM descriptions WHERE snippet.description IS NOT NULL""")
 def junk_audit(spark, d):
     """Descriptions as summaries, the bytes of the title as the size of their source."""
-    rows = table(spark, d, "descriptions").where(F.col("snippet.description").isNotNull())
+    rows = table(spark, d, "descriptions", spread=True).where(F.col("snippet.description").isNotNull())
     return rows.select("video_id", gates.junk_reason(F.col("snippet.description"), F.octet_length("snippet.title"), 150, 60).alias("reason"))
 
 

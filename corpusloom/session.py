@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table ``name`` of the directory ``sf_dir`` (a file or a folder of parts)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Parquet table ``name`` of the directory ``sf_dir`` (a file or a folder of parts).
+
+    ``spread``: for work that is heavy per row, a table of fewer partitions than half the cores (one small file) is
+    dealt out to all of them first; any larger table is read as it is."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
