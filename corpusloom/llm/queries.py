@@ -14,17 +14,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return pairs.defective_pairs(table(spark, d, "verdicts"), table(spark, d, "descriptions"))
+    return pairs.defective_pairs(table(spark, d, "verdicts"), table(spark, d, "descriptions", spread=True))
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     """Defects by channel of the description."""
-    where = table(spark, d, "verdicts").select("verdict_id", "video_id").join(table(spark, d, "descriptions").select("video_id", "channel"), "video_id")
+    where = table(spark, d, "verdicts").select("verdict_id", "video_id").join(table(spark, d, "descriptions", spread=True).select("video_id", "channel"), "video_id")
     return p1_found(spark, d).join(where, "verdict_id").groupBy("channel", "defect").agg(F.count("*").alias("pairs"))
 
 
 def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
-    return splitting.split_clips(table(spark, d, "clips"), table(spark, d, "profiles"))
+    return splitting.split_clips(table(spark, d, "clips", spread=True), table(spark, d, "profiles"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -37,16 +37,16 @@ def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return overlap.found(table(spark, d, "clips"))
+    return overlap.found(table(spark, d, "clips", spread=True))
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
-    clips = table(spark, d, "clips")
+    clips = table(spark, d, "clips", spread=True)
     return overlap.report(clips, overlap.near_copies(clips))
 
 
 def _p5(spark: SparkSession, d: str) -> DataFrame:
-    return lookalike.normalize([("clips", table(spark, d, "clips"), "clip_id", "text"), ("anchored_words", table(spark, d, "anchored_words"), "word_id", "word")])
+    return lookalike.normalize([("clips", table(spark, d, "clips", spread=True), "clip_id", "text"), ("anchored_words", table(spark, d, "anchored_words", spread=True), "word_id", "word")])
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -58,7 +58,7 @@ def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p6(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    df = table(spark, d, "descriptions")
+    df = table(spark, d, "descriptions", spread=True)
     return (df, *site_lines.repeated_lines(df, "video_id", F.col("channel"), F.col("snippet.description")))
 
 
@@ -72,11 +72,11 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
-    return bpe.encode_ids(table(spark, d, "documents"))
+    return bpe.encode_ids(table(spark, d, "documents", spread=True))
 
 
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack_documents(table(spark, d, "documents"), table(spark, d, "profiles"))
+    return packing.pack_documents(table(spark, d, "documents", spread=True), table(spark, d, "profiles"))
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -84,11 +84,11 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.truncated(table(spark, d, "documents")).where("truncated").select("doc_id")
+    return truncation.truncated(table(spark, d, "documents", spread=True)).where("truncated").select("doc_id")
 
 
 def p9_by_source(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.by_source(truncation.truncated(table(spark, d, "documents")))
+    return truncation.by_source(truncation.truncated(table(spark, d, "documents", spread=True)))
 
 
 def queries() -> dict[str, Query]:
