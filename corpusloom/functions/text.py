@@ -165,7 +165,7 @@ def closed_sentences(text: Column) -> Column:
 def tail_seconds(text: Column, comma: float = 0.2, stop: float = 0.4) -> Column:
     """the pause a text wants after it, from its last sign (one closing quote aside)."""
     bare = F.regexp_replace(F.rtrim(text), "[\"”’']$", "")
-    return F.when(bare.rlike("[,;:—-]$"), comma).otherwise(stop)
+    return F.when(bare.rlike("[,;:—-]$"), comma).when(text.isNotNull(), stop)
 
 
 def seconds_of(stamp: Column) -> Column:

@@ -56,7 +56,7 @@ def shuffled_holdout(df: DataFrame, key: str, n: int, seed: int = 3407) -> DataF
     """The ``n`` rows least in hash order are 'eval'; ties by key. Fails, by a row error, if n >= rows."""
     rows = numbered(df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), ["_h", key])
     ok = F.assert_true(F.col("total_rows") > n, F.lit("the hold-out takes all rows"))
-    return rows.withColumn("split", F.when(ok.isNull() & (F.col("row") < n), "eval").otherwise("train")).drop("row", "total_rows", "_h")
+    return rows.where(ok.isNull()).withColumn("split", F.when(F.col("row") < n, "eval").otherwise("train")).drop("row", "total_rows", "_h")
 
 
 def round_robin(df: DataFrame, group: str, order: list[str], per_group: int) -> DataFrame:
