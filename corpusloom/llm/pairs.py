@@ -295,7 +295,7 @@ def inspect(title: str | None, description: str) -> tuple[str | None, str]:
 
 
 #: A word ends no title if it stands in this many and is last in less than this share of them.
-SEEN, LAST_SHARE = 30, 0.02
+SEEN, LAST_SHARE = 30, 0.03
 
 
 def pair_texts(verdicts: DataFrame, descriptions: DataFrame) -> DataFrame:
