@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,17 +19,46 @@ def percentile(x: Column, p: float) -> Column:
 
 
 def upper_median(x: Column) -> Column:
-    """The value at index n // 2 of the sorted values (from 0); null for an empty group. The group's values are held together."""
+    """The value at index n // 2 of the sorted values (from 0); null for an empty group. Holds the group's values
+    together: for groups of a bounded size only, else ``order_statistics``."""
     values = F.sort_array(F.collect_list(x))
     return F.get(values, F.floor(F.size(values) / 2).cast("int"))
 
 
 def nearest_rank(x: Column, p: float) -> Column:
-    """The value at index round(p * (n - 1)), half to even; null for an empty group."""
+    """The value at index round(p * (n - 1)), half to even; null for an empty group.
+    For groups of a bounded size only, else ``order_statistics``."""
     values = F.sort_array(F.collect_list(x))
     return F.get(values, F.bround((F.size(values) - 1) * F.lit(p)).cast("int"))
 
 
+def order_statistics(df: DataFrame, by: list[str], value: str, picks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """by and, for each pick, the value at index ``pick(n)`` (from 0) of the group's n sorted values; nulls left out.
+
+    For groups of any size: value counts come first, the window runs over distinct values. Without ``by`` even those
+    are spread over range partitions, so no task holds the table. A group without values has no row."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    if by:
+        w = Window.partitionBy(*by)
+        before = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+        rows = counts.withColumn("before", before).withColumn("total", F.sum("_n").over(w))
+    else:
+        from corpusloom.operators.intervals import global_running
+
+        rows = global_running(counts, [value], "_n")
+    at = lambda f: (f(F.col("total")) >= F.col("before")) & (f(F.col("total")) < F.col("before") + F.col("_n"))
+    found = rows.groupBy(*by).agg(F.count("*").alias("_values"), *(F.max(F.when(at(f), F.col(value))).alias(k) for k, f in picks.items()))
+    return found.where("_values > 0").drop("_values")
+
+
+def upper_index(n: Column) -> Column:
+    return F.floor(n / 2)
+
+
+def nearest_index(p: float) -> Callable[[Column], Column]:
+    return lambda n: F.bround((n - 1) * F.lit(p))
+
+
 def percent_below(value: Column, *group: str) -> Column:
     """100 * (rows strictly below) / rows of the group: neither percent_rank nor cume_dist."""
     w = Window.partitionBy(*group)
@@ -63,12 +94,15 @@ def equal_bins(df: DataFrame, value: str, bins: int) -> DataFrame:
     return df.where(x.isNotNull()).crossJoin(F.broadcast(ends)).groupBy(bin_.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def chrono_parts(df: DataFrame, order: list[Column], parts: int, group: list[str]) -> DataFrame:
-    """``df`` with part (from 0): rows [d * n // parts, (d + 1) * n // parts) of each group in order; not ntile."""
-    w = Window.partitionBy(*group)
-    i, n = F.row_number().over(w.orderBy(*order)) - 1, F.count("*").over(w)
-    # The d with floor(d n / parts) <= i < floor((d + 1) n / parts) is ceil((i + 1) parts / n) - 1.
-    return df.withColumn("part", (F.ceil((i + 1) * parts / n) - 1).cast("int"))
+def chrono_parts(df: DataFrame, order: list[str], parts: int, group: list[str]) -> DataFrame:
+    """``df`` with part (from 0): rows [d * n // parts, (d + 1) * n // parts) of each group in order; not ntile.
+
+    Groups may be of any size (see ``grouped_running``); ``order`` must be total."""
+    from corpusloom.operators.intervals import grouped_running
+
+    rows = grouped_running(df.withColumn("_one", F.lit(1)), group, order, "_one")
+    # The d with floor(d n / parts) <= row < floor((d + 1) n / parts) is ceil((row + 1) parts / n) - 1.
+    return rows.withColumn("part", (F.ceil((F.col("row") + 1) * parts / F.col("rows")) - 1).cast("int")).drop("_one", "before", "row", "total", "rows")
 
 
 def topk_share(df: DataFrame, key: str, group: list[str], k: int = 3) -> DataFrame:

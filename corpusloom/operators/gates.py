@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.stats import upper_median
+from corpusloom.functions.stats import order_statistics, upper_index
 from corpusloom.functions.text import let, word_ngrams
 
 # What the gates are calibrated to.
@@ -29,7 +29,9 @@ def loop_gate(df: DataFrame, failed: Column, said: Column, coverage: Column, sec
     the upper median of the rendered rows with text (a one-row aggregate, broadcast)."""
     per = seconds / F.length(text)
     use = ~failed & (F.length(text) > 0)
-    ref = df.agg(upper_median(F.when(use, per)).alias("_ref"))
+    values = df.select(F.when(use, per).alias("_per"))
+    ref = order_statistics(values, [], "_per", {"_ref": upper_index})
+    ref = values.sparkSession.range(1).select(F.lit(None).cast("double").alias("_none")).join(ref, F.lit(True), "left").drop("_none")  # one row, also for no values
     bloat = F.coalesce(F.when(F.length(text) > 0, per / F.col("_ref")), F.lit(1.0))
     verdict = F.when(failed, "FAIL").when(has_repeat(said), "LOOP").when(coverage < COVERAGE_FLOOR, "DROP").when(bloat > BLOAT_CEILING, "BLOAT").otherwise("ok")
     return df.crossJoin(F.broadcast(ref)).withColumn("bloat", bloat).withColumn("verdict", verdict).drop("_ref")

@@ -131,12 +131,10 @@ def sized_parts(df: DataFrame, by: list[str], order: list[str], size: str, parts
 
     Exact for items smaller than total / parts. Without ``by`` the whole table is one sequence: sizes are added up
     per range partition first, so no task holds all rows."""
-    w = Window.partitionBy(*by) if by else None
-    if w is None:
+    if not by:
         return _global_parts(df, order, size, parts)
-    before = F.coalesce(F.sum(size).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum(size).over(w)
-    return df.withColumn("part", F.least(F.lit(parts - 1), F.floor(before * parts / total)).cast("int"))
+    rows = grouped_running(df, by, order, size)
+    return rows.withColumn("part", F.least(F.lit(parts - 1), F.floor(F.col("before") * parts / F.col("total"))).cast("int")).drop("before", "row", "total", "rows")
 
 
 def global_running(df: DataFrame, order: list[str], value: str) -> DataFrame:
@@ -160,6 +158,23 @@ def global_running(df: DataFrame, order: list[str], value: str) -> DataFrame:
     return rows.withColumn("before", before).withColumn("row", number).drop("_p", "_off", "_rows")
 
 
+def grouped_running(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """``df`` with before, total, row (from 0) and rows of each group of ``by``, in one total ``order``.
+
+    One range-partitioned sort over (by, order): a group of any size is spread over as many partitions as it needs; a
+    group's own numbers are the global ones less those at its first row. A null in ``by`` is a group of its own."""
+    from corpusloom.session import checked_broadcast
+
+    rows = global_running(df, [*by, *order], value).drop("total", "total_rows")
+    first = rows.groupBy(*by).agg(F.min_by("before", "row").alias("_b"), F.min("row").alias("_r"), F.sum(value).alias("total"), F.count("*").alias("rows"))
+    same = F.lit(True)
+    for k in by:
+        same = same & F.col(f"x.{k}").eqNullSafe(F.col(f"f.{k}"))
+    own = rows.alias("x").join(checked_broadcast(first).alias("f"), same)
+    kept = [F.col(f"x.{c}") for c in df.columns]
+    return own.select(*kept, (F.col("before") - F.col("_b")).alias("before"), (F.col("row") - F.col("_r")).alias("row"), "total", "rows")
+
+
 def _global_parts(df: DataFrame, order: list[str], size: str, parts: int) -> DataFrame:
     rows = global_running(df, order, size)
     part = F.least(F.lit(parts - 1), F.floor(F.col("before") * parts / F.col("total"))).cast("int")
@@ -168,14 +183,13 @@ def _global_parts(df: DataFrame, order: list[str], size: str, parts: int) -> Dat
 
 def join_times(df: DataFrame, by: list[str], order: list[str], seconds: str) -> DataFrame:
     """Where each part begins when all are played one after the other."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("begins", F.coalesce(F.sum(seconds).over(w), F.lit(0.0)))
+    return grouped_running(df, by, order, seconds).withColumnRenamed("before", "begins").drop("row", "total", "rows")
 
 
 def quote_open_after(df: DataFrame, by: list[str], order: list[str], marks: Column) -> DataFrame:
     """Is a quotation open after this row: odd running count of quote marks."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("open_after", F.sum(F.coalesce(marks, F.lit(0))).over(w) % 2 == 1)
+    rows = grouped_running(df.withColumn("_marks", F.coalesce(marks, F.lit(0)).cast("long")), by, order, "_marks")
+    return rows.withColumn("open_after", (F.col("before") + F.col("_marks")) % 2 == 1).drop("_marks", "before", "row", "total", "rows")
 
 
 def capped_pauses(gaps: DataFrame, between: Column, cap: float = 2.0, structural: float = 2.5, structural_cap: float = 0.4, mid_cap: float = 0.3) -> DataFrame:

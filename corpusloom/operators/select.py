@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.intervals import global_running
+from corpusloom.operators.intervals import global_running, grouped_running
 
 
 def hash_unit(key: Column, seed: int) -> Column:
@@ -61,11 +61,10 @@ def shuffled_holdout(df: DataFrame, key: str, n: int, seed: int = 3407) -> DataF
 
 def round_robin(df: DataFrame, group: str, order: list[str], per_group: int) -> DataFrame:
     """L4: the middle ``per_group`` rows of each group, numbered in turn: first of each group, second of each, ..."""
-    w = Window.partitionBy(group)
-    rows = df.withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
-    first = F.greatest(F.lit(0), F.floor((F.col("_n") - per_group) / 2))
-    taken = rows.withColumn("turn", (F.col("_i") - first).cast("int")).where((F.col("turn") >= 0) & (F.col("turn") < per_group))
-    return taken.drop("_i", "_n")
+    rows = grouped_running(df.withColumn("_one", F.lit(1)), [group], order, "_one")
+    first = F.greatest(F.lit(0), F.floor((F.col("rows") - per_group) / 2))
+    taken = rows.withColumn("turn", (F.col("row") - first).cast("int")).where((F.col("turn") >= 0) & (F.col("turn") < per_group))
+    return taken.drop("_one", "before", "row", "total", "rows")
 
 
 def bucket_targets(df: DataFrame, key: str, buckets: list[tuple[float, float, float]], seed: int = 3407) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import stats, text, udfs
-from corpusloom.operators import align, gates, glossary, intervals, joins, planner, select, sft
+from corpusloom.operators import align, gates, glossary, intervals, joins, planner, reports, select, sft
 from corpusloom.operators.titles import latest
 from corpusloom.plans.registry import query
 from corpusloom.session import table
@@ -152,7 +152,7 @@ def hist_equal(spark, d):
     SELECT stem, clip_id, CAST((SELECT max(p) FROM (SELECT unnest(range(0, 10)) AS p) WHERE p * n // 10 <= i) AS INTEGER) AS part FROM r""")
 def deciles(spark, d):
     """Tenths of each source in time; not ntile."""
-    return stats.chrono_parts(_clips(spark, d).where("stem is not null and src_start is not null").select("stem", "clip_id", "src_start"), [F.col("src_start"), F.col("clip_id")], 10, ["stem"]).select("stem", "clip_id", "part")
+    return stats.chrono_parts(_clips(spark, d).where("stem is not null and src_start is not null").select("stem", "clip_id", "src_start"), ["src_start", "clip_id"], 10, ["stem"]).select("stem", "clip_id", "part")
 
 
 @query(r"""
@@ -490,3 +490,75 @@ def label_mask_stats(spark, d):
     spans = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), ids(m).alias("ids")))
     supervised, total = sft.token_account(sft.masked_labels(spans))
     return _chats(spark, d).where("messages is not null").select("doc_id", supervised.alias("supervised"), total.alias("total"))
+
+
+# ---------------------------------------------------------------- summaries
+
+
+@query("""
+    WITH c AS (SELECT clip_id, row_number() OVER (ORDER BY clip_id) AS i FROM clips) SELECT clip_id, 'clip_' || lpad(CAST(i AS VARCHAR), 6, '0') AS name FROM c""")
+def numbered_clips(spark, d):
+    """W10."""
+    return reports.numbered_names(_clips(spark, d).select("clip_id"), ["clip_id"], "clip_").select("clip_id", "name")
+
+
+@query("""
+    SELECT speaker, count(seconds) AS n, round(quantile_cont(seconds, 0.5), 6) AS median, round(quantile_cont(seconds, 0.9), 6) AS p90, max(seconds) AS most, round(stddev_pop(seconds), 6) AS deviation FROM clips GROUP BY speaker""")
+def speaker_summary(spark, d):
+    """A11."""
+    s = reports.model_summary(_clips(spark, d), ["speaker"], "seconds")
+    return s.select("speaker", "n", *(F.round(c, 6).alias(c) for c in ("median", "p90")), "most", F.round("deviation", 6).alias("deviation"))
+
+
+@query("""
+    WITH r AS (SELECT CAST(floor(start_s / 600) * 600 AS BIGINT) AS from_s FROM anchored_words WHERE start_s IS NOT NULL) SELECT from_s, count(*) AS n FROM r GROUP BY from_s""")
+def word_density(spark, d):
+    """A10: words per ten minutes of source time."""
+    return reports.density(table(spark, d, "anchored_words"), "start_s").select(F.col("from_s").cast("long").alias("from_s"), "n")
+
+
+@query("""
+    WITH r AS (SELECT CAST(floor(src_start / 250) * 250 AS BIGINT) AS bin, seconds, row_number() OVER (PARTITION BY floor(src_start / 250) ORDER BY seconds DESC NULLS LAST, src_start) AS rn FROM clips WHERE src_start IS NOT NULL)
+    SELECT bin, count(*) AS n, max(seconds) AS strongest, len(list(seconds) FILTER (WHERE rn <= 4 AND seconds IS NOT NULL)) AS exemplars FROM r GROUP BY bin""")
+def clip_clusters(spark, d):
+    """A10: clips by place in their source, the four longest of each bin as exemplars."""
+    c = reports.clusters(_clips(spark, d).select("src_start", "seconds"), "src_start", "seconds", 250)
+    return c.select(F.col("bin").cast("long").alias("bin"), "n", "strongest", F.when(F.size("exemplars") > 0, F.size("exemplars").cast("long")).alias("exemplars"))
+
+
+@query("""
+    SELECT clip_id, CAST(round(greatest(0.0, trailing_pause - 0.3) * 1000) AS BIGINT) AS self_ms, coalesce(seconds BETWEEN 1.5 AND 20.5, false) AS length_ok FROM clips WHERE trailing_pause IS NOT NULL""")
+def tails_and_lengths(spark, d):
+    """A16, P3."""
+    c = reports.self_tail(_clips(spark, d).where("trailing_pause is not null"), "trailing_pause", 0.3)
+    return c.select("clip_id", F.round(F.col("self_tail") * 1000).cast("long").alias("self_ms"), F.coalesce(reports.length_ok(F.col("seconds"), 20.0, slack=0.5), F.lit(False)).alias("length_ok"))
+
+
+@query(r"""
+    WITH w AS (SELECT clip_id, list_filter(string_split_regex(text, '[ \t\n\r]+'), lambda x: x <> '') AS w FROM clips WHERE text IS NOT NULL)
+    SELECT clip_id, len(w) >= 10 AND len(list_filter(w[1:6], lambda x: regexp_matches(x, '[0-9]'))) = 0 AS friendly FROM w""")
+def probe_friendly(spark, d):
+    """P12."""
+    return _clips(spark, d).where("text is not null").select("clip_id", reports.probe_friendly(F.col("text")).alias("friendly"))
+
+
+@query("""
+    SELECT * FROM (SELECT clip_id, length(text) AS chars, CASE WHEN length(text) BETWEEN 200 AND 360 THEN 0 ELSE 1 END AS band FROM clips WHERE length(text) BETWEEN 120 AND 360) ORDER BY band, clip_id LIMIT 60""".replace("SELECT * FROM", "SELECT clip_id, chars FROM"))
+def probe_chunks(spark, d):
+    """Sixty probe texts, a sampling operator."""
+    return reports.banded_pick(_clips(spark, d).select("clip_id", F.length("text").cast("long").alias("chars")), F.col("chars"), ["clip_id"], 60)
+
+
+@query("""
+    SELECT 'train' AS part_set, speaker, count(*) AS n FROM clips WHERE split = 'train' GROUP BY speaker UNION ALL SELECT 'held', speaker, count(*) FROM clips WHERE split <> 'train' GROUP BY speaker""")
+def union_parts(spark, d):
+    """J16."""
+    c = _clips(spark, d)
+    return reports.tagged_union({"train": c.where("split = 'train'"), "held": c.where("split <> 'train'")}).groupBy("part_set", "speaker").agg(F.count("*").alias("n"))
+
+
+@query("""
+    SELECT c.clip_id, p.max_chars FROM clips c JOIN profiles p ON c.profile = p.profile WHERE c.profile IS NOT NULL""")
+def checked_profiles(spark, d):
+    """Each clip with its profile; an unknown profile would fail."""
+    return reports.checked_join(_clips(spark, d).where("profile is not null").select("clip_id", "profile"), table(spark, d, "profiles").select("profile", "max_chars"), "profile").select("clip_id", "max_chars")

@@ -202,6 +202,6 @@ def dist_summary(spark, d):
     m = table(spark, d, "lifetime_daily").select("channel", F.col("lifetime.ctr").alias("x")).where("x is not null")
     x = F.col("x")
     spread = F.round(stats.percentile(x, 0.9) - stats.percentile(x, 0.1), 9)
-    return m.groupBy("channel").agg(
-        F.count("*").alias("n"), stats.upper_median(x).alias("upper_median"), F.round(stats.median(x), 9).alias("median"), stats.nearest_rank(x, 0.95).alias("p95_nearest"), spread.alias("spread")
-    )
+    base = m.groupBy("channel").agg(F.count("*").alias("n"), F.round(stats.median(x), 9).alias("median"), spread.alias("spread"))
+    ranks = stats.order_statistics(m, ["channel"], "x", {"upper_median": stats.upper_index, "p95_nearest": stats.nearest_index(0.95)})
+    return base.join(ranks, "channel")

@@ -88,6 +88,9 @@ def test_parts_and_running(spark):
     before = [sum(sizes[:i]) for i in range(len(sizes))]
     assert got == [min(2, b * 3 // sum(sizes)) for b in before]
     assert [r.before for r in iv.global_running(df, ["i"], "n").orderBy("i").collect()] == before
+    two = frame(spark, [(g, i, n) for g in ("a", None) for i, n in enumerate(sizes)], "g string, i int, n int").repartition(5)
+    for r in iv.grouped_running(two, ["g"], ["i"], "n").collect():
+        assert (r.before, r.row, r.total, r.rows) == (before[r.i], r.i, sum(sizes), len(sizes))
     by = iv.sized_parts(df.withColumn("g", F.lit(1)), ["g"], ["i"], "n", 3).orderBy("i").collect()
     assert [r.part for r in by] == got
     assert iv.sized_parts(df.limit(0), [], ["i"], "n", 3).count() == 0

@@ -67,6 +67,10 @@ def test_statistics(spark):
     got = {x.g: x for x in df.groupBy("g").agg(stats.upper_median(F.col("v")).alias("u"), stats.median(F.col("v")).alias("m"), stats.nearest_rank(F.col("v"), 0.95).alias("p"), stats.percentile(F.col("v"), 0.9).alias("q")).collect()}
     s = sorted(values)
     assert got["g"].u == s[20] and got["g"].m == np.median(s) and got["g"].p == s[round(0.95 * 40)] and np.isclose(got["g"].q, np.percentile(s, 90))
+    ranks = {x.g: x for x in stats.order_statistics(df, ["g"], "v", {"u": stats.upper_index, "p": stats.nearest_index(0.95)}).collect()}
+    assert set(ranks) == {"g", "one"} and all((ranks[g].u, ranks[g].p) == (got[g].u, got[g].p) for g in ranks)
+    whole = stats.order_statistics(df.where("g = 'g'"), [], "v", {"u": stats.upper_index}).collect()
+    assert [x.u for x in whole] == [s[20]] and stats.order_statistics(df.limit(0), [], "v", {"u": stats.upper_index}).count() == 0
     assert got["one"].u == 4.0 and got["none"].u is None and got["none"].p is None
 
 
@@ -85,7 +89,7 @@ def test_histograms(spark):
     df = spark.createDataFrame([(float(i),) for i in range(25)] + [(None,)], "v double")
     assert {r.bin: r.n for r in stats.equal_bins(df, "v", 12).collect()} == dict(enumerate(np.histogram(range(25), 12)[0].tolist()))
     assert stats.equal_bins(df.where("v = 3"), "v", 12).collect()[0].bin == 0
-    parts = stats.chrono_parts(df.where("v is not null").withColumn("g", F.lit(1)), [F.col("v")], 10, ["g"]).orderBy("v").collect()
+    parts = stats.chrono_parts(df.where("v is not null").withColumn("g", F.lit(1)), ["v"], 10, ["g"]).orderBy("v").collect()
     want = [d for d in range(10) for _ in range(d * 25 // 10, (d + 1) * 25 // 10)]
     assert [p.part for p in parts] == want
 
