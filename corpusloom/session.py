@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Most rows a side may hold to be broadcast; beyond it the join is left to a shuffle.
 BROADCAST_ROWS = 200_000
+#: Tables of more bytes on disk are never dealt out anew.
+SMALL_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
