@@ -28,7 +28,7 @@ PER = 5
 #: Words of a span; with at least 3, k + 1 disjoint ones fit into any text of 8 words or more.
 SPANS = (3, 4, 5)
 #: Rows a task takes together to choose its spans by their counts; it changes no result.
-TOGETHER = 24_000
+TOGETHER = 60_000
 #: Bits of a presence bitmap (it keeps suffixes without a partner out of the shuffle): 8 for each span, within these
 #: bounds, so at most 16 MB whatever the input.
 LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 27
@@ -96,7 +96,7 @@ def near(a: list[str], b: list[str]) -> bool:
     return edit_distance(a, b, k) <= k
 
 
-# A text of the index: n words, a 64-bit word signature, the words as 32-bit codes, the spans it contributes (place * 8 + length).
+# A text of the index: n words, a 64-bit word signature, the words as 24-bit codes, the spans it contributes (place * 8 + length).
 INDEX = "id long, train boolean, n int, sig long, codes binary, picks binary"
 # A suffix entry. key: a hash of its first words and of its kind (0 where the query is the longer text, 1 where the
 # training text is); at: words of the text * 2^32 + place.
@@ -114,7 +114,7 @@ def index(texts: DataFrame) -> DataFrame:
             def __missing__(self, w: str) -> int:
                 if len(self) > 300_000:
                     self.clear()
-                h = self[w] = xxhash.xxh32_intdigest(w)
+                h = self[w] = xxhash.xxh32_intdigest(w) & 0xFFFFFF
                 return h
 
         code = Codes().__getitem__
@@ -122,11 +122,12 @@ def index(texts: DataFrame) -> DataFrame:
         def emit(ids, train, sizes, flat) -> pa.RecordBatch:
             x, n = np.array(flat, np.uint32), np.array(sizes)
             start = np.concatenate(([0], np.cumsum(n)[:-1]))
-            sig = np.bitwise_or.reduceat(np.uint64(1) << (x >> np.uint32(26)).astype(np.uint64), start).view(np.int64)
+            sig = np.bitwise_or.reduceat(np.uint64(1) << (x >> np.uint32(18)).astype(np.uint64), start).view(np.int64)
             place, length, per = choose_spans(x, n, start)
             picks = (place * 8 + length).astype(np.uint32)
             cut = np.concatenate(([0], np.cumsum(per)))
-            codes = [x[a : a + m].tobytes() for a, m in zip(start, n)]
+            short = x.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()  # three bytes a word, little-endian
+            codes = [short[3 * a : 3 * (a + m)] for a, m in zip(start.tolist(), n.tolist())]
             spans = [picks[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
             return pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(train), pa.array(n.astype(np.int32)), pa.array(sig), pa.array(codes, pa.binary()), pa.array(spans, pa.binary())],
@@ -239,7 +240,8 @@ def _read(batch: pa.RecordBatch):
 
     ident, n, sig = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
     n = n.astype(np.int64)
-    x = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32)
+    short = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, 3)
+    x = np.pad(short, ((0, 0), (0, 1))).view(np.uint32).ravel()
     picks = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).astype(np.int64)
     start = np.concatenate(([0], np.cumsum(n)[:-1])) if len(n) else n
     return ident, n, sig, x, start, picks >> 3, picks & 7, np.repeat(np.arange(len(n)), n // PER + 1)
