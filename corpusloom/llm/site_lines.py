@@ -29,11 +29,11 @@ def lines_of(df: DataFrame, key: str, source: Column, text: Column) -> DataFrame
 
 
 class Summary:
-    """Misra-Gries counters of one source in one partition. ``docs`` and ``items`` size it: the error stays under
-    SLACK * min_share * docs, as at most items / (counters + 1) is taken from any count."""
+    """Misra-Gries counters of one source in one partition. ``docs`` and ``items`` size it, so that the error stays near
+    SLACK * min_share * docs (at most items / (counters + 1) is taken from any count); ``taken`` is the error it has."""
 
     def __init__(self, min_share: float):
-        self.share, self.docs, self.items, self.taken, self.counts = min_share * SLACK, 0, 0, 0.0, {}
+        self.share, self.docs, self.items, self.taken, self.counts = min_share * SLACK, 0, 0, 0, {}
 
     def add(self, hashes, counts, docs: int) -> None:
         self.docs += docs
@@ -44,12 +44,13 @@ class Summary:
         keep = int(self.items / (self.share * self.docs)) + 1
         if len(self.counts) > 2 * keep:  # Misra-Gries: take the (keep+1)-th largest count from all
             cut = sorted(self.counts.values(), reverse=True)[keep]
+            self.taken += cut
             self.counts = {h: n - cut for h, n in self.counts.items() if n > cut}
 
 
 def summarize(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """Mergeable summaries of (source, hs array<long>): rows (source, h, n), where n may be too low by at most
-    SLACK * min_share * documents of the source, summed over all partitions or days. ``docs`` has one row per document."""
+    """Mergeable summaries of (source, hs array<long>): rows (source, h, n), and one (source, null, e) where e is how much
+    too low any n of this part may be. ``docs`` has one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -71,15 +72,14 @@ def summarize(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
                 at = slice(*np.searchsorted(own, [code, code + 1]))
                 by.setdefault(names[code] if code >= 0 else None, Summary(min_share)).add(hs[at], n[at], int((codes == code).sum()))
         for name, s in by.items():
-            if s.counts:
-                m = len(s.counts)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * m, pa.string()), pa.array(list(s.counts), pa.int64()), pa.array(list(s.counts.values()), pa.int64())], names=["source", "h", "n"])
+            m = len(s.counts) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([name] * m, pa.string()), pa.array([*s.counts, None], pa.int64()), pa.array([*s.counts.values(), s.taken], pa.int64())], names=["source", "h", "n"])
 
     return docs.select("source", "hs").mapInArrow(run, "source string, h long, n long")
 
 
 def merge(summaries: DataFrame) -> DataFrame:
-    """Summaries of parts, days or partitions added up; the errors add up too."""
+    """Summaries of parts, days or partitions added up; the errors (rows with a null h) add up too."""
     return summaries.groupBy("source", "h").agg(F.sum("n").alias("n"))
 
 
@@ -90,8 +90,8 @@ def repeated_lines(df: DataFrame, key: str, source: Column, text: Column, min_do
     A line counts once per row of ``df``, so repeated rows count. A null source is a source of its own. Null texts
     count nowhere; blank ones count as documents. An empty table gives empty results. Texts are read whole.
 
-    Pass 1 makes heavy-hitter summaries in each partition and adds them up: no line that qualifies can be missing
-    from them. Pass 2 counts those candidates exactly. The candidates of a source are bounded by the lines per
+    Pass 1 makes heavy-hitter summaries in each partition and adds them up with their errors: no line that qualifies
+    can be missing from them. Pass 2 counts those candidates exactly. The candidates of a source are bounded by the lines per
     document over ``min_share``; they are broadcast if counted to a bounded size, else joined by a shuffle.
     """
     texts = df.select(F.col(key).alias(key), source.alias("source"), text.alias("text")).where(F.col("text").isNotNull())
@@ -100,9 +100,11 @@ def repeated_lines(df: DataFrame, key: str, source: Column, text: Column, min_do
     sizes = texts.groupBy("source").agg(F.count("*").alias("of_docs"))
     floor = F.greatest(F.lit(min_docs), F.ceil(F.col("of_docs") * min_share - 1e-9))
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
-    merged = merge(summarize(docs, min_share))
+    merged = materialize(merge(summarize(docs, min_share)))
+    errors = merged.where("h is null").select("source", F.col("n").alias("error"))
+    bounds = sizes.alias("s").join(errors.alias("e"), same("s", "e")).select("s.source", "of_docs", "error")
     candidates = materialize(
-        merged.alias("m").join(sizes.alias("s"), same("m", "s")).where(F.col("n") >= floor - F.col("of_docs") * (min_share * SLACK)).select("m.source", "h", "of_docs")
+        merged.where("h is not null").alias("m").join(bounds.alias("b"), same("m", "b")).where(F.col("n") >= floor - F.col("error")).select("m.source", "h", "of_docs")
     )
     wanted = checked_broadcast(candidates)
     exact = (
