@@ -32,7 +32,7 @@ def loop_gate(df: DataFrame, failed: Column, said: Column, coverage: Column, sec
     values = df.select(F.when(use, per).alias("_per"))
     ref = order_statistics(values, [], "_per", {"_ref": upper_index})
     ref = values.sparkSession.range(1).select(F.lit(None).cast("double").alias("_none")).join(ref, F.lit(True), "left").drop("_none")  # one row, also for no values
-    bloat = F.coalesce(F.when(F.length(text) > 0, per / F.col("_ref")), F.lit(1.0))
+    bloat = F.coalesce(F.when(F.length(text) > 0, per / F.nullif("_ref", F.lit(0.0))), F.lit(1.0))
     verdict = F.when(failed, "FAIL").when(has_repeat(said), "LOOP").when(coverage < COVERAGE_FLOOR, "DROP").when(bloat > BLOAT_CEILING, "BLOAT").otherwise("ok")
     return df.crossJoin(F.broadcast(ref)).withColumn("bloat", bloat).withColumn("verdict", verdict).drop("_ref")
 

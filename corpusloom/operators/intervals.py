@@ -134,7 +134,12 @@ def sized_parts(df: DataFrame, by: list[str], order: list[str], size: str, parts
     if not by:
         return _global_parts(df, order, size, parts)
     rows = grouped_running(df, by, order, size)
-    return rows.withColumn("part", F.least(F.lit(parts - 1), F.floor(F.col("before") * parts / F.col("total"))).cast("int")).drop("before", "row", "total", "rows")
+    return rows.withColumn("part", _part(parts)).drop("before", "row", "total", "rows")
+
+
+def _part(parts: int) -> Column:
+    """All rows are part 0 where nothing has a size."""
+    return F.coalesce(F.least(F.lit(parts - 1), F.floor(F.col("before") * parts / F.nullif("total", F.lit(0)))).cast("int"), F.lit(0))
 
 
 def global_running(df: DataFrame, order: list[str], value: str) -> DataFrame:
@@ -177,7 +182,7 @@ def grouped_running(df: DataFrame, by: list[str], order: list[str], value: str)
 
 def _global_parts(df: DataFrame, order: list[str], size: str, parts: int) -> DataFrame:
     rows = global_running(df, order, size)
-    part = F.least(F.lit(parts - 1), F.floor(F.col("before") * parts / F.col("total"))).cast("int")
+    part = _part(parts)
     return rows.withColumn("part", part).drop("before", "total", "row", "total_rows")
 
 

@@ -116,7 +116,7 @@ def assembly_gap(internal: Column, tail: Column, share: float = 0.75) -> Column:
 def cost_shares(chunks: DataFrame, by: list[str]) -> DataFrame:
     """X4 (described only): accepted, rejected and idle share of each batch cycle; rows: by, seconds, state."""
     total = F.sum("seconds")
-    part = lambda s: F.round(F.sum(F.when(F.col("state") == s, F.col("seconds")).otherwise(0.0)) / total, 6).alias(s)
+    part = lambda s: F.round(F.try_divide(F.sum(F.when(F.col("state") == s, F.col("seconds")).otherwise(0.0)), total), 6).alias(s)
     return chunks.groupBy(*by).agg(total.alias("seconds"), part("accepted"), part("rejected"), part("idle"))
 
 

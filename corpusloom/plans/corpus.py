@@ -283,7 +283,11 @@ def pause_budget(spark, d):
     return _docs(spark, d).select("doc_id", allowed.alias("allowed"), pauses.alias("pauses"), (pauses > allowed).alias("excess"))
 
 
-@query()
+@query(r"""
+    WITH t AS (SELECT doc_id, list_filter(string_split(regexp_replace(trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g')), '([.!?]) +', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS s FROM documents WHERE text IS NOT NULL),
+    p AS (SELECT doc_id, list_reduce(list_transform(s, lambda x: [x]), lambda acc, x: CASE WHEN length(acc[len(acc)]) + 1 + length(x[1]) <= 350
+            THEN list_concat(acc[1:len(acc) - 1], [acc[len(acc)] || ' ' || x[1]]) ELSE list_concat(acc, x) END) AS p FROM t WHERE len(s) > 0)
+    SELECT doc_id, CAST(unnest(range(0, len(p))) AS INTEGER) AS piece, unnest(p) AS text FROM p""")
 def sentence_pack(spark, d):
     """Every document's sentences packed to pieces of at most 350 characters."""
     pieces = text.pack_sentences(text.sentences(F.col("text")), 350)
@@ -309,7 +313,17 @@ def spoken_forms(spark, d):
     return _docs(spark, d).select("doc_id", fixed.alias("r")).select("doc_id", F.md5("r.text").alias("text"), "r.changed")
 
 
-@query()
+_COMMON = ", ".join(f"'{w}'" for w in glossary.COMMON)
+_GLOSSARY = rf"""
+    en AS (SELECT replace(text, '’', chr(39)) AS t FROM documents WHERE text IS NOT NULL AND starts_with(lower(lang), 'en')),
+    w AS (SELECT regexp_replace(regexp_replace(regexp_replace(raw, '^[^A-Za-z]+|[^A-Za-z\x27\-]+$', '', 'g'), '\x27s$', ''), '\x27+$', '') AS name FROM (SELECT unnest(string_split_regex(t, '[ \t\n\r]+')) AS raw FROM en)),
+    n AS (SELECT name, count(*) AS n FROM w WHERE length(name) >= 3 AND regexp_matches(name, '^[A-Z]') AND name NOT IN ({_COMMON}) AND NOT contains(lower(name), 'n' || chr(39) || 't') GROUP BY name HAVING count(*) >= 2),
+    i AS (SELECT DISTINCT regexp_extract(s, '[A-Za-z][A-Za-z\x27\-]+') AS name FROM (SELECT unnest(string_split_regex(t, '[.!?]+')) AS s FROM en)),
+    o AS (SELECT lower(x) AS x FROM (SELECT unnest(regexp_extract_all(t, '[A-Za-z][A-Za-z\x27]+')) AS x FROM en) WHERE regexp_matches(x, '^[a-z]') GROUP BY 1 HAVING count(*) >= 5),
+    g AS (SELECT n.name, n FROM n LEFT JOIN i ON i.name = n.name WHERE (i.name IS NULL OR n >= 4 OR regexp_matches(n.name, '[\x27-]')) AND lower(n.name) NOT IN (SELECT x FROM o))"""
+
+
+@query("WITH " + _GLOSSARY + " SELECT name, n FROM g")
 def glossary_names(spark, d):
     """A9 over the English documents."""
     return glossary.glossary(_docs(spark, d).where(F.lower("lang").startswith("en")), "text")
@@ -339,7 +353,12 @@ def vtt_cues(spark, d):
     return c.groupBy("doc_id").agg(F.count("*").alias("cues"), F.sum(F.round((F.col("end_s") - F.col("start_s")) * 1000).cast("long")).alias("ms"), F.sum(F.length("text")).alias("chars"))
 
 
-@query()
+@query(r"""
+    WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)), lambda x: trim(replace(x, chr(9), ' '))),
+            lambda x: x <> '' AND x <> 'WEBVTT' AND NOT regexp_matches(x, '^[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3} --> ') AND NOT regexp_matches(x, '^(Kind:|Language:|NOTE|align:)')) AS ls FROM documents WHERE kind IN ('vtt', 'captions') AND text IS NOT NULL),
+    t AS (SELECT doc_id, list_filter(list_transform(ls, lambda x: trim(regexp_replace(x, '<[^>]+>', '', 'g'))), lambda x: x <> '') AS ls FROM l),
+    r AS (SELECT doc_id, CASE WHEN len(ls) > 0 THEN list_reduce(list_transform(ls, lambda x: [x]), lambda acc, x: CASE WHEN suffix(acc[len(acc)], x[1]) THEN acc ELSE list_concat(acc, x) END) ELSE CAST([] AS VARCHAR[]) END AS k FROM t)
+    SELECT doc_id, substring(array_to_string(k, ' '), 1, 30000) AS text FROM r""")
 def caption_text(spark, d):
     """Timed and rolling captions as running text."""
     docs = _docs(spark, d).where("kind in ('vtt', 'captions')")

@@ -64,15 +64,41 @@ def tier_counts(spark, d):
     return tier_by_group(spark, d).groupBy("channel", "format", "tier").agg(F.count("*").alias("videos"))
 
 
-@query()
+_BOILER = text.BOILERPLATE.replace("'", "''")
+# The rows of title_examples and title_backfill: the latest verdicts with title and content, as cleaned there.
+_KEY = r"lower(trim(regexp_replace({0}, '[^\p{{L}}\p{{N}}\p{{M}}\p{{Pc}}\x{{200c}}\x{{200d}}]+', ' ', 'g')))"
+_STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+
+
+def _content_sql() -> str:
+    lines = rf"list_filter(list_transform(string_split_regex(s.snippet.description, '\r\n|\n|\r'), lambda x: regexp_replace(x, '\s+$', '')), lambda x: NOT regexp_matches(x, '{_BOILER}', 'i'))"
+    page = _STRIP.format(rf"regexp_replace(array_to_string({lines}, chr(10)), '\n{{3,}}', chr(10) || chr(10), 'g')")
+    first, key = _KEY.format("split_part(page, chr(10), 1)"), _KEY.format("title")
+    rest = _STRIP.format(r"regexp_replace(page, '^[^\n]*\n', '')")
+    return rf""",
+    a AS (SELECT t.video_id, verdict_id, t.channel, format, tier, published_at, {_clean_title_sql('titles[len(titles)]')} AS title, coalesce({page}, '') AS page
+          FROM t JOIN descriptions s ON s.video_id = t.video_id WHERE s.snippet IS NOT NULL AND len(titles) > 0 AND titles[len(titles)] IS NOT NULL),
+    k AS (SELECT *, {first} AS f, {key} AS g FROM a),
+    c AS (SELECT *, CASE WHEN f <> '' AND g <> '' AND (starts_with(f, g) OR starts_with(g, f)) THEN CASE WHEN contains(page, chr(10)) THEN {rest} ELSE '' END ELSE page END AS content FROM k)"""
+
+
+_EXAMPLES = "WITH " + _TIERS + _content_sql()
+
+
+@query(
+    _EXAMPLES + """,
+    e AS (SELECT *, row_number() OVER (ORDER BY published_at, video_id) - 1 AS i, count(*) OVER () AS n FROM c WHERE length(content) >= 60)
+    SELECT video_id, verdict_id, channel, format, tier, title, CAST(length(content) AS INTEGER) AS content_chars, CASE WHEN i >= n - greatest(1, round_even(n * 0.08, 0)) THEN 'eval' ELSE 'train' END AS split, 3 AS turns FROM e"""
+)
 def title_examples(spark, d):
     """Text examples with tier and split, as chat messages; the flagship."""
     rows = titles.messages(titles.examples(*_tables(spark, d)))
     return rows.select("video_id", "verdict_id", "channel", "format", "tier", "title", F.length("content").alias("content_chars"), "split", F.size("messages").alias("turns"))
 
 
-@query()
+@query(_EXAMPLES + " SELECT video_id, channel, format, title, CAST(length(content) AS INTEGER) AS content_chars FROM c WHERE length(content) < 60")
 def title_backfill(spark, d):
+    """What is left to describe."""
     return titles.backfill(*_tables(spark, d))
 
 
@@ -83,7 +109,6 @@ def clean_titles(spark, d):
     return v.select("verdict_id", text.clean_title(F.element_at("titles", -1)).alias("title"))
 
 
-_BOILER = text.BOILERPLATE.replace("'", "''")
 
 
 @query(rf"""

@@ -115,3 +115,9 @@ def test_planner():
 def test_planned(spark):
     df = frame(spark, [("s", 0.0, False, True), ("s", 6.0, False, True), ("s", 11.0, False, True), ("t", 1.0, False, True)], "src string, pos double, struct boolean, quote_safe boolean")
     assert [(r.src, r.clip, r.a, r.b) for r in planner.planned(df, "src", 5.0, 20.0).orderBy("src", "clip").collect()] == [("s", 0, 0.0, 6.0), ("s", 1, 6.0, 11.0)]
+
+
+def test_sizes_of_zero(spark):
+    df = frame(spark, [(0, 0), (1, 0), (2, None)], "i int, n int")
+    assert {r.part for r in iv.sized_parts(df, [], ["i"], "n", 3).collect()} == {0}
+    assert {r.part for r in iv.sized_parts(df.withColumn("g", F.lit("x")), ["g"], ["i"], "n", 3).collect()} == {0}
