@@ -139,7 +139,7 @@ def sized_parts(df: DataFrame, by: list[str], order: list[str], size: str, parts
 
 def _part(parts: int) -> Column:
     """All rows are part 0 where nothing has a size."""
-    return F.coalesce(F.least(F.lit(parts - 1), F.floor(F.col("before") * parts / F.nullif("total", F.lit(0)))).cast("int"), F.lit(0))
+    return F.when(F.col("total") > 0, F.least(F.lit(parts - 1), F.floor(F.col("before") * parts / F.col("total"))).cast("int")).otherwise(0)
 
 
 def global_running(df: DataFrame, order: list[str], value: str) -> DataFrame:
