@@ -95,7 +95,9 @@ REPAIRED = "tbl string, row_id long, text string, repaired string, tokens array<
 
 
 def suspects(df: DataFrame, tbl: str, row_id: str, text: str) -> DataFrame:
-    return df.select(F.lit(tbl).alias("tbl"), F.col(row_id).cast("long").alias("row_id"), F.col(text).alias("text")).where(F.col("text").rlike(SUSPECT))
+    return df.select(F.lit(tbl).alias("tbl"), F.col(row_id).cast("long").alias("row_id"), F.col(text).alias("text")).where(
+        (F.octet_length("text") != F.char_length("text")) & F.col("text").rlike(SUSPECT)  # plain ASCII is not searched
+    )
 
 
 def repaired_rows(suspicious: DataFrame) -> DataFrame:
