@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import checked_broadcast, materialize
+from corpusloom.session import checked_broadcast, materialize, written
 
 #: Where the defaults of min_docs and min_share come from: the statement of the problem.
 MIN_DOCS, MIN_SHARE = 5, 0.05
@@ -21,11 +21,13 @@ def line_key(line: Column) -> Column:
     return F.replace(F.lower(F.trim(F.regexp_replace(line, r"(?U)[\s\u001c-\u001f]+", " "))), F.lit("ß"), F.lit("ss"))
 
 
-def lines_of(df: DataFrame, key: str, source: Column, text: Column) -> DataFrame:
-    """One row per non-blank line: ``key``, source, line_no (from 1), h (a 64-bit hash of its compared form)."""
-    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), line_key(x).alias("line")))
-    rows = df.select(F.col(key).alias(key), source.alias("source"), F.explode(lines).alias("x"))
-    return rows.where("x.line <> ''").select(key, "source", F.col("x.line_no").cast("int").alias("line_no"), F.xxhash64("x.line").alias("h"))
+def line_hashes(text: Column) -> Column:
+    """A 64-bit hash of the compared form of each line, null for blank ones."""
+    return F.transform(F.split(text, "\n"), lambda x: _hash_or_null(x))
+
+
+def _hash_or_null(line: Column) -> Column:
+    return F.get(F.transform(F.array(line_key(line)), lambda k: F.when(k != "", F.xxhash64(k))), F.lit(0))
 
 
 class Summary:
@@ -94,9 +96,9 @@ def repeated_lines(df: DataFrame, key: str, source: Column, text: Column, min_do
     can be missing from them. Pass 2 counts those candidates exactly. The candidates of a source are bounded by the lines per
     document over ``min_share``; they are broadcast if counted to a bounded size, else joined by a shuffle.
     """
-    texts = df.select(F.col(key).alias(key), source.alias("source"), text.alias("text")).where(F.col("text").isNotNull())
-    lines = F.filter(F.transform(F.split("text", "\n"), line_key), lambda x: x != "")
-    docs = texts.select("source", F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x))).alias("hs"))
+    texts = df.where(text.isNotNull()).select(F.col(key).alias(key), source.alias("source"), line_hashes(text).alias("lines"))
+    texts = written(texts)  # eight bytes a line; the texts themselves are read once
+    docs = texts.select("source", F.array_distinct(F.array_compact("lines")).alias("hs"))
     sizes = texts.groupBy("source").agg(F.count("*").alias("of_docs"))
     floor = F.greatest(F.lit(min_docs), F.ceil(F.col("of_docs") * min_share - 1e-9))
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
@@ -113,7 +115,8 @@ def repeated_lines(df: DataFrame, key: str, source: Column, text: Column, min_do
     )
     confirmed = materialize(exact)
     found = checked_broadcast(confirmed.select("source", "h"))
-    places = lines_of(texts, key, F.col("source"), F.col("text")).alias("l").join(found.alias("f"), same("l", "f") & (F.col("l.h") == F.col("f.h"))).select(key, "line_no")
+    lines = texts.select(key, "source", F.posexplode("lines").alias("i", "h")).where("h is not null")
+    places = lines.alias("l").join(found.alias("f"), same("l", "f") & (F.col("l.h") == F.col("f.h"))).select(key, (F.col("i") + 1).alias("line_no"))
     return places, confirmed
 
 
