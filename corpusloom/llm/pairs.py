@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.wordtrie import last_words, word_counts
-from corpusloom.session import materialize
+from corpusloom.session import checked_broadcast, materialize
 
 # Words that stand for a missing title, compared without case and outer signs.
 STAND_INS = frozenset(
@@ -53,6 +53,7 @@ _EPISODE = re.compile(r"(?:\s*[-|–—]\s*|\s*\()(?:part|p|ep\.?|episode|folge|
 _QUOTED = re.compile(r"“[^“”]*”|„[^„“”]*[“”]|«[^«»]*»|\"[^\"]*\"|‘[^‘’]*’(?!\w)|「[^「」]*」")
 _LABEL = re.compile(r"^\s*(?:title|video|description|titel|titre|título|response|answer|output)\s*[:–-]\s*", re.I)
 _DOTS = re.compile(r"(?:…|\.{2,})\s*$")
+_HYPHEN = re.compile(r"(?<=\w)[-‐‑](?=\w)")
 _SENTENCE = re.compile(r"[^.!?。！？…\n]+[.!?。！？…]*")
 _NAMES = ("empty", "truncated", "refusal", "copied", "other_language")
 
@@ -184,7 +185,8 @@ class SuffixAutomaton:
 
 def _flat(text: str) -> str:
     """Letter case, apostrophes and hyphens inside words aside."""
-    return re.sub(r"(?<=\w)[-‐‑](?=\w)", "", text.replace("’", "'")).casefold()
+    text = text.replace("’", "'").casefold()
+    return _HYPHEN.sub("", text) if "-" in text or not text.isascii() else text
 
 
 def _is_prose(line: str) -> bool:
@@ -205,6 +207,8 @@ def copied(title: str, description: str) -> bool:
     if rest and not _is_prose(head) and _WORDS.findall(bare_title(head).lower()) == _WORDS.findall(bare_title(title).lower()):
         text = rest
     text = _flat(text)
+    if sum(w in text for w in words) < TITLE_SHARE * len(words):
+        return False  # too few of its words stand there at all
     flat = " ".join(_WORDS.findall(text))
     if not any(" ".join(words[i : i + SEED]) in flat for i in range(len(words) - SEED + 1)):
         return False
@@ -233,18 +237,19 @@ def votes(text: str) -> dict[str, int]:
     return out
 
 
+_CYRILLIC, _CJK, _LATIN = re.compile("[\u0400-\u052f]"), re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]"), re.compile("[A-Za-z\u00c0-\u024f]")
+_FOREIGN = re.compile(f"{_CYRILLIC.pattern}|{_CJK.pattern}")
+
+
 def _script(text: str) -> str:
-    n = {"latin": 0, "cyrillic": 0, "cjk": 0}
-    for c in text:
-        if c.isalpha():
-            n["latin" if c < "ɐ" else "cyrillic" if "Ѐ" <= c < "԰" else "cjk" if c >= "぀" else "latin"] += 1
+    n = {"latin": len(_LATIN.findall(text)), "cyrillic": len(_CYRILLIC.findall(text)), "cjk": len(_CJK.findall(text))}
     return max(n, key=n.get) if any(n.values()) else ""
 
 
 def other_language(title: str, description: str) -> bool:
     """Stopword votes (and scripts) of the title outside quotations against those of the description."""
     t = bare_title(_QUOTED.sub(" ", title))
-    if not t.isascii() or not description.isascii():
+    if _FOREIGN.search(t) or _FOREIGN.search(description):
         a, b = _script(t), _script(description)
         if a and b and a != b:
             return len(re.findall(r"[^\W\d_]", t)) >= 4
@@ -328,9 +333,9 @@ def defective_pairs(verdicts: DataFrame, descriptions: DataFrame) -> DataFrame:
     n_last = F.coalesce("n_last", F.lit(0))
     total = F.coalesce("n", F.lit(0)) + n_last
     never_last = (total >= SEEN) & (n_last < total * LAST_SHARE)
-    broke = F.coalesce("cut", F.lit(False)) | never_last
-    defect = F.coalesce("defect", F.when(broke, F.lit("truncated")))
-    return found.join(words, "token", "left").select("verdict_id", defect.alias("defect")).where(F.col("defect").isNotNull())
+    # Only the words a title cannot end in meet the titles again: few, and none of those most titles end in.
+    bad = checked_broadcast(materialize(words.where(F.col("cut") | never_last).select("token", F.lit("truncated").alias("broke"))))
+    return found.join(bad, "token", "left").select("verdict_id", F.coalesce("defect", "broke").alias("defect")).where(F.col("defect").isNotNull())
 
 
 def _without_tail(title: Column) -> Column:
