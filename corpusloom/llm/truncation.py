@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.wordtrie import WORD, last_words, word_counts
-from corpusloom.session import materialize
+from corpusloom.session import checked_broadcast, materialize
 
 _CLOSERS = "\"'”’»›)]』」*_`"
 _TERMINAL = ".!?。！？"
@@ -155,6 +155,9 @@ def truncated(documents: DataFrame) -> DataFrame:
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "kind", "text")
     e = materialize(endings(texts))
     words = last_words(e.where(F.col("token") != ""), word_counts(documents.select("text")))
+    # Only words that say something meet the texts again: few, and not those many texts end in.
+    telling = words.where(F.col("cut") | ((F.col("n") >= SEEN / 4) & (F.col("n_end") < F.col("n") * END_SHARE)))
+    words = checked_broadcast(materialize(telling.select("token", "cut", "n", "n_end")))
     limits = length_limits(e)
     no = F.lit(False)
     joined = (
