@@ -278,22 +278,22 @@ def _slots_of_spans(mask: int):
     return run
 
 
-def _entries(kinds: tuple[int, int], bitmaps: dict[int, tuple[int, bytes]], slots_only: bool = False):
+def _entries(kinds: tuple[int, int], held, slots_only: bool = False):
     """A mapInArrow function over rows of the index: the entries of each text, its spans under ``kinds[0]`` (-1: none) and
-    all its suffixes under ``kinds[1]``. Entries whose slot is not set in the bitmap {kind: (slots, bits)} of their
-    kind, if there is one, are left out."""
+    all its suffixes under ``kinds[1]``. ``held`` is a broadcast of bitmaps {kind: (slots, bits)}; entries whose slot is
+    not set in that of their kind, if there is one, are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        bits = {k: (s - 1, np.frombuffer(b, np.uint8)) for k, (s, b) in bitmaps.items()}
+        bits = {k: (s - 1, np.frombuffer(b, np.uint8)) for k, (s, b) in held.value.items()}
 
         def present(key, kind):
             if kind not in bits:
                 return np.arange(len(key))
-            mask, held = bits[kind]
+            mask, bitmap = bits[kind]
             slot = key & mask
-            return np.flatnonzero((held[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+            return np.flatnonzero((bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
 
         for batch in batches:
             if not batch.num_rows:
@@ -359,9 +359,11 @@ def candidates(indexed: DataFrame) -> DataFrame:
     slots = slots_for(rows.select(F.sum(F.floor(F.col("n") / PER) + 1)).first()[0] or 0)
     spans = presence(rows.mapInArrow(_slots_of_spans(slots - 1), "kind int, slot long"), slots)
     # The training side's own spans meet only suffixes of queries: a second bitmap tells which of them can.
-    wanted = presence(queries.mapInArrow(_entries((-1, 1), {1: spans[1]}, True), "kind int, slot long"), slots)
-    q = queries.mapInArrow(_entries((0, 1), {1: spans[1]}), ENTRY)
-    t = train.mapInArrow(_entries((1, 0), {0: spans[0], 1: wanted[1]}), ENTRY)
+    share = indexed.sparkSession.sparkContext.broadcast
+    of_train = share({1: spans[1]})
+    wanted = presence(queries.mapInArrow(_entries((-1, 1), of_train, True), "kind int, slot long"), slots)
+    q = queries.mapInArrow(_entries((0, 1), of_train), ENTRY)
+    t = train.mapInArrow(_entries((1, 0), share({0: spans[0], 1: wanted[1]})), ENTRY)
     q = q.withColumn("n", F.shiftright("at", 32)).withColumn("pos", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)))
     t = t.withColumn("n", F.shiftright("at", 32)).withColumn("pos", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)))
     k = F.floor(F.greatest("q.n", "t.n") / PER)
