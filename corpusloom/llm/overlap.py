@@ -29,6 +29,8 @@ PER = 5
 SPANS = (3, 4, 5)
 #: Rows a task takes together to choose its spans by their counts; it changes no result.
 TOGETHER = 60_000
+#: Words of a longer text that are taken at once; a multiple of PER.
+BLOCK = 500
 #: Bits of a presence bitmap (it keeps suffixes without a partner out of the shuffle): 8 for each span, within these
 #: bounds, so at most 16 MB whatever the input.
 LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 27
@@ -176,7 +178,8 @@ def choose_spans(x, n, start):
     """(place, length, spans per text): for each text of n words floor(n / PER) + 1 disjoint spans that are rarest together.
 
     The cost of a span is how often it stands in these texts, on ties how often its words do. A dynamic program over
-    the words runs for texts of like length at once: least cost of j spans within the first i words."""
+    the words runs for texts of like length at once: least cost of j spans within the first i words. A text of over
+    BLOCK words is taken in blocks, so that time and memory grow with its length only."""
     import numpy as np
 
     inverse, count = np.unique(x, return_inverse=True, return_counts=True)[1:]
@@ -186,20 +189,31 @@ def choose_spans(x, n, start):
         at, often = np.unique(span_hash(x, w), return_inverse=True, return_counts=True)[1:]
         lp = sum(np.concatenate((logp[j:], np.zeros(j))) for j in range(w))
         cost[w] = often[at] + np.clip(1 + lp / 160, 0, 1)
-    k = n // PER + 1
-    place, length = np.zeros(int(k.sum()), np.int64), np.zeros(int(k.sum()), np.int64)
-    first = np.concatenate(([0], np.cumsum(k)[:-1]))
-    order = np.argsort(n, kind="stable")
+    per = n // PER + 1
+    place, length = np.zeros(int(per.sum()), np.int64), np.zeros(int(per.sum()), np.int64)
+    first = np.concatenate(([0], np.cumsum(per)[:-1]))
+    # Blocks: words, where they begin in x, spans, where those go, words of the text before the block.
+    long = np.flatnonzero(n > BLOCK + PER + 2)
+    short = np.flatnonzero(n <= BLOCK + PER + 2)
+    blocks = [(n[short], start[short], per[short], first[short], np.zeros(len(short), np.int64))]
+    for i in long:
+        m = int((n[i] - PER - 3) // BLOCK)  # whole blocks; the last one keeps at least PER + 3 words
+        at = BLOCK * np.arange(m + 1)
+        size = np.append(np.full(m, BLOCK), n[i] - BLOCK * m)
+        k = np.append(np.full(m, BLOCK // PER), per[i] - BLOCK // PER * m)
+        blocks.append((size, start[i] + at, k, first[i] + BLOCK // PER * np.arange(m + 1), at))
+    size, begin, k, goes, before = (np.concatenate(c) for c in zip(*blocks))
+    order = np.argsort(size, kind="stable")
     at = 0
     while at < len(order):
-        size = max(1, min(512, 2_000_000 // int(n[order[min(at + 511, len(order) - 1)]] ** 2 // PER + 1)))
-        texts = order[at : at + size]
-        at += size
-        _choose(cost, n[texts], start[texts], k[texts], first[texts], place, length)
-    return place, length, k
+        take = max(1, min(512, 2_000_000 // int(size[order[min(at + 511, len(order) - 1)]] ** 2 // PER + 1)))
+        part = order[at : at + take]
+        at += take
+        _choose(cost, size[part], begin[part], k[part], goes[part], before[part], place, length)
+    return place, length, per
 
 
-def _choose(cost, n, start, k, first, place, length) -> None:
+def _choose(cost, n, start, k, first, before, place, length) -> None:
     import numpy as np
 
     most, t = int(n.max()), len(n)
@@ -225,7 +239,7 @@ def _choose(cost, n, start, k, first, place, length) -> None:
         end = reached[rows, i]
         w = taken[rows, end]
         i = np.where(on, end - w, i)
-        place[first[on] + j], length[first[on] + j] = (end - w)[on], w[on]
+        place[first[on] + j], length[first[on] + j] = (before + end - w)[on], w[on]
 
 
 def _key(hashes, kind: int):

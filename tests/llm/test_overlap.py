@@ -36,7 +36,7 @@ def test_spans_are_disjoint_and_inside():
     import numpy as np
 
     r = random.Random(5)
-    n = np.array([r.randint(8, 90) for _ in range(300)] + [8, 9, 10, 11, 15, 700])
+    n = np.array([r.randint(8, 90) for _ in range(300)] + [8, 9, 10, 11, 15, 499, 507, 508, 509, 700, 1000, 1003, 1007, 1008, 1012, 30_000])
     x = np.array([r.randint(0, 40) for _ in range(int(n.sum()))], np.uint32)
     start = np.concatenate(([0], np.cumsum(n)[:-1]))
     place, length, k = overlap.choose_spans(x, n, start)
