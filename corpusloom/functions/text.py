@@ -182,9 +182,10 @@ def stamp_of(seconds: Column) -> Column:
 
 
 def edit_ratio(a: Column, b: Column) -> Column:
-    """edit distance over the longer length, letter case aside; 1 if either is empty."""
+    """edit distance over the longer length, both of the lower-case forms (a few are longer than the capital); 1 if either is empty."""
+    a, b = F.lower(a), F.lower(b)
     longer = F.greatest(F.length(a), F.length(b))
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(1.0)).otherwise(F.levenshtein(F.lower(a), F.lower(b)) / longer)
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(1.0)).otherwise(F.levenshtein(a, b) / longer)
 
 
 # What marks a line of a published description as a link, a social label or a plug.

@@ -157,9 +157,19 @@ def chrono_split(spark, d):
     SELECT verdict_id, CAST(change AS INTEGER) AS change, round(CASE WHEN length(a) = 0 OR length(b) = 0 THEN 1.0
            ELSE levenshtein(lower(a), lower(b)) / CAST(greatest(length(a), length(b)) AS DOUBLE) END, 6) AS ratio FROM p WHERE a IS NOT NULL AND b IS NOT NULL AND a = regexp_replace(a, '[^ -~]', '', 'g') AND b = regexp_replace(b, '[^ -~]', '', 'g')""")
 def title_edit_ratio(spark, d):
-    """F9 over the history of titles in plain characters (the two engines count others in different units)."""
-    s = titles.title_changes(table(spark, d, "verdicts")).where(~F.col("before").rlike("[^ -~]") & ~F.col("after").rlike("[^ -~]"))
-    return s.select("verdict_id", "change", F.round(text.edit_ratio(F.col("before"), F.col("after")), 6).alias("ratio"))
+    """F9 over the history of titles in plain characters, the part of title_edit_ratio_all that the SQL can check (its engine counts the distance of other characters in bytes)."""
+    plain = ~F.col("before").rlike("[^ -~]") & ~F.col("after").rlike("[^ -~]")
+    return _edit_ratios(titles.title_changes(table(spark, d, "verdicts")).where(plain))
+
+
+@query()
+def title_edit_ratio_all(spark, d):
+    """F9 over every step of the history of titles, in characters of any script; a step from or to a null title has no ratio and gives no row."""
+    return _edit_ratios(titles.title_changes(table(spark, d, "verdicts")).where(F.col("before").isNotNull() & F.col("after").isNotNull()))
+
+
+def _edit_ratios(changes: DataFrame) -> DataFrame:
+    return changes.select("verdict_id", "change", F.round(text.edit_ratio(F.col("before"), F.col("after")), 6).alias("ratio"))
 
 
 @query("""
