@@ -30,7 +30,25 @@ def glossary(df: DataFrame, text: str) -> DataFrame:
     counts = single.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
     pieces = df.select(F.explode(F.split(F.translate(text, "’", "'"), r"[.!?]+")).alias("s"))
     initial = pieces.select(F.regexp_extract("s", r"[A-Za-z][A-Za-z'\-]+", 0).alias("name")).where("name <> ''").distinct().withColumn("_first", F.lit(True))
-    lower = df.select(F.explode(F.regexp_extract_all(F.translate(text, "’", "'"), F.lit(r"[A-Za-z][A-Za-z']+"), F.lit(0))).alias("w")).where(F.col("w").rlike("^[a-z]"))
-    ordinary = lower.groupBy(F.lower("w").alias("_w")).agg(F.count("*").alias("_n")).where(F.col("_n") >= ORDINARY).select("_w")
     kept = counts.join(initial, "name", "left").where(F.col("_first").isNull() | (F.col("n") >= 4) | F.col("name").rlike("['-]"))
-    return kept.join(ordinary, F.lower("name") == F.col("_w"), "left_anti").select("name", "n")
+    return kept.join(_ordinary(df, text), F.lower("name") == F.col("_w"), "left_anti").select("name", "n")
+
+
+def glossary_pairs(df: DataFrame, text: str) -> DataFrame:
+    """name, n: two adjacent words that both begin with a capital and are neither COMMON nor seen in lower case ORDINARY
+    times, LEAST times or more. Words have two letters or more and lose their possessive; pairs overlap, go on over the
+    signs between two words, sentence ends included, but not from one text to the next."""
+    words = F.regexp_extract_all(F.translate(text, "’", "'"), F.lit(r"[A-Za-z][A-Za-z'\-]+"), F.lit(0))
+    bare = F.transform(words, lambda w: F.regexp_replace(F.regexp_replace(w, "'s$", ""), "'+$", ""))
+    is_name = lambda w: w.rlike("^[A-Z]") & ~w.isin(COMMON)
+    both = F.filter(F.arrays_zip(F.col("_w").alias("a"), F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(0))).alias("b")), lambda p: is_name(p["a"]) & is_name(p["b"]))
+    counts = df.select(bare.alias("_w")).select(F.explode(both).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
+    for side in ("a", "b"):
+        counts = counts.join(_ordinary(df, text), F.lower(side) == F.col("_w"), "left_anti")
+    return counts.select(F.concat_ws(" ", "a", "b").alias("name"), "n")
+
+
+def _ordinary(df: DataFrame, text: str) -> DataFrame:
+    """_w: the words seen in lower case ORDINARY times."""
+    lower = df.select(F.explode(F.regexp_extract_all(F.translate(text, "’", "'"), F.lit(r"[A-Za-z][A-Za-z']+"), F.lit(0))).alias("w")).where(F.col("w").rlike("^[a-z]"))
+    return lower.groupBy(F.lower("w").alias("_w")).agg(F.count("*").alias("_n")).where(F.col("_n") >= ORDINARY).select("_w")

@@ -329,6 +329,16 @@ def glossary_names(spark, d):
     return glossary.glossary(_docs(spark, d).where(F.lower("lang").startswith("en")), "text")
 
 
+@query("WITH " + _GLOSSARY + r""",
+    k AS (SELECT list_transform(regexp_extract_all(t, '[A-Za-z][A-Za-z\x27\-]+'), lambda x: regexp_replace(regexp_replace(x, '\x27s$', ''), '\x27+$', '')) AS ks FROM en),
+    p AS (SELECT unnest(ks[:-2]) AS a, unnest(ks[2:]) AS b FROM k WHERE len(ks) > 1)
+    SELECT a || ' ' || b AS name, count(*) AS n FROM p WHERE regexp_matches(a, '^[A-Z]') AND regexp_matches(b, '^[A-Z]') AND a NOT IN ({_COMMON}) AND b NOT IN ({_COMMON})
+        AND lower(a) NOT IN (SELECT x FROM o) AND lower(b) NOT IN (SELECT x FROM o) GROUP BY a, b HAVING count(*) >= 2""".replace("{_COMMON}", _COMMON))
+def glossary_pairs(spark, d):
+    """Names of two words in the English documents."""
+    return glossary.glossary_pairs(_docs(spark, d).where(F.lower("lang").startswith("en")), "text")
+
+
 @query()
 def fuzzy_names(spark, d):
     """Heard words near a name of the glossary."""

@@ -130,3 +130,9 @@ def test_glossary(spark):
     text = "Then Kelda came. I saw Kelda and the lamp. Lamp was lit. lamp lamp lamp lamp lamp. O'Hara left. See O'Hara there. Zed."
     got = {r.name: r.n for r in glossary.glossary(spark.createDataFrame([(text,), (None,)], "t string"), "t").collect()}
     assert got == {"Kelda": 2, "O'Hara": 2}
+
+
+def test_glossary_pairs(spark):
+    texts = ["Then Mater Mundi came. The old Mater Mundi's hall. Mater", "Mundi Mater. Only BB Chojiro’s brother and BB Chojiro. Red Lamp, Red Lamp. The Kelda The Kelda", "lamp " * 5, "O'Hara Ann O'Hara Ann", "", None]
+    got = {r.name: r.n for r in glossary.glossary_pairs(spark.createDataFrame([(t,) for t in texts], "t string"), "t").collect()}
+    assert got == {"Mater Mundi": 2, "BB Chojiro": 2, "O'Hara Ann": 2}
