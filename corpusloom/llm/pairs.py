@@ -328,7 +328,7 @@ def defective_pairs(verdicts: DataFrame, descriptions: DataFrame) -> DataFrame:
     pairs = pair_texts(verdicts, descriptions).withColumn("verdict_id", F.col("verdict_id").cast("long"))
     found = materialize(pairs.mapInArrow(run, FEATURES))
     titles = verdicts.select(F.explode("titles").alias("title")).select(_without_tail(F.col("title")).alias("title"))
-    counts = word_counts(titles, drop_last=False)
+    counts = word_counts(titles.groupBy(F.lower("title").alias("title")).agg(F.count("*").alias("times")), drop_last=False)
     words = last_words(found.where(F.col("defect").isNull()), counts)
     n_last = F.coalesce("n_last", F.lit(0))
     total = F.coalesce("n", F.lit(0)) + n_last

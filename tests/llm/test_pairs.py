@@ -67,3 +67,21 @@ def test_pairs(spark):
     assert got == [(500, "empty"), (501, "empty"), (502, "empty"), (503, "truncated"), (503, "truncated"), (504, "truncated"), (505, "refusal"), (506, "copied"), (507, "other_language")]
     assert defective_pairs(verdicts.limit(0), descriptions).count() == 0
     assert inspect("Fine Title Here", "") == (None, "here")
+
+
+def test_copies_of_a_cut_title_do_not_vouch_for_its_fragment(spark):
+    towns = [f"Town{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+
+    def found(titles):
+        rows = [(i, f"v{i}", [t]) for i, t in enumerate(titles)]
+        verdicts = spark.createDataFrame(rows, "verdict_id long, video_id string, titles array<string>")
+        descriptions = spark.createDataFrame([(v, (None, PROSE, None)) for _, v, _ in rows], "video_id string, snippet struct<title:string,description:string,tags:array<string>>")
+        return {i for i, in defective_pairs(verdicts, descriptions).where("defect = 'truncated'").select("verdict_id").collect()}
+
+    whole = [f"How Ann Painted {t}" for t in towns[:40]]
+    # one cut title in a third of the rows, and another one cut to the same fragment
+    assert found(whole + ["Why Ben Pain"] * 20 + ["When Cat Pain"]) == set(range(40, 61))
+    # 2 of 40 and 20 of 400 are cut alike; a whole word that ends many titles is none
+    assert found(whole + [f"Why {t} Pain" for t in towns[:2]]) == {40, 41}
+    assert found([f"How Ann Painted {t}" for t in towns] + [f"Why {t} Pain" for t in towns[:20]]) == set(range(400, 420))
+    assert found([f"How Ann Tales {t}" for t in towns[:40]] + [f"Why {t} Tale" for t in towns[:12]]) == set()
