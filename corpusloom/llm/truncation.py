@@ -51,6 +51,11 @@ def is_caption(line: str) -> bool:
     return len(words) > 1 and len(letters) > 3 and line.upper() == line and line.lower() != line
 
 
+def asks_word(line: str) -> bool:
+    """A caption that may be prose all the same: known only by how it begins (a dash, 'Label: x'), and ending in a word."""
+    return (line[0] in "–—~" or line.startswith("--") or _LABEL.match(line) is not None) and not _LINK.search(line) and last_token(line) != ""
+
+
 def last_token(text: str) -> str:
     """The last word of a text in lower case, if nothing but closers stands after it; else ''."""
     tail = text.rstrip()[-80:].rstrip(_CLOSERS + " ").lower()
@@ -59,7 +64,7 @@ def last_token(text: str) -> str:
 
 
 def ending(text: str | None, kind: str | None) -> tuple[str, str] | None:
-    """(state, last token) of a text; None for a null, empty or blank one."""
+    """(state, last token) of a text, the token of a whole one only if it is whole unless its last word is cut; None for a null, empty or blank one."""
     if text is None or not text.strip():
         return None
     s = text.rstrip()
@@ -88,7 +93,7 @@ def ending(text: str | None, kind: str | None) -> tuple[str, str] | None:
         done = plain.rstrip(_CLOSERS)[-1:]
         return (WHOLE, "") if done and done in _TERMINAL else (CUT, last_token(plain))
     if is_caption(last) and not (last.startswith("- ") or last.startswith("* ")):
-        return WHOLE, ""
+        return WHOLE, last_token(last) if asks_word(last) else ""
     s = _TAGS.sub("", s) or s
     if m := _ELLIPSIS.search(s):
         before = s[: m.start()]
@@ -138,11 +143,11 @@ def length_limits(lengths: DataFrame) -> DataFrame:
 
 
 def judge(state: Column, cut_word: Column, n: Column, n_end: Column, at_limit: Column) -> Column:
-    """Whether a text broke off. A text that ends in dots is whole unless its last word is cut or ends no sentence; at a
+    """Whether a text broke off. A whole text with a token did if that is a cut word. A text that ends in dots is whole unless its last word is cut or ends no sentence; at a
     length where its source's texts pile up, fewer occurrences of the word are enough to say so."""
     seen = F.when(at_limit, SEEN / 4).otherwise(SEEN)
     never_last = (n >= seen) & (n_end < n * END_SHARE)
-    return F.when(state == CUT, True).when(state == ASK_WORD, cut_word).when(state == ASK_ELLIPSIS, cut_word | never_last).otherwise(False)
+    return F.when(state == CUT, True).when(state == ASK_WORD, cut_word).when(state == ASK_ELLIPSIS, cut_word | never_last).otherwise(cut_word)
 
 
 def truncated(documents: DataFrame) -> DataFrame:

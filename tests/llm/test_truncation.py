@@ -40,3 +40,10 @@ def test_documents(spark):
     assert {i for i, (t, _) in got.items() if t} == {100, 101, 104} and all(got[i][1] for i in (100, 101, 104)) and 105 not in got and 106 not in got
     assert {r.source: r.n_truncated for r in by_source(marked).collect()} == {"s": 3, None: 0}
     assert truncated(df.limit(0)).count() == 0
+
+
+def test_short_lines_cut_inside_a_word(spark):
+    whole = [(i, f"Because the kettle slept, the old garden waited number {i % 7} again and the garden slept.", "s") for i in range(40)]
+    ends = ["– said the old gard", "Note: the old gard", "-- the gard", "– said the old garden", "Note: the old kettle", "– Ann, Kestrel-Row", "Total: 27", "Link: https://x.example/gard", "– said the old garden.", "(the old gard)"]
+    df = spark.createDataFrame([(*r, "chapter") for r in whole] + [(100 + i, "It was late.\n" + x, "s", "chapter") for i, x in enumerate(ends)], "doc_id long, text string, source string, kind string")
+    assert {r.doc_id for r in truncated(df).where("truncated and in_word").collect()} == {100, 101, 102} == {r.doc_id for r in truncated(df).where("truncated").collect()}
