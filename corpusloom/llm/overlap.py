@@ -1,13 +1,16 @@
-"""Same or near-same records across splits: a partitioned, truncated suffix array finds shared spans, an exact word edit distance decides.
-
-Two word sequences of which the longer has L words are near-copies if at most k = floor(L / 5) words must be changed,
-added or dropped. An edit touches at most one of k + 1 disjoint spans of the longer text, so one of them or more stands
-in the other text as it is. The longer text therefore contributes k + 1 disjoint suffix prefixes of 3 to 5 words, the
-shorter one all of its suffixes; suffixes are partitioned and sorted by their first words, and neighbours of opposite
-sides share a span. Which spans a text contributes is free, any choice finds every partner: a dynamic program takes
-those that are rarest together, so that lines which stand in thousands of texts are not met on. Pairs that share spans
-and pass bounds of length, place and word signature that no near-copy can fail get the exact distance. No link is
-lost, nothing is capped.
+"""Same or near-same records across splits: a partitioned suffix array finds shared spans, an exact word edit distance decides.
+
+Of two word sequences the longer of which has L words, at most k = floor(L / 5) words may be changed, added or dropped.
+An edit breaks at most one of k + 1 disjoint spans of either text, so one span or more stands in the other text as it
+is, and begins there at a suffix. One side of the split, the one with fewer words, gives all its suffixes; they are
+sorted by their leading words into a suffix array, which is cut into ranges of like size. Each text of the other side
+gives the k + 1 suffixes that must suffice (``seekers``), each with the number of words that count; a seeker takes its
+place in every range its prefix reaches, and its neighbours of the opposite split are those with a common prefix of
+that many words. The spans of a pair are merged into the words they cover, and the exact distance is the last word.
+
+Which spans a text contributes is free, any choice finds every partner: a dynamic program takes those that are rarest
+together, so that lines which stand in thousands of texts are met only where a text has nothing else. No link is lost,
+nothing is capped, and the entries of a text grow with its length alone.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.lookalike import canonical
@@ -25,16 +28,23 @@ from corpusloom.session import checked_broadcast, materialize, written
 MIN_WORDS = 8
 #: At most a fifth of the words of the longer text may differ.
 PER = 5
-#: Words of a span; with at least 3, k + 1 disjoint ones fit into any text of 8 words or more.
-SPANS = (3, 4, 5)
-#: Rows a task takes together to choose its spans by their counts; it changes no result.
-TOGETHER = 60_000
-#: Words of a longer text that are taken at once; a multiple of PER.
+#: A text may have a partner longer than itself; the most words that may differ then are a quarter of its own.
+PER_LONGER = 4
+#: Words of a span; with at least 2, floor(n / 4) + 1 disjoint ones fit into any text of 8 words or more.
+SPANS = (2, 3, 4, 5)
+#: Words a task takes together to choose spans by their counts; it changes no result.
+TOGETHER = 2_500_000
+#: Words of a longer text that are taken at once; a multiple of PER and PER_LONGER.
 BLOCK = 500
-#: Bits of a presence bitmap (it keeps suffixes without a partner out of the shuffle): 8 for each span, within these
-#: bounds, so at most 16 MB whatever the input.
-LEAST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 27
-_BUCKET = 1 << 15
+#: Suffixes in a range of the array, seekers held against it by one task, and pairs looked at at once; they change no result.
+RANGE, SEEKERS, PAIRS = 1_000_000, 2_000_000, 2_000_000
+#: Keys looked at for each edge between two ranges.
+SAMPLE = 400
+
+# A suffix as a number, in the order of its leading words: codes of five words and the length of its text.
+_BITS = (15, 14, 12, 8, 6)
+_AT = (48, 34, 22, 14, 8)
+_LENGTH = 255
 
 _word = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
@@ -53,7 +63,7 @@ def words_of(text: str | None) -> list[str]:
     return _word.findall(text.casefold())
 
 
-def edit_distance(a: list[str], b: list[str], most: int) -> int:
+def edit_distance(a: list, b: list, most: int) -> int:
     """Word edit distance of two sequences (bit-parallel, any length); a value above ``most`` only says so."""
     if len(a) < len(b):
         a, b = b, a
@@ -64,7 +74,7 @@ def edit_distance(a: list[str], b: list[str], most: int) -> int:
     m = len(b)
     if not m:
         return len(a)
-    at: dict[str, int] = {}
+    at: dict = {}
     for i, w in enumerate(b):
         at[w] = at.get(w, 0) | 1 << i
     mask, top = (1 << m) - 1, 1 << (m - 1)
@@ -93,16 +103,13 @@ def allowed(n: int, m: int) -> int:
     return max(n, m) // PER
 
 
-def near(a: list[str], b: list[str]) -> bool:
+def near(a: list, b: list) -> bool:
     k = allowed(len(a), len(b))
     return edit_distance(a, b, k) <= k
 
 
-# A text of the index: n words, a 64-bit word signature, the words as 24-bit codes, the spans it contributes (place * 8 + length).
-INDEX = "id long, train boolean, n int, sig long, codes binary, picks binary"
-# A suffix entry. key: a hash of its first words and of its kind (0 where the query is the longer text, 1 where the
-# training text is); at: words of the text * 2^32 + place.
-ENTRY = "key long, id long, at long, sig long"
+# A text of the index: n words, a 128-bit hash of them, the words as 24-bit codes.
+INDEX = "id long, train boolean, n int, h1 long, h2 long, codes binary"
 
 
 def index(texts: DataFrame) -> DataFrame:
@@ -113,44 +120,27 @@ def index(texts: DataFrame) -> DataFrame:
         import xxhash
 
         class Codes(dict):
-            def __missing__(self, w: str) -> int:
+            def __missing__(self, w: str) -> bytes:
                 if len(self) > 300_000:
                     self.clear()
-                h = self[w] = xxhash.xxh32_intdigest(w) & 0xFFFFFF
+                h = self[w] = xxhash.xxh32_digest(w)[:3]
                 return h
 
         code = Codes().__getitem__
-
-        def emit(ids, train, sizes, flat) -> pa.RecordBatch:
-            x, n = np.array(flat, np.uint32), np.array(sizes)
-            start = np.concatenate(([0], np.cumsum(n)[:-1]))
-            sig = np.bitwise_or.reduceat(np.uint64(1) << (x >> np.uint32(18)).astype(np.uint64), start).view(np.int64)
-            place, length, per = choose_spans(x, n, start)
-            picks = (place * 8 + length).astype(np.uint32)
-            cut = np.concatenate(([0], np.cumsum(per)))
-            short = x.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()  # three bytes a word, little-endian
-            codes = [short[3 * a : 3 * (a + m)] for a, m in zip(start.tolist(), n.tolist())]
-            spans = [picks[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(train), pa.array(n.astype(np.int32)), pa.array(sig), pa.array(codes, pa.binary()), pa.array(spans, pa.binary())],
-                names=["id", "train", "n", "sig", "codes", "picks"],
-            )
-
-        held: tuple[list, list, list, list] = ([], [], [], [])
         for batch in batches:
-            ids, train, sizes, flat = held
-            for i, side, t in zip(*(batch.column(j).to_pylist() for j in range(3))):
+            kept, codes, hashes = [], [], []
+            for i, t in enumerate(batch.column(2).to_pylist()):
                 ws = words_of(t)
                 if len(ws) >= MIN_WORDS:
-                    ids.append(i)
-                    train.append(side)
-                    sizes.append(len(ws))
-                    flat.extend(map(code, ws))
-            if len(ids) >= TOGETHER:
-                yield emit(*held)
-                held = ([], [], [], [])
-        if held[0]:
-            yield emit(*held)
+                    kept.append(i)
+                    codes.append(b"".join(map(code, ws)))
+                    hashes.append(xxhash.xxh3_128_digest(" ".join(ws)))
+            n = pa.array([len(c) // 3 for c in codes], pa.int32())
+            h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            at = pa.array(kept, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), n, pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(codes, pa.binary())], names=["id", "train", "n", "h1", "h2", "codes"]
+            )
 
     return texts.select("id", "train", "text").mapInArrow(run, INDEX)
 
@@ -163,23 +153,14 @@ def span_hash(x, w: int):
     for j in range(w):
         y = np.zeros(len(x), np.uint32)
         y[: len(x) - j] = x[j:]
-        h = _mix(h, y)
+        h = (h ^ y) * np.uint64(0x9FB21C651E98DF25)
+        h ^= h >> np.uint64(29)
     return h
 
 
-def _mix(h, codes):
-    import numpy as np
-
-    h = (h ^ codes) * np.uint64(0x9FB21C651E98DF25)
-    return h ^ (h >> np.uint64(29))
-
-
-def choose_spans(x, n, start):
-    """(place, length, spans per text): for each text of n words floor(n / PER) + 1 disjoint spans that are rarest together.
-
-    The cost of a span is how often it stands in these texts, on ties how often its words do. A dynamic program over
-    the words runs for texts of like length at once: least cost of j spans within the first i words. A text of over
-    BLOCK words is taken in blocks, so that time and memory grow with its length only."""
+def span_costs(x) -> dict:
+    """For each length of a span the cost of the one that begins at each word: how often it stands in these texts, on
+    ties how often its words do."""
     import numpy as np
 
     inverse, count = np.unique(x, return_inverse=True, return_counts=True)[1:]
@@ -189,28 +170,38 @@ def choose_spans(x, n, start):
         at, often = np.unique(span_hash(x, w), return_inverse=True, return_counts=True)[1:]
         lp = sum(np.concatenate((logp[j:], np.zeros(j))) for j in range(w))
         cost[w] = often[at] + np.clip(1 + lp / 160, 0, 1)
-    per = n // PER + 1
-    place, length = np.zeros(int(per.sum()), np.int64), np.zeros(int(per.sum()), np.int64)
-    first = np.concatenate(([0], np.cumsum(per)[:-1]))
-    # Blocks: words, where they begin in x, spans, where those go, words of the text before the block.
-    long = np.flatnonzero(n > BLOCK + PER + 2)
-    short = np.flatnonzero(n <= BLOCK + PER + 2)
-    blocks = [(n[short], start[short], per[short], first[short], np.zeros(len(short), np.int64))]
+    return cost
+
+
+def choose_spans(cost, n, start, per: int = PER):
+    """(place, length, spans per text): for each text of n words floor(n / per) + 1 disjoint spans that cost least together.
+
+    A dynamic program over the words runs for texts of like length at once: least cost of j spans within the first i
+    words. A text of over BLOCK words is taken in blocks, so that time and memory grow with its length only."""
+    import numpy as np
+
+    many = n // per + 1
+    place, length = np.zeros(int(many.sum()), np.int64), np.zeros(int(many.sum()), np.int64)
+    first = np.concatenate(([0], np.cumsum(many)[:-1])).astype(np.int64)
+    # Blocks: words, where they begin, spans, where those go, words of the text before the block.
+    least = MIN_WORDS  # words the last block of a text keeps at least
+    long, short = np.flatnonzero(n >= BLOCK + least), np.flatnonzero(n < BLOCK + least)
+    blocks = [(n[short], start[short], many[short], first[short], np.zeros(len(short), np.int64))]
     for i in long:
-        m = int((n[i] - PER - 3) // BLOCK)  # whole blocks; the last one keeps at least PER + 3 words
+        m = int((n[i] - least) // BLOCK)
         at = BLOCK * np.arange(m + 1)
         size = np.append(np.full(m, BLOCK), n[i] - BLOCK * m)
-        k = np.append(np.full(m, BLOCK // PER), per[i] - BLOCK // PER * m)
-        blocks.append((size, start[i] + at, k, first[i] + BLOCK // PER * np.arange(m + 1), at))
+        k = np.append(np.full(m, BLOCK // per), many[i] - BLOCK // per * m)
+        blocks.append((size, start[i] + at, k, first[i] + BLOCK // per * np.arange(m + 1), at))
     size, begin, k, goes, before = (np.concatenate(c) for c in zip(*blocks))
     order = np.argsort(size, kind="stable")
     at = 0
     while at < len(order):
-        take = max(1, min(512, 2_000_000 // int(size[order[min(at + 511, len(order) - 1)]] ** 2 // PER + 1)))
+        take = max(1, min(512, 2_000_000 // int(size[order[min(at + 511, len(order) - 1)]] ** 2 // per + 1)))
         part = order[at : at + take]
         at += take
         _choose(cost, size[part], begin[part], k[part], goes[part], before[part], place, length)
-    return place, length, per
+    return place, length, many
 
 
 def _choose(cost, n, start, k, first, before, place, length) -> None:
@@ -227,8 +218,8 @@ def _choose(cost, n, start, k, first, before, place, length) -> None:
         for w, c in costs.items():
             value = least[:, : most - w + 1] + c[:, : most - w + 1]
             better = value < best[:, w:]
-            best[:, w:] = np.where(better, value, best[:, w:])
-            taken[:, w:] = np.where(better, w, taken[:, w:])
+            np.copyto(best[:, w:], value, where=better)
+            np.copyto(taken[:, w:], np.int8(w), where=better)
         least = np.minimum.accumulate(best, axis=1)
         # Where the least is reached: the last span ends at the nearest such place on the left.
         steps.append((taken, np.maximum.accumulate(np.where(best <= least, np.arange(most + 1)[None, :], 0), axis=1)))
@@ -242,163 +233,325 @@ def _choose(cost, n, start, k, first, before, place, length) -> None:
         place[first[on] + j], length[first[on] + j] = (before + end - w)[on], w[on]
 
 
-def _key(hashes, kind: int):
+def suffix_keys(x, n, start):
+    """The number of each suffix: ordered by its first five words; 0 stands for words behind the end of the text."""
+    import numpy as np
+
+    owner = np.repeat(np.arange(len(n)), n)
+    left = (start + n)[owner] - np.arange(len(x))
+    key = np.minimum(n, _LENGTH)[owner].astype(np.int64)
+    for j, (bits, at) in enumerate(zip(_BITS, _AT)):
+        y = np.zeros(len(x), np.int64)
+        y[: len(x) - j] = x[j:]
+        code = 1 + ((y ^ y >> (9 - 2 * j)) % ((1 << bits) - 1))
+        key |= np.where(left > j, code, 0) << at
+    return key
+
+
+def reach(key, w, n, least):
+    """(lo, hi): the keys that share the first w words of ``key``; with five words, only those of texts of a length that can match."""
     import numpy as np
 
-    return (hashes ^ np.uint64(kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).view(np.int64)
+    low = np.array((0, *_AT), np.int64)[w]
+    lo = key >> low << low
+    hi = lo | (np.int64(1) << low) - 1
+    five = w == len(_AT)
+    short = np.where(least > 0, PER * least, n - n // PER)
+    long = np.where(least > 0, PER * (n // PER_LONGER) + n % PER_LONGER, PER * (n // PER) + PER - 1)
+    return np.where(five, lo + np.minimum(short, _LENGTH), lo), np.where(five, lo + np.minimum(long, _LENGTH), hi)
+
 
+def seekers(x, n, start):
+    """(text, place, length, least) of the suffixes that must suffice to find every partner of each text of n words.
+
+    Partners no longer than the text, or of the same bound k = floor(n / 5), are found by k + 1 spans (least = 0).
+    For longer ones the bound is up to floor(n / 4): of that many spans and one more, the i-th cheapest is needed only
+    for partners whose bound is at least i, which is what ``least`` says."""
+    import numpy as np
 
-def _read(batch: pa.RecordBatch):
-    """Columns of an index batch (id, n, sig, codes, picks) as arrays: id, n, sig, codes, start, span places, span lengths, their text."""
+    cost = span_costs(x)
+    place, length, many = choose_spans(cost, n, start)
+    text = np.repeat(np.arange(len(n)), many)
+    grows = np.flatnonzero(n // PER_LONGER > n // PER)
+    p, w, m = choose_spans(cost, n[grows], start[grows], PER_LONGER)
+    t = np.repeat(grows, m)
+    price = np.zeros(len(p))
+    for s in SPANS:
+        mine = np.flatnonzero(w == s)
+        price[mine] = cost[s][start[t[mine]] + p[mine]]
+    order = np.lexsort((price, t))
+    rank = np.empty(len(p), np.int64)
+    rank[order] = np.arange(len(p)) - np.repeat(np.cumsum(m) - m, m)
+    return np.concatenate((text, t)), np.concatenate((place, p)), np.concatenate((length, w)), np.concatenate((np.zeros(len(text), np.int64), np.maximum(rank, n[t] // PER + 1)))
+
+
+def _words(batch: pa.RecordBatch, codes: int, n: int):
+    """(n, start, word codes) of the texts of a batch of the index."""
     import numpy as np
 
-    ident, n, sig = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-    n = n.astype(np.int64)
-    short = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, 3)
+    size = batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64)
+    short = np.frombuffer(b"".join(batch.column(codes).to_pylist()), np.uint8).reshape(-1, 3)
     x = np.pad(short, ((0, 0), (0, 1))).view(np.uint32).ravel()
-    picks = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).astype(np.int64)
-    start = np.concatenate(([0], np.cumsum(n)[:-1])) if len(n) else n
-    return ident, n, sig, x, start, picks >> 3, picks & 7, np.repeat(np.arange(len(n)), n // PER + 1)
+    return size, np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64), x
 
 
-def _span_keys(x, start, place, length, by, kind: int):
-    """Keys of the chosen spans alone."""
+_COLUMNS = ("<i8", "<i8", "<u4", "<u4", "<u4")
+
+
+def _pack(*columns) -> bytes:
+    """Sorted keys as differences, then the other columns, byte planes apart, compressed."""
     import numpy as np
+    import zstandard
 
-    keys = np.zeros(len(place), np.int64)
-    for w in SPANS:
-        mine = np.flatnonzero(length == w)
-        at = start[by[mine]] + place[mine]
-        h = np.full(len(at), w, np.uint64)
-        for j in range(w):
-            h = _mix(h, x[at + j])
-        keys[mine] = _key(h, kind)
-    return keys
+    key = columns[0]
+    planes = []
+    for c, kind in zip((np.diff(key, prepend=0), *columns[1:]), _COLUMNS):
+        planes.append(np.ascontiguousarray(c.astype(kind).view(np.uint8).reshape(len(key), -1).T).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def _slots_of_spans(mask: int):
-    """A mapInArrow function: the presence slots of the spans of each text, under kind 0 for queries and 1 for training texts."""
+def _unpack(raw: bytes):
+    import numpy as np
+    import zstandard
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    rows, at, out = len(data) // 28, 0, []
+    for kind in _COLUMNS:
+        width = int(kind[2])
+        out.append(np.ascontiguousarray(data[at : at + rows * width].reshape(width, rows).T).view(kind).ravel())
+        at += rows * width
+    return [np.cumsum(out[0]), *out[1:]]
 
-        for batch in batches:
-            if batch.num_rows:
-                _, _, _, x, start, place, length, by = _read(batch)
-                side = batch.column(5).to_numpy(zero_copy_only=False).astype(np.int32)[by]
-                slot = np.where(side == 1, _span_keys(x, start, place, length, by, 1), _span_keys(x, start, place, length, by, 0)) & mask
-                yield pa.RecordBatch.from_arrays([pa.array(side), pa.array(slot)], names=["kind", "slot"])
 
-    return run
+def _spread(value, ways):
+    """A number below ``ways`` from each id."""
+    import numpy as np
 
+    h = value.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h >> np.uint64(33)) % np.maximum(ways, 1).astype(np.uint64)).astype(np.int64)
 
-def _entries(kinds: tuple[int, int], held, slots_only: bool = False):
-    """A mapInArrow function over rows of the index: the entries of each text, its spans under ``kinds[0]`` (-1: none) and
-    all its suffixes under ``kinds[1]``. ``held`` is a broadcast of bitmaps {kind: (slots, bits)}; entries whose slot is
-    not set in that of their kind, if there is one, are left out."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+ENTRY = "part int, kind int, block binary"
 
-        bits = {k: (s - 1, np.frombuffer(b, np.uint8)) for k, (s, b) in held.value.items()}
 
-        def present(key, kind):
-            if kind not in bits:
-                return np.arange(len(key))
-            mask, bitmap = bits[kind]
-            slot = key & mask
-            return np.flatnonzero((bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+def _entries(array_train: bool, held):
+    """A mapInArrow function over (id, train, n, codes): blocks of entries for each part of the array.
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ident, n, sig, x, start, place, length, by = _read(batch)
-            found = []
-            if kinds[0] >= 0:
-                key = _span_keys(x, start, place, length, by, kinds[0])
-                here = present(key, kinds[0])
-                found.append((key[here], by[here], place[here]))
-            owner = np.repeat(np.arange(len(n)), n)
-            pos = np.arange(len(x)) - start[owner]
-            for w in SPANS:
-                fits = np.flatnonzero(pos + w <= n[owner])
-                key = _key(span_hash(x, w)[fits], kinds[1])
-                here = present(key, kinds[1])
-                found.append((key[here], owner[fits[here]], pos[fits[here]]))
-            for key, o, p in found:
-                if slots_only:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kinds[1], np.int32)), pa.array(key & bits[kinds[1]][0])], names=["kind", "slot"])
+    kind 0: suffixes of the side that gives them all; kind 1: seekers of the other. ``held`` is a broadcast of (edges
+    between ranges, parts of each range); a range in several parts has its suffixes in each of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        edges, parts = held.value
+        offset = np.concatenate(([0], np.cumsum(parts)))
+
+        def blocks(part, kind: int, *columns):
+            order = np.lexsort((columns[0], part))
+            part, columns = part[order], [c[order] for c in columns]
+            cut = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+            out = [(int(part[a]), kind, _pack(*(c[a:b] for c in columns))) for a, b in zip(cut[:-1], cut[1:])]
+            cols = list(zip(*out)) or [()] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int32(), pa.binary()))], names=["part", "kind", "block"])
+
+        def repeated(first, last):
+            """Each row once for each number from first to last: (row, number)."""
+            times = last - first + 1
+            row = np.repeat(np.arange(len(first)), times)
+            return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+
+        def emit(table: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            batch = pa.Table.from_batches(table).combine_chunks().to_batches()[0]
+            side = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for kind, mine in ((0, side == array_train), (1, side != array_train)):
+                at = np.flatnonzero(mine)
+                if not len(at):
+                    continue
+                own = batch.take(pa.array(at))
+                ident = own.column(0).to_numpy(zero_copy_only=False)
+                n, start, x = _words(own, 3, 2)
+                keys = suffix_keys(x, n, start)
+                if kind == 0:
+                    text = np.repeat(np.arange(len(n)), n)
+                    lo, hi = np.searchsorted(edges, keys, "left"), np.searchsorted(edges, keys, "right")
+                    where = lo + _spread(ident[text], hi - lo + 1)  # a key that fills whole ranges is spread over them
+                    row, part = repeated(offset[where], offset[where + 1] - 1)
+                    yield blocks(part, 0, keys[row], ident[text[row]], n[text[row]], (np.arange(len(x)) - start[text])[row], np.zeros(len(row), np.int64))
                 else:
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ident[o]), pa.array(n[o] << 32 | p), pa.array(sig[o])], names=["key", "id", "at", "sig"])
+                    text, place, length, least = seekers(x, n, start)
+                    key = keys[start[text] + place]
+                    lo, hi = reach(key, length, n[text], least)
+                    row, where = repeated(np.searchsorted(edges, lo, "left"), np.searchsorted(edges, hi, "right"))
+                    part = offset[where] + _spread(ident[text[row]], parts[where])
+                    yield blocks(part, 1, key[row], ident[text[row]], n[text[row]], place[row], (length | least << 3)[row])
+
+        waiting: list[pa.RecordBatch] = []
+        words = 0
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+                words += batch.column(3).nbytes // 3
+            if words >= TOGETHER:
+                yield from emit(waiting)
+                waiting, words = [], 0
+        if waiting:
+            yield from emit(waiting)
 
     return run
 
 
-def presence(slots_set: DataFrame, slots: int) -> dict[int, tuple[int, bytes]]:
-    """For kinds 0 and 1 a bitmap of ``slots`` bits, those of the (kind, slot) rows set. A fixed size to the driver."""
-    per = slots_set.select("kind", F.shiftright("slot", 15).cast("int").alias("bucket"), F.col("slot").bitwiseAND(F.lit(_BUCKET - 1)).alias("bit"))
-    maps = per.groupBy("kind", "bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect()
-    out = {k: bytearray(slots // 8) for k in (0, 1)}
-    for r in maps:
-        out[r["kind"]][r["bucket"] * _BUCKET // 8 : (r["bucket"] + 1) * _BUCKET // 8] = r["bits"]
-    return {k: (slots, bytes(v)) for k, v in out.items()}
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The seekers of a part against its suffixes: (a, s, place, words), a neighbour of the opposite split with a common prefix.
+
+    Blocks come by part, suffixes first; of the suffixes one part is held, seekers go by in blocks."""
+    import numpy as np
 
+    part, kind, held = None, 0, []
+    array: list = []
+
+    def pairs(block) -> Iterator[pa.RecordBatch]:
+        keys, ids, sizes, places = array
+        key, ident, n, place, rest = _unpack(block)
+        n, place, rest = (c.astype(np.int64) for c in (n, place, rest))
+        length, least = rest & 7, rest >> 3
+        lo, hi = reach(key, length, n, least)
+        a, b = np.searchsorted(keys, lo, "left"), np.searchsorted(keys, hi, "right")
+        some = np.flatnonzero(b > a)
+        upto = np.cumsum(b[some] - a[some])
+        at = 0
+        while at < len(some):
+            done = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, done + PAIRS, "right")))
+            mine = some[at:end]
+            at = end
+            times = b[mine] - a[mine]
+            s = np.repeat(mine, times)
+            o = a[s] + np.arange(len(s)) - np.repeat(np.cumsum(times) - times, times)
+            m, d, short = sizes[o], places[o] - place[s], n[s]
+            bound = np.where(least[s] > 0, m // PER >= least[s], m // PER <= short // PER)
+            # Words dropped and added before the span and after it are edits already.
+            ok = bound & (np.abs(d) + np.abs(m - short - d) <= np.maximum(m, short) // PER)
+            s, o = s[ok], o[ok]
+            order = np.lexsort((ids[o], s))
+            s, o = s[order], ids[o[order]]
+            new = np.ones(len(s), bool)
+            new[1:] = (s[1:] != s[:-1]) | (o[1:] != o[:-1])
+            s, o = s[new], o[new]
+            if len(s):
+                yield pa.RecordBatch.from_arrays([pa.array(o), pa.array(ident[s]), pa.array(place[s].astype(np.int32)), pa.array(length[s].astype(np.int32))], names=["a", "s", "place", "words"])
+
+    for batch in batches:
+        for p, k, block in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if p != part:
+                part, kind, held, array = p, 0, [], []
+            if k == 0:
+                held.append(_unpack(block))
+                continue
+            if held:
+                columns = [np.concatenate(c) for c in zip(*held)]
+                order = np.argsort(columns[0], kind="stable")
+                array = [columns[0][order], columns[1][order], columns[2][order].astype(np.int64), columns[3][order].astype(np.int64)]
+                held = []
+            if array:
+                yield from pairs(block)
+
+
+def _sampled_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key) of every suffix of (n, codes)."""
+    for batch in batches:
+        if batch.num_rows:
+            n, start, x = _words(batch, 1, 0)
+            yield pa.RecordBatch.from_arrays([pa.array(suffix_keys(x, n, start))], names=["key"])
+
+
+def _cut(indexed: DataFrame, array_train: bool, suffixes: int, others: int):
+    """(edges, parts): keys that cut the suffix array into ranges of like size, and into how many parts the seekers of
+    each range go. Edges come from a sample of texts, whose size grows with the ranges; they change no result."""
+    import numpy as np
 
-def slots_for(spans: int) -> int:
-    return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << max(0, 8 * spans - 1).bit_length()))
+    cores = indexed.sparkSession.sparkContext.defaultParallelism
+    ranges = max(cores, -(-suffixes // RANGE))
 
+    def sample(train: bool, words: int) -> DataFrame:
+        share = min(1.0, SAMPLE * ranges / max(words, 1))
+        few = indexed.where(F.col("train") == F.lit(train)).where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+        return few.select("n", "codes").mapInArrow(_sampled_keys, "key long")
 
-def _texts(clips: DataFrame) -> DataFrame:
-    """id, train, text of the rows that can be in a pair: split and text known, long enough for MIN_WORDS words."""
-    known = clips.where(F.col("split").isNotNull() & F.col("text").isNotNull() & F.col("clip_id").isNotNull())
-    return known.select(F.col("clip_id").cast("long").alias("id"), (F.col("split") == "train").alias("train"), "text").where(F.length("text") >= 2 * MIN_WORDS - 1)
+    points = [float(i / ranges) for i in range(1, ranges)]
+    edges = np.array(sample(array_train, suffixes).agg(F.percentile_approx("key", points, max(10_000, 20 * ranges))).first()[0] if points else [], np.int64)
+    seen = np.zeros(ranges, np.int64)
+    if others > SEEKERS:
+        held = indexed.sparkSession.sparkContext.broadcast(edges)
 
+        def ranges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at, many = np.unique(np.searchsorted(held.value, batch.column(0).to_numpy(), "left"), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(many.astype(np.int64))], names=["range", "n"])
 
-def copies(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, others) of the byte-equal texts within a side: members: id, rep (the least id of the copies); others:
-    the ids that are not the rep. Groups of one are left out, so both are as small as the number of copies."""
-    slim = texts.select("train", F.xxhash64("text").alias("h"), F.hash("text").alias("h2"), F.length("text").alias("l"), "id")
-    keys = ["train", "h", "h2", "l"]
-    groups = slim.groupBy(*keys).agg(F.min("id").alias("rep"), F.count("*").alias("m")).where("m > 1").drop("m")
-    members = materialize(slim.join(groups, keys).select("id", "rep", "train"))
-    return members, members.where("id <> rep").select("id")
+        for r in sample(not array_train, others).mapInArrow(ranges_of, "range int, n long").groupBy("range").agg(F.sum("n").alias("n")).collect():  # a row per range
+            seen[r["range"]] = r["n"]
+    # A text has a seeker for every other word at most.
+    parts = np.maximum(1, -(-seen * others // (2 * SEEKERS * max(1, int(seen.sum())))))
+    return edges, parts
 
 
 def candidates(indexed: DataFrame) -> DataFrame:
-    """(q, t, spans): each pair that shares a span and passes the bounds of length, place and word signature.
-
-    ``indexed`` should be materialized. spans: how many shared spans reveal the pair."""
-    rows = indexed.select("id", "n", "sig", "codes", "picks", "train")
-    queries, train = rows.where(~F.col("train")), rows.where("train")
-    slots = slots_for(rows.select(F.sum(F.floor(F.col("n") / PER) + 1)).first()[0] or 0)
-    spans = presence(rows.mapInArrow(_slots_of_spans(slots - 1), "kind int, slot long"), slots)
-    # The training side's own spans meet only suffixes of queries: a second bitmap tells which of them can.
-    share = indexed.sparkSession.sparkContext.broadcast
-    of_train = share({1: spans[1]})
-    wanted = presence(queries.mapInArrow(_entries((-1, 1), of_train, True), "kind int, slot long"), slots)
-    q = queries.mapInArrow(_entries((0, 1), of_train), ENTRY)
-    t = train.mapInArrow(_entries((1, 0), share({0: spans[0], 1: wanted[1]})), ENTRY)
-    q = q.withColumn("n", F.shiftright("at", 32)).withColumn("pos", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)))
-    t = t.withColumn("n", F.shiftright("at", 32)).withColumn("pos", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)))
-    k = F.floor(F.greatest("q.n", "t.n") / PER)
-    meet = (
-        (F.col("q.key") == F.col("t.key"))
-        & (F.abs(F.col("q.n") - F.col("t.n")) <= k) & (F.abs(F.col("q.pos") - F.col("t.pos")) <= k)
-        & (F.bit_count(F.col("q.sig").bitwiseXOR(F.col("t.sig"))) <= 2 * k)
-    )
-    shared = q.alias("q").join(t.alias("t"), meet).select(F.col("q.id").alias("q"), F.col("t.id").alias("t"))
-    return shared.groupBy("q", "t").agg(F.count("*").alias("spans"))
+    """(q, t, covered): each pair of opposite splits that shares a span where a near-copy must share one; covered: words of
+    one text within the spans it shares, merged. ``indexed`` should be written: it is read several times."""
+    words = {r["train"]: r["w"] for r in indexed.groupBy("train").agg(F.sum("n").alias("w")).collect()}  # two rows
+    spark = indexed.sparkSession
+    if len(words) < 2:
+        return spark.createDataFrame([], "q long, t long, covered long")
+    array_train = words[True] < words[False]
+    edges, parts = _cut(indexed, array_train, words[array_train], words[not array_train])
+    held = spark.sparkContext.broadcast((edges, parts))
+    blocks = indexed.select("id", "train", "n", "codes").mapInArrow(_entries(array_train, held), ENTRY)
+    met = blocks.repartitionById(int(parts.sum()), "part").sortWithinPartitions("part", "kind").mapInArrow(_meet, "a long, s long, place int, words int")
+    q, t = ("s", "a") if array_train else ("a", "s")
+    spans = met.groupBy(F.col(q).alias("q"), F.col(t).alias("t")).agg(F.collect_set(F.struct("place", "words")).alias("spans"))  # of a text, so bounded by its words
+    return spans.select("q", "t", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"]).alias("covered"))
+
+
+def _involved(pairs: DataFrame, side: str, df: DataFrame) -> DataFrame:
+    """Only rows in a pair travel, if their ids are few enough to be broadcast."""
+    return df.join(checked_broadcast(pairs.select(F.col(side).alias("id")).distinct()), "id", "left_semi")
+
+
+def alike(pairs: DataFrame, indexed: DataFrame) -> DataFrame:
+    """The pairs whose word codes are within the bound: equal words have equal codes, so no near-copy is left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            memo: dict[bytes, tuple] = {}
+            keep = []
+
+            def read(raw: bytes) -> tuple:
+                got = memo.get(raw)
+                if got is None:
+                    words = [raw[i : i + 3] for i in range(0, len(raw), 3)]
+                    got = memo[raw] = (words, frozenset(words))
+                return got
+
+            for i, (a, b) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
+                (u, us), (v, vs) = read(a), read(b)
+                k = allowed(len(u), len(v))
+                # Each different word of one text that is not in the other costs an edit.
+                keep.append(max(len(us - vs), len(vs - us)) <= k and edit_distance(u, v, k) <= k)
+            yield batch.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
 
+    q = _involved(pairs, "q", indexed.where(~F.col("train")).select("id", "codes")).select(F.col("id").alias("q"), F.col("codes").alias("a"))
+    t = _involved(pairs, "t", indexed.where("train").select("id", "codes")).select(F.col("id").alias("t"), F.col("codes").alias("b"))
+    return pairs.join(q, "q").join(t, "t").select("q", "t", "covered", "a", "b").mapInArrow(run, "q long, t long, covered long")
 
-def verified(pairs: DataFrame, queries: DataFrame, train: DataFrame) -> DataFrame:
-    """The pairs (q, t) that are near-copies by the exact distance, with it."""
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (q, t, covered) that are near-copies by the exact distance of their words, with it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             memo: dict[str, list[str]] = {}
             out = []
-            q, t, a, b = (batch.column(i).to_pylist() for i in range(4))
-            for i, j, x, y in zip(q, t, a, b):
+            for i, j, c, x, y in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 u = memo.get(x)
                 if u is None:
                     u = memo[x] = words_of(x)
@@ -407,37 +560,55 @@ def verified(pairs: DataFrame, queries: DataFrame, train: DataFrame) -> DataFram
                     v = memo[y] = words_of(y)
                 k = allowed(len(u), len(v))
                 if (d := edit_distance(u, v, k)) <= k:
-                    out.append((i, j, d, len(u), len(v)))
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.int32()) for c in cols[2:])], names=["q", "t", "distance", "q_words", "t_words"])
+                    out.append((i, j, d, len(u), len(v), c))
+            cols = list(zip(*out)) or [()] * 6
+            names = ["q", "t", "distance", "q_words", "t_words", "covered"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), *[pa.int32()] * 4))], names=names)
+
+    a = _involved(pairs, "q", texts).select(F.col("id").alias("q"), F.col("text").alias("a"))
+    b = _involved(pairs, "t", texts).select(F.col("id").alias("t"), F.col("text").alias("b"))
+    schema = "q long, t long, distance int, q_words int, t_words int, covered int"
+    return pairs.join(a, "q").join(b, "t").select("q", "t", "covered", "a", "b").mapInArrow(run, schema)
+
+
+def _texts(clips: DataFrame) -> DataFrame:
+    """id, train, text of the rows that can be in a pair: split and text known, long enough for MIN_WORDS words."""
+    known = clips.where(F.col("split").isNotNull() & F.col("text").isNotNull() & F.col("clip_id").isNotNull())
+    return known.select(F.col("clip_id").cast("long").alias("id"), (F.col("split") == "train").alias("train"), "text").where(F.length("text") >= 2 * MIN_WORDS - 1)
 
-    # Only texts in a pair travel, if their ids are few enough to be broadcast.
-    def involved(df: DataFrame, side: str, name: str) -> DataFrame:
-        ids = checked_broadcast(pairs.select(F.col(side).alias("id")).distinct())
-        return df.join(ids, "id", "left_semi").select(F.col("id").alias(side), F.col("text").alias(name))
 
-    a, b = involved(queries, "q", "a"), involved(train, "t", "b")
-    return pairs.select("q", "t").join(a, "q").join(b, "t").select("q", "t", "a", "b").mapInArrow(run, "q long, t long, distance int, q_words int, t_words int")
+def copies(indexed: DataFrame) -> DataFrame:
+    """(id, rep, train) of the texts of one side with the same words; rep is the least id. Groups of one are left out."""
+    keys = ["train", "n", "h1", "h2"]
+    slim = indexed.select(*keys, "id")
+    groups = slim.groupBy(*keys).agg(F.min("id").alias("rep"), F.count("*").alias("m")).where("m > 1").drop("m")
+    return materialize(slim.join(groups, keys).select("id", "rep", "train"))
+
+
+def near_classes(clips: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(close, members): close has q, t, distance, q_words, t_words, covered of each pair of texts (the least id of those
+    with the same words on one side stands for all) that are near-copies; members has id, rep, train of the copies."""
+    texts = _texts(clips)
+    indexed = written(index(texts))
+    members = copies(indexed)
+    one = indexed.join(checked_broadcast(members.where("id <> rep").select("id")), "id", "left_anti")
+    pairs = materialize(candidates(one))
+    return materialize(verified(materialize(alike(pairs, one)), texts.select("id", "text"))), members
 
 
 def near_copies(clips: DataFrame) -> DataFrame:
-    """clip_id_q (not in train), clip_id_t (in train), distance, q_words, t_words of every pair with exactly one clip in
-    train whose word sequences, both of MIN_WORDS words or more, differ in at most a fifth of the longer.
+    """clip_id_q (not in train), clip_id_t (in train), distance, q_words, t_words, covered of every pair with exactly one
+    clip in train whose word sequences, both of MIN_WORDS words or more, differ in at most a fifth of the longer.
 
     Rows with a null id, split or text and texts with fewer words are in no pair; speakers may differ; repeated rows
-    count each. Byte-equal texts of one side are looked at once and put back at the end, so a text that stands in a
-    third of all rows costs no more than one; each place of it is in the result, as the statement wants. clip_id must
-    be unique. Texts are read whole. An empty table gives no rows."""
-    texts = _texts(clips)
-    members, others = copies(texts)
-    one = texts.join(checked_broadcast(others), "id", "left_anti")
-    queries, train = one.where(~F.col("train")).select("id", "text"), one.where("train").select("id", "text")
-    pairs = materialize(candidates(written(index(one))))
-    close = verified(pairs, queries, train)
+    count each. Texts with the same words on one side are looked at once and put back at the end, so a text that
+    stands in a third of all rows costs no more than one; each place of it is in the result, as the statement wants.
+    clip_id must be unique. Texts are read whole. An empty table gives no rows."""
+    close, members = near_classes(clips)
     qs = checked_broadcast(members.where(~F.col("train")).select(F.col("rep").alias("q"), F.col("id").alias("clip_id_q")))
     ts = checked_broadcast(members.where("train").select(F.col("rep").alias("t"), F.col("id").alias("clip_id_t")))
     full = close.join(qs, "q", "left").join(ts, "t", "left")
-    return full.select(F.coalesce("clip_id_q", "q").alias("clip_id_q"), F.coalesce("clip_id_t", "t").alias("clip_id_t"), "distance", "q_words", "t_words")
+    return full.select(F.coalesce("clip_id_q", "q").alias("clip_id_q"), F.coalesce("clip_id_t", "t").alias("clip_id_t"), "distance", "q_words", "t_words", "covered")
 
 
 def found(clips: DataFrame) -> DataFrame:
@@ -446,10 +617,19 @@ def found(clips: DataFrame) -> DataFrame:
     return p.select(F.least("clip_id_q", "clip_id_t").alias("clip_id_a"), F.greatest("clip_id_q", "clip_id_t").alias("clip_id_b"))
 
 
-def report(clips: DataFrame, pairs: DataFrame) -> DataFrame:
-    """split, speaker, clips, overlapping, exact, links: how much of each split and speaker also stands in train."""
-    per = pairs.groupBy("clip_id_q").agg(F.count("*").alias("links"), F.min("distance").alias("least"))
-    rows = clips.where("split <> 'train'").select("clip_id", "split", "speaker").join(per, F.col("clip_id") == F.col("clip_id_q"), "left")
+def report(clips: DataFrame) -> DataFrame:
+    """split, speaker, clips, overlapping, exact, links, coverage: how much of each split and speaker also stands in train.
+
+    Counted from classes of copies and their sizes, without a row per pair of copies. coverage: the mean share of the
+    words of an overlapping record that the spans it shares with its best partner cover (all, if it has an equal one)."""
+    close, members = near_classes(clips)
+    sizes = members.where("train").groupBy(F.col("rep").alias("t")).agg(F.count("*").alias("copies"))
+    share = F.when(F.col("distance") == 0, 1.0).otherwise(F.least(F.lit(1.0), F.col("covered") / F.least("q_words", "t_words")))
+    per = close.join(sizes, "t", "left").groupBy("q").agg(F.sum(F.coalesce("copies", F.lit(1))).alias("links"), F.min("distance").alias("least"), F.max(share).alias("share"))
+    others = members.where(~F.col("train")).where("id <> rep").select("id", F.col("rep").alias("q"))
+    hit = per.select(F.col("q").alias("id"), "links", "least", "share").unionByName(others.join(per, "q").select("id", "links", "least", "share"))
+    rows = clips.where("split <> 'train'").select(F.col("clip_id").cast("long").alias("id"), "split", "speaker").join(hit, "id", "left")
     return rows.groupBy("split", "speaker").agg(
-        F.count("*").alias("clips"), F.count("links").alias("overlapping"), F.count_if(F.col("least") == 0).alias("exact"), F.coalesce(F.sum("links"), F.lit(0)).alias("links")
-    )
+        F.count("*").alias("clips"), F.count("links").alias("overlapping"), F.count_if(F.col("least") == 0).alias("exact"),
+        F.coalesce(F.sum("links"), F.lit(0)).alias("links"), F.round(F.avg("share"), 6).alias("coverage"),
+    )

@@ -41,8 +41,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
-    clips = table(spark, d, "clips", spread=True)
-    return overlap.report(clips, overlap.near_copies(clips))
+    return overlap.report(table(spark, d, "clips", spread=True))
 
 
 def _p5(spark: SparkSession, d: str) -> DataFrame:

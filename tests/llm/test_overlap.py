@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -32,19 +34,37 @@ def test_words():
     assert words_of(None) == words_of("") == []
 
 
-def test_spans_are_disjoint_and_inside():
-    import numpy as np
-
+@pytest.mark.parametrize("per", [5, 4])
+def test_spans_are_disjoint_and_inside(per):
     r = random.Random(5)
     n = np.array([r.randint(8, 90) for _ in range(300)] + [8, 9, 10, 11, 15, 499, 507, 508, 509, 700, 1000, 1003, 1007, 1008, 1012, 30_000])
     x = np.array([r.randint(0, 40) for _ in range(int(n.sum()))], np.uint32)
     start = np.concatenate(([0], np.cumsum(n)[:-1]))
-    place, length, k = overlap.choose_spans(x, n, start)
+    place, length, k = overlap.choose_spans(overlap.span_costs(x), n, start, per)
     cut = np.concatenate(([0], np.cumsum(k)))
     for m, a, b in zip(n, cut[:-1], cut[1:]):
-        assert b - a == m // 5 + 1
+        assert b - a == m // per + 1
         p, w = place[a:b], length[a:b]
-        assert (p >= 0).all() and (p[-1] + w[-1] <= m) and set(w) <= {3, 4, 5} and (p[1:] >= (p + w)[:-1]).all()
+        assert (p >= 0).all() and (p[-1] + w[-1] <= m) and set(w) <= set(overlap.SPANS) and (p[1:] >= (p + w)[:-1]).all()
+
+
+def test_blocks_come_back():
+    r = np.random.default_rng(3)
+    cols = [np.sort(r.integers(0, 1 << 62, 1000)), r.integers(-(1 << 62), 1 << 62, 1000), *(r.integers(0, 1 << 31, 1000) for _ in range(3))]
+    assert all((a == b).all() for a, b in zip(cols, overlap._unpack(overlap._pack(*cols))))
+
+
+def test_entries_grow_with_the_words_only():
+    """Entries a word, of suffixes and seekers, at two sizes ten times apart."""
+    r = np.random.default_rng(4)
+    per_word = []
+    for texts in (300, 3000):
+        n = r.integers(8, 90, texts)
+        x = r.zipf(1.3, int(n.sum())).astype(np.uint32) & 0xFFFFFF
+        text, *_ = overlap.seekers(x, n, np.concatenate(([0], np.cumsum(n)[:-1])))
+        per_word.append(len(text) / n.sum())
+        assert len(text) <= (n // 5 + 1 + n // 4 + 1).sum()
+    assert abs(per_word[0] - per_word[1]) < 0.02 and per_word[1] < 0.55
 
 
 def corpus(seed=1, n=260):
@@ -84,8 +104,10 @@ def brute(rows):
 
 
 def test_no_link_is_lost(spark, monkeypatch):
-    monkeypatch.setattr(overlap, "TOGETHER", 50)
-    for seed in (1, 2):
+    for seed, together, most in ((1, 500, 1_000_000), (2, 2000, 300)):
+        monkeypatch.setattr(overlap, "TOGETHER", together)
+        monkeypatch.setattr(overlap, "RANGE", most)  # many ranges, with several parts each
+        monkeypatch.setattr(overlap, "SEEKERS", most)
         rows = corpus(seed)
         df = spark.createDataFrame(rows, SCHEMA).repartition(3)
         got = [(r.clip_id_a, r.clip_id_b) for r in found(df).collect()]
@@ -96,7 +118,8 @@ def test_no_link_is_lost(spark, monkeypatch):
 def test_report_and_empty(spark):
     df = spark.createDataFrame(corpus(3, 60), SCHEMA)
     pairs = near_copies(df)
-    rows = report(df, pairs).collect()
+    rows = report(df).collect()
+    assert all(r.coverage is None or 0 < r.coverage <= 1 for r in rows)
     assert sum(r.links for r in rows) == pairs.count() and sum(r.clips for r in rows) == df.where("split <> 'train'").count()
     assert found(df.limit(0)).count() == 0
     assert found(df.where("split = 'train'")).count() == 0
