@@ -153,5 +153,7 @@ def trim_tail(x: np.ndarray, rate: int, goal: float, below_db: float = -55.0, ms
 
 def tail_goals(df: DataFrame, tail: str, target: float) -> DataFrame:
     """Goal per clip when tails are scaled so that their median becomes ``target`` (a one-row aggregate is broadcast)."""
-    scale = df.agg(F.try_divide(F.lit(target), F.percentile(F.col(tail), F.lit(0.5))).alias("_s"))
-    return df.crossJoin(F.broadcast(scale)).withColumn("goal", F.least(F.col(tail), F.col(tail) * F.coalesce("_s", F.lit(1.0)))).drop("_s")
+    from corpusloom.operators.select import with_percentiles
+
+    scale = F.coalesce(F.try_divide(F.lit(target), F.col("_m")), F.lit(1.0))
+    return with_percentiles(df, {"_m": (tail, 0.5)}).withColumn("goal", F.least(F.col(tail), F.col(tail) * scale)).drop("_m")

@@ -8,47 +8,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def median(x: Column) -> Column:
-    """Interpolated median (mean of the two middle values)."""
-    return F.percentile(x, F.lit(0.5))
+def order_statistics(df: DataFrame, by: list[str], value: str, picks: dict[str, Callable[[Column], Column]], points: dict[str, float] | None = None) -> DataFrame:
+    """by and, for each of ``picks``, the value at index ``pick(n)`` (from 0) of the group's n sorted values, and for each of
+    ``points`` (shares of at most four decimals) the percentile by linear interpolation between two of them; nulls left out.
 
+    For groups of any size: value counts come first and are spread over range partitions, so no task holds a group, nor
+    its distinct values. A group without values has no row; a null in ``by`` is a group of its own."""
+    from corpusloom.operators.intervals import global_running, grouped_running
 
-def percentile(x: Column, p: float) -> Column:
-    """Linear interpolation between order statistics."""
-    return F.percentile(x, F.lit(p))
-
-
-def upper_median(x: Column) -> Column:
-    """The value at index n // 2 of the sorted values (from 0); null for an empty group. Holds the group's values
-    together: for groups of a bounded size only, else ``order_statistics``."""
-    values = F.sort_array(F.collect_list(x))
-    return F.get(values, F.floor(F.size(values) / 2).cast("int"))
-
-
-def nearest_rank(x: Column, p: float) -> Column:
-    """The value at index round(p * (n - 1)), half to even; null for an empty group.
-    For groups of a bounded size only, else ``order_statistics``."""
-    values = F.sort_array(F.collect_list(x))
-    return F.get(values, F.bround((F.size(values) - 1) * F.lit(p)).cast("int"))
-
-
-def order_statistics(df: DataFrame, by: list[str], value: str, picks: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """by and, for each pick, the value at index ``pick(n)`` (from 0) of the group's n sorted values; nulls left out.
-
-    For groups of any size: value counts come first, the window runs over distinct values. Without ``by`` even those
-    are spread over range partitions, so no task holds the table. A group without values has no row."""
+    points = points or {}
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    if by:
-        w = Window.partitionBy(*by)
-        before = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
-        rows = counts.withColumn("before", before).withColumn("total", F.sum("_n").over(w))
-    else:
-        from corpusloom.operators.intervals import global_running
-
-        rows = global_running(counts, [value], "_n")
-    at = lambda f: (f(F.col("total")) >= F.col("before")) & (f(F.col("total")) < F.col("before") + F.col("_n"))
-    found = rows.groupBy(*by).agg(F.count("*").alias("_values"), *(F.max(F.when(at(f), F.col(value))).alias(k) for k, f in picks.items()))
-    return found.where("_values > 0").drop("_values")
+    rows = grouped_running(counts, by, [value], "_n") if by else global_running(counts, [value], "_n")
+    holds = lambda i: (i >= F.col("before")) & (i < F.col("before") + F.col("_n"))
+    place = lambda p: F.lit(round(p * 10_000)).cast("long") * (F.col("total") - 1)
+    index = {k: f(F.col("total")) for k, f in picks.items()}
+    for k, p in points.items():
+        index |= {f"_lo_{k}": F.floor(place(p) / 10_000), f"_hi_{k}": F.ceil(place(p) / 10_000)}
+    found = rows.groupBy(*by).agg(F.max("total").alias("total"), *(F.max(F.when(holds(i), F.col(value))).alias(k) for k, i in index.items())).where("total > 0")
+    share = lambda p: F.pmod(place(p), F.lit(10_000)) / 10_000
+    between = [(F.col(f"_lo_{k}") + (F.col(f"_hi_{k}") - F.col(f"_lo_{k}")) * share(p)).alias(k) for k, p in points.items()]
+    return found.select(*by, *picks, *between)
 
 
 def upper_index(n: Column) -> Column:
@@ -66,14 +45,13 @@ def percent_below(value: Column, *group: str) -> Column:
 
 
 def percent_below_scaled(df: DataFrame, value: str, group: list[str]) -> DataFrame:
-    """``df`` with pct_below, as ``percent_below``, for groups of any size: the windows run over value counts.
+    """``df`` with pct_below, as ``percent_below``, for groups of any size: value counts are spread over range partitions.
+
+    Rows with a null value get null. A null in the group is a group of its own."""
+    from corpusloom.operators.intervals import grouped_running
 
-    The group's distinct values are ordered in one task per group; use it where values repeat (rates, rounded
-    numbers). Rows with a null value get null. A null in the group is a group of its own."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*group)
-    upto = F.coalesce(F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    below = counts.select(*group, value, (upto * 100.0 / F.sum("_n").over(w)).alias("pct_below"))
+    below = grouped_running(counts, group, [value], "_n").select(*group, value, (F.col("before") * 100.0 / F.col("total")).alias("pct_below"))
     same = F.col(f"a.{value}") == F.col(f"b.{value}")
     for g in group:
         same = same & F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}"))
@@ -106,8 +84,11 @@ def chrono_parts(df: DataFrame, order: list[str], parts: int, group: list[str])
 
 
 def topk_share(df: DataFrame, key: str, group: list[str], k: int = 3) -> DataFrame:
-    """A5: share of the ``k`` most frequent keys of each group, and how many keys there are. Counts come before the window."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(*group, key).agg(F.count("*").alias("n"))
-    ranked = counts.withColumn("rn", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("n"), key)))
-    top = F.sum(F.when(F.col("rn") <= k, F.col("n")))
+    """A5: share of the ``k`` most frequent keys of each group, and how many keys there are; ties by key. Counts come first
+    and are ordered over range partitions, so a group may have any number of keys."""
+    from corpusloom.operators.intervals import grouped_running
+
+    counts = df.where(F.col(key).isNotNull()).groupBy(*group, key).agg(F.count("*").alias("n")).withColumn("_often", -F.col("n"))
+    ranked = grouped_running(counts, group, ["_often", key], "n")
+    top = F.sum(F.when(F.col("row") < k, F.col("n")))
     return ranked.groupBy(*group).agg(F.sum("n").alias("total"), F.count("*").alias("keys"), top.alias("top"), F.round(top / F.sum("n"), 6).alias("share"))

@@ -196,8 +196,6 @@ BOILERPLATE = (
 # Fixed value: an episode mark at the end of a title.
 EPISODE_MARK = r"\s*(?:[|\-–]\s*)?(?:(?:P(?:ar)?t\.?|Podcast|Episode|Ep\.?|#)\s*\d+[^|]*|P\d+)\s*$"
 SHORTS_TAG = r"(?i)\s*#shorts?\b"
-#: Rounds of episode marks taken from a title; a title with more keeps the rest.
-TITLE_ROUNDS = 8
 
 
 def clean_title(title: Column) -> Column:
@@ -207,7 +205,9 @@ def clean_title(title: Column) -> Column:
         less = F.regexp_replace(F.regexp_replace(t, "(?i)" + EPISODE_MARK, ""), r"[ |\-–]+$", "")
         return let(less, lambda x: F.when(x == "", t).otherwise(x))
 
-    bare = F.aggregate(F.sequence(F.lit(1), F.lit(TITLE_ROUNDS)), F.regexp_replace(title, SHORTS_TAG, ""), step)
+    # Each mark has a number, so a round for each number and one more reach the point where nothing changes.
+    rounds = F.sequence(F.lit(0), F.coalesce(F.regexp_count(title, F.lit(r"\d+")), F.lit(0)))
+    bare = F.aggregate(rounds, F.regexp_replace(title, SHORTS_TAG, ""), step)
     return F.regexp_replace(bare, r"(?U)^\s+|\s+$", "")
 
 

@@ -12,6 +12,8 @@ COMMON = (
     "Any Each Every Only Even Still Just Because After Before Once Again Very Most More Down Up Out Over Under"
 ).split()
 ORDINARY, LEAST = 5, 2
+# Contractions that are no names; so is any word with "n't".
+CONTRACTIONS = ("i'm", "i'll", "i'd", "i've")
 
 
 def core(word: Column) -> Column:
@@ -21,12 +23,12 @@ def core(word: Column) -> Column:
 
 
 def glossary(df: DataFrame, text: str) -> DataFrame:
-    """name, n: words of 3 letters or more that begin with a capital, are not COMMON nor seen in lower case ORDINARY times,
-    and stand LEAST times and never first in a sentence, or 4 times, or LEAST times with an apostrophe or hyphen.
+    """name, n: words of 3 letters or more that begin with a capital, are no contraction, not COMMON nor seen in lower case
+    ORDINARY times, and stand LEAST times and never first in a sentence, or 4 times, or LEAST times with an apostrophe or hyphen.
 
     One pass per statistic, each an aggregate that combines before its shuffle; nothing is collected."""
     words = df.select(F.explode(F.split(F.translate(text, "’", "'"), r"[ \t\n\r]+")).alias("raw"))
-    single = words.select(core(F.col("raw")).alias("name")).where((F.length("name") >= 3) & F.col("name").rlike("^[A-Z]") & ~F.col("name").isin(COMMON) & ~F.lower("name").contains("n't"))
+    single = words.select(core(F.col("raw")).alias("name")).where((F.length("name") >= 3) & F.col("name").rlike("^[A-Z]") & ~F.col("name").isin(COMMON) & ~F.lower("name").contains("n't") & ~F.lower("name").isin(*CONTRACTIONS))
     counts = single.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
     pieces = df.select(F.explode(F.split(F.translate(text, "’", "'"), r"[.!?]+")).alias("s"))
     initial = pieces.select(F.regexp_extract("s", r"[A-Za-z][A-Za-z'\-]+", 0).alias("name")).where("name <> ''").distinct().withColumn("_first", F.lit(True))

@@ -91,8 +91,10 @@ def nearest(left: DataFrame, right: DataFrame, by: list[str], left_id: str, poin
 def without_excluded(df: DataFrame, excluded: DataFrame, by: list[str], width: float, start: str = "start", end: str = "end") -> DataFrame:
     """Rows that overlap no excluded interval (columns by, start, end), through an equi join on bins.
 
-    A row over several bins goes if any of them meets one."""
-    a = df.withColumn("_row", F.monotonically_increasing_id())
+    A row over several bins goes if any of them meets one. Rows are told apart by a number they are written with."""
+    from corpusloom.session import materialize
+
+    a = materialize(df.withColumn("_row", F.monotonically_increasing_id()))  # read twice: the numbers must be the same
     bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.col(e) / width)))
     rows = a.where(F.col(start) <= F.col(end)).select("_row", *by, F.col(start).alias("_s"), F.col(end).alias("_e"), bins(start, end).alias("_bin"))
     bad = excluded.select(*by, F.col(start).alias("_a"), F.col(end).alias("_b")).where("_a <= _b").withColumn("_bin", bins("_a", "_b"))
@@ -142,13 +144,43 @@ def _part(parts: int) -> Column:
     return F.when(F.col("total") > 0, F.least(F.lit(parts - 1), F.floor(F.col("before") * parts / F.col("total"))).cast("int")).otherwise(0)
 
 
+def ranged(df: DataFrame, order: list[str], value: str) -> DataFrame:
+    """``df`` in one global order, cut into ranges: adds _p (the range), _before (the sum of ``value`` in the rows of the
+    range before this one) and _row (their number). Written once; a null value counts 0.
+
+    One range-partitioned sort and one pass over each sorted range; rows travel once."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from corpusloom.session import materialize
+
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    at = df.columns.index(value)
+    names = [*df.columns, "_p", "_before", "_row"]
+
+    def run(batches):
+        import numpy as np
+        from pyspark import TaskContext
+
+        part, so_far, row = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            n = batch.num_rows
+            v = batch.column(at).cast(pa.int64() if whole else pa.float64()).fill_null(0).to_numpy(zero_copy_only=False)
+            upto = np.cumsum(np.concatenate((np.array([so_far], v.dtype), v)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(upto[:-1]), pa.array(np.arange(row, row + n))], names=names)
+            so_far, row = upto[-1], row + n
+
+    schema = T.StructType([*df.schema.fields, T.StructField("_p", T.IntegerType()), T.StructField("_before", T.LongType() if whole else T.DoubleType()), T.StructField("_row", T.LongType())])
+    return materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema))
+
+
 def global_running(df: DataFrame, order: list[str], value: str) -> DataFrame:
-    """``df`` with before (the sum of ``value`` in all rows before) and total, over one global order.
+    """``df`` with before (the sum of ``value`` in all rows before), row (from 0), total and total_rows, over one global order.
 
     A range-partitioned sort; sums per range are added up in a window over as many rows as there are partitions."""
-    from corpusloom.session import checked_broadcast, materialize
+    from corpusloom.session import checked_broadcast
 
-    placed = materialize(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    placed = ranged(df, order, value)
     sums = placed.groupBy("_p").agg(F.sum(value).alias("_s"), F.count("*").alias("_c"))
     w = Window.partitionBy(F.lit(0))
     upto = w.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
@@ -156,11 +188,9 @@ def global_running(df: DataFrame, order: list[str], value: str) -> DataFrame:
     offsets = sums.select(
         "_p", zero(F.sum("_s").over(upto)).alias("_off"), F.sum("_s").over(w).alias("total"), zero(F.sum("_c").over(upto)).alias("_rows"), F.sum("_c").over(w).alias("total_rows")
     )  # one row per partition
-    within = Window.partitionBy("_p").orderBy(*order)
     rows = placed.join(checked_broadcast(offsets), "_p")
-    before = zero(F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, -1))) + F.col("_off")
-    number = F.row_number().over(within) - 1 + F.col("_rows")
-    return rows.withColumn("before", before).withColumn("row", number).drop("_p", "_off", "_rows")
+    kept = [F.col(c) for c in df.columns]
+    return rows.select(*kept, "total", "total_rows", (F.col("_before") + F.col("_off")).alias("before"), (F.col("_row") + F.col("_rows")).alias("row"))
 
 
 def grouped_running(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import edit_ratio, word_ngrams
+from corpusloom.session import materialize
 
 
 def restrict(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
@@ -39,7 +40,8 @@ def upsert(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 def contains_all(cues: DataFrame, cue_words: str, headings: DataFrame, heading_words: str, most: int = 12) -> DataFrame:
     """Cues of at most ``most`` words that hold all words of some heading. One word of a heading, the rarest among
     the cues, is the equi key, so no cue meets a heading it shares nothing with."""
-    short = cues.where((F.size(cue_words) > 0) & (F.size(cue_words) <= most)).withColumn("_c", F.monotonically_increasing_id())
+    # Read twice below, so the rows are written with the number that tells them apart.
+    short = materialize(cues.where((F.size(cue_words) > 0) & (F.size(cue_words) <= most)).withColumn("_c", F.monotonically_increasing_id()))
     words = short.select("_c", F.explode(F.array_distinct(F.col(cue_words))).alias("_w"))
     heads = headings.select(F.array_distinct(F.col(heading_words)).alias("_h")).where(F.size("_h") > 0).distinct()
     often = words.groupBy("_w").agg(F.count("*").alias("_n"))
@@ -48,15 +50,29 @@ def contains_all(cues: DataFrame, cue_words: str, headings: DataFrame, heading_w
     return short.join(hit, "_c", "left_semi").drop("_c")
 
 
+def _may_differ(longest: Column) -> Column:
+    """Edits that an edit ratio of 0.3 leaves room for."""
+    return F.floor(3 * longest / 10).cast("int")
+
+
 def fuzzy_names(tokens: DataFrame, names: DataFrame, token: str = "token", name: str = "name") -> DataFrame:
     """For each distinct token the glossary name with the least edit ratio, if near enough: at most 0.20 for
     tokens of up to 5 characters, else 0.30; lengths at most 3 apart. Tokens under 4 characters, tokens that are names
-    and those that differ only in punctuation or case give no row. The glossary meets tokens by length band, an equi join."""
+    and those that differ only in punctuation or case give no row; ties go to the first name.
+
+    A name within k edits of a token has one of its k + 1 pieces in it unchanged, at most k places away: names and tokens
+    meet on (piece, place), an equi join, and only those that do are compared. No near name is missed."""
     t = tokens.select(token).where(F.length(token) >= 4).distinct().join(names.select(F.col(name).alias(token)).distinct(), token, "left_anti")
-    t = t.withColumn("_len", F.explode(F.sequence(F.length(token) - 3, F.length(token) + 3)))
-    n = names.select(name).distinct().withColumn("_len", F.length(name))
+    n = names.select(name).where(F.length(name) >= 2).distinct()
+    size, k = F.length(name), _may_differ(F.length(name) + 3)
+    cut = lambda i: F.floor(i * size / (k + 1)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), k), lambda i: F.struct(cut(i).alias("at"), F.substring(F.col(name), cut(i) + 1, cut(i + 1) - cut(i)).alias("piece")))
+    places = n.select(name, k.alias("_k"), F.explode(pieces).alias("p")).select(name, "p.piece", F.explode(F.sequence(F.greatest(F.lit(0), F.col("p.at") - F.col("_k")), F.col("p.at") + F.col("_k"))).alias("at"))
+    at = F.sequence(F.lit(0), F.length(token) - 1)
+    parts = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.length(token) - i)), lambda w: F.struct(i.alias("at"), F.substring(F.col(token), i + 1, w).alias("piece")))))
+    met = t.select(token, F.explode(parts).alias("p")).select(token, "p.piece", "p.at").join(places, ["piece", "at"]).where(F.abs(F.length(token) - F.length(name)) <= 3).select(token, name).distinct()
     bare = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
-    best = t.join(n, "_len").withColumn("ratio", edit_ratio(F.col(token), F.col(name))).groupBy(token).agg(F.min_by(name, F.struct("ratio", name)).alias(name), F.min("ratio").alias("ratio"))
+    best = met.withColumn("ratio", edit_ratio(F.col(token), F.col(name))).groupBy(token).agg(F.min_by(name, F.struct("ratio", name)).alias(name), F.min("ratio").alias("ratio"))
     near = F.col("ratio") <= F.when(F.length(token) <= 5, 0.2).otherwise(0.3)
     return best.where(near & (F.col("ratio") > 0) & (bare(F.col(token)) != bare(F.col(name))))
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from corpusloom.operators.intervals import binned_range_join
 
 Boundary = tuple[float, bool, bool]  # position, structural, safe to close outside a quotation
 
@@ -37,43 +42,93 @@ def merge_spans(spans: list[tuple[float, float]], target: float, most: float) ->
     return [tuple(x) for x in out]
 
 
-def split_at_gaps(span: tuple[float, float], gaps: list[tuple[float, float]], most: float) -> list[tuple[float, float]]:
-    """The span cut at the middle of its longest inner gap until every part is at most ``most`` long; a part without a gap stays."""
+def split_at_gaps(span: tuple[float, float], gaps: list[tuple[float, float, float]], most: float) -> list[tuple[float, float]]:
+    """The span cut at the quietest point of its longest inner gap (begin, end, quietest point) until every part is at
+    most ``most`` long; the first of equal gaps is taken, and a part without a gap, or whose point lies outside it, stays."""
     todo, out = [span], []
     while todo:
         a, b = todo.pop()
-        inner = [(h - g, g, h) for g, h in gaps if a < g and h < b] if b - a > most else []
-        if inner:
-            _, g, h = max(inner, key=lambda x: (x[0], -x[1]))
-            todo += [((g + h) / 2, b), (a, (g + h) / 2)]
+        inner = [x for x in gaps if a < x[0] and x[1] < b] if b - a > most else []
+        cut = max(inner, key=lambda x: x[1] - x[0])[2] if inner else a
+        if a < cut < b:
+            todo += [(cut, b), (a, cut)]
         else:
             out.append((a, b))
     return out
 
 
+def merged_spans(spans: DataFrame, by: str, target: float, most: float) -> DataFrame:
+    """I9 for each source of (by, a, b): by, span (from 0), a, b."""
+
+    def run(key, pdf):
+        import pandas as pd
+
+        return pd.DataFrame([(key, i, *x) for i, x in enumerate(merge_spans(list(zip(pdf["a"], pdf["b"])), target, most))], columns=[by, "span", "a", "b"])
+
+    return grouped(spans.select(by, "a", "b"), by, ["a", "b"], run, f"{by} {dict(spans.dtypes)[by]}, span int, a double, b double")
+
+
+def split_spans(spans: DataFrame, gaps: DataFrame, by: str, most: float) -> DataFrame:
+    """I10 for each source of (by, a, b) and its gaps (by, g0, g1 and, if known, quiet: the quietest point, else the middle is
+    taken): by, part (from 0), a, b. A span longer than ``most`` meets only the gaps of its source."""
+    quiet = F.coalesce("quiet", (F.col("g0") + F.col("g1")) / 2) if "quiet" in gaps.columns else (F.col("g0") + F.col("g1")) / 2
+    g = gaps.select(by, "g0", "g1", quiet.alias("quiet"))
+
+    def run(key, left, right):
+        import pandas as pd
+
+        inner = [tuple(x) for x in right.sort_values(["g0", "g1"])[["g0", "g1", "quiet"]].itertuples(index=False)]
+        begins = [x[0] for x in inner]
+        parts = []
+        for a, b in left.sort_values(["a", "b"])[["a", "b"]].itertuples(index=False):
+            parts += split_at_gaps((a, b), inner[bisect_right(begins, a) : bisect_left(begins, b)], most)
+        return pd.DataFrame([(key[0], i, *x) for i, x in enumerate(parts)], columns=[by, "part", "a", "b"])
+
+    return spans.select(by, "a", "b").groupBy(by).cogroup(g.groupBy(by)).applyInPandas(run, f"{by} {dict(spans.dtypes)[by]}, part int, a double, b double")
+
+
 def probe_cues(starts: list[float], step: float, reach: float = 240.0) -> list[int]:
-    """For each target step, 2 * step, ... up to the last start the nearest cue within ``reach`` not yet used."""
-    used: list[int] = []
+    """For each target step, 2 * step, ... up to the last start the nearest cue (of ordered ones) within ``reach`` not yet used."""
+    used: set[int] = set()
+    picked: list[int] = []
     target = step
     while starts and target <= starts[-1]:
-        free = [(abs(s - target), i) for i, s in enumerate(starts) if i not in used and abs(s - target) <= reach]
+        lo, hi = bisect_left(starts, target - reach), bisect_right(starts, target + reach)
+        free = [(abs(starts[i] - target), i) for i in range(lo, hi) if i not in used]
         if free:
-            used.append(min(free)[1])
+            used.add(i := min(free)[1])
+            picked.append(i)
         target += step
-    return used
+    return picked
+
+
+def probes(cues: DataFrame, by: str, start: str, step: float, reach: float = 240.0) -> DataFrame:
+    """I14 for each source: the rows of ``cues`` that are probed, with probe (from 0), in the order of their targets."""
+
+    def run(key, pdf):
+        picked = probe_cues(pdf[start].tolist(), step, reach)
+        return pdf.iloc[picked].assign(probe=range(len(picked))).astype({"probe": "int32"})
 
+    from pyspark.sql import types as T
 
-def opening_match(cue: list[str], heard: list[tuple[str, float]], start: float, window: int = 12, first: int = 6) -> float | None:
-    """Offset of the heard words that best match the cue's first words: at least max(2, k - 1) of them within
-    ``window`` words; the closest in time wins. None without a match."""
-    want = cue[:first]
-    best = None
-    for i, (_, at) in enumerate(heard):
-        nearby = [w for w, _ in heard[i : i + window]]
-        if nearby and nearby[0] in want[:2] and sum(w in nearby for w in want) >= max(2, len(want) - 1):
-            if best is None or abs(at - start) < abs(best):
-                best = at - start
-    return best
+    schema = T.StructType([*cues.schema.fields, T.StructField("probe", T.IntegerType())])
+    return grouped(cues.where(F.col(start).isNotNull()), by, start, run, schema)
+
+
+def opening_offsets(cues: DataFrame, heard: DataFrame, by: str, cue: str, reach: float, window: int = 12, first: int = 6) -> DataFrame:
+    """``by``, ``cue`` and offset, the distance in time from the cue to where its opening words are heard.
+
+    cues: by, cue, start, tokens (array); heard: by, pos, token, at. A place counts if it has the first token, and of the
+    first ``first`` ones at least max(2, all but one) in their order within ``window`` words; the place nearest in time
+    wins, at most ``reach`` seconds away. Cues without one have no row. An equi join on source, first token and time."""
+    w = Window.partitionBy(by).orderBy("pos").rowsBetween(0, window - 1)
+    h = heard.select(by, F.col("token").alias("_t"), F.col("at").alias("_at"), F.collect_list("token").over(w).alias("_next"))  # ``window`` items
+    c = cues.select(by, cue, F.col("start").alias("_start"), F.slice("tokens", 1, first).alias("_want")).where(F.size("_want") > 0).withColumn("_t", F.col("_want")[0])
+    met = binned_range_join(h, c, [by, "_t"], F.col("_at"), F.col("_start") - reach, F.col("_start") + reach, 2 * reach)
+    hits = F.aggregate("_next", F.lit(0), lambda n, t: F.when(t == F.get("_want", n), n + 1).otherwise(n))
+    good = met.where(hits >= F.greatest(F.lit(2), F.size("_want") - 1))
+    offset = F.col("_at") - F.col("_start")
+    return good.groupBy(by, cue).agg(F.min_by(offset, F.struct(F.abs(offset), offset)).alias("offset"))
 
 
 def cap_parts(sizes: list[float], cap: float) -> list[int]:
@@ -87,7 +142,7 @@ def cap_parts(sizes: list[float], cap: float) -> list[int]:
     return out
 
 
-def grouped(df: DataFrame, by: str, order: str, run: Callable, schema: str) -> DataFrame:
+def grouped(df: DataFrame, by: str, order: str | list[str], run: Callable, schema: str | StructType) -> DataFrame:
     """Rows of each ``by`` in order through ``run(key, pandas frame) -> pandas frame``. The largest source bounds memory."""
 
     def apply(key, pdf):
@@ -96,6 +151,14 @@ def grouped(df: DataFrame, by: str, order: str, run: Callable, schema: str) -> D
     return df.groupBy(by).applyInPandas(apply, schema)
 
 
+def capped_parts(df: DataFrame, by: str, order: str, size: str, cap: float) -> DataFrame:
+    """I12, cap mode, for each source: ``df`` with part. A null size counts 0."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*df.schema.fields, T.StructField("part", T.IntegerType())])
+    return grouped(df, by, order, lambda key, pdf: pdf.assign(part=cap_parts(pdf[size].fillna(0).tolist(), cap)).astype({"part": "int32"}), schema)
+
+
 def planned(boundaries: DataFrame, by: str, target: float, most: float) -> DataFrame:
     """``plan_clips`` for each source of (by, pos, struct, quote_safe) with one target: by, clip, a, b, struct_end."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
-from corpusloom.functions.stats import median, percentile
+from corpusloom.functions.stats import order_statistics
 from corpusloom.operators.intervals import complement, global_running
 from corpusloom.operators.select import even_spread
 
@@ -98,9 +98,13 @@ def density(df: DataFrame, at: str, span: float = 600.0) -> DataFrame:
 
 
 def model_summary(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """N, median, p90, most and population deviation per group."""
-    x = F.col(value)
-    return df.groupBy(*by).agg(F.count(value).alias("n"), median(x).alias("median"), percentile(x, 0.9).alias("p90"), F.max(x).alias("most"), F.stddev_pop(x).alias("deviation"))
+    """N, median, p90, most and population deviation per group; groups may be of any size, a group without values has nulls."""
+    base = df.groupBy(*by).agg(F.count(value).alias("n"), F.max(value).alias("most"), F.stddev_pop(value).alias("deviation"))
+    points = order_statistics(df, by, value, {}, {"median": 0.5, "p90": 0.9})
+    same = F.lit(True)
+    for k in by:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return base.alias("a").join(points.alias("b"), same, "left").select(*(f"a.{k}" for k in by), "n", "median", "p90", "most", "deviation")
 
 
 def self_tail(df: DataFrame, trailing: str, gap: float) -> DataFrame:

@@ -87,10 +87,24 @@ def budget(df: DataFrame, order: list[str], size: str, need: float) -> DataFrame
     return global_running(df, order, size).where(F.col("before") < need).drop("before", "total", "row", "total_rows")
 
 
+def with_percentiles(df: DataFrame, points: dict[str, tuple[str, float]]) -> DataFrame:
+    """``df`` with a column for each of ``points``: name to (value column, share), the percentile over the whole table; null
+    where no value is known. Each value's counts are ordered over range partitions; one row of results is broadcast."""
+    from corpusloom.functions.stats import order_statistics
+
+    per: dict[str, dict[str, float]] = {}
+    for name, (value, p) in points.items():
+        per.setdefault(value, {})[name] = p
+    ends = df.sparkSession.range(1).select(F.lit(0).alias("_one"))
+    for value, p in per.items():
+        ends = ends.join(F.broadcast(order_statistics(df.select(value), [], value, {}, p).withColumn("_one", F.lit(0))), "_one", "left")
+    return df.crossJoin(F.broadcast(ends.drop("_one")))
+
+
 def percentile_pool(df: DataFrame, bright: str, dyn: str, top: float = 0.995, low: float = 0.1) -> DataFrame:
-    """Rows not above the ``top`` percentile of ``bright`` and above the ``low`` one of ``dyn`` (a one-row aggregate is broadcast)."""
-    ends = df.agg(F.percentile(F.col(bright), F.lit(top)).alias("_b"), F.percentile(F.col(dyn), F.lit(low)).alias("_d"))
-    return df.crossJoin(F.broadcast(ends)).where((F.col(bright) <= F.col("_b")) & (F.col(dyn) > F.col("_d"))).drop("_b", "_d")
+    """Rows not above the ``top`` percentile of ``bright`` and above the ``low`` one of ``dyn``."""
+    rows = with_percentiles(df, {"_b": (bright, top), "_d": (dyn, low)})
+    return rows.where((F.col(bright) <= F.col("_b")) & (F.col(dyn) > F.col("_d"))).drop("_b", "_d")
 
 
 def gate_report(df: DataFrame, masks: dict[str, Column]) -> DataFrame:

@@ -98,8 +98,7 @@ def capped_fill(spark, d):
 def multi_gate_report(spark, d):
     """L12."""
     c = _clips(spark, d).select("seconds", "trailing_pause", "text")
-    p = lambda x, q: F.percentile(F.col(x), F.lit(q))
-    rows = c.crossJoin(F.broadcast(c.agg(p("seconds", 0.9).alias("s9"), p("seconds", 0.1).alias("s1"), p("trailing_pause", 0.9).alias("t9"))))
+    rows = select.with_percentiles(c, {"s9": ("seconds", 0.9), "s1": ("seconds", 0.1), "t9": ("trailing_pause", 0.9)})
     masks = {"long": F.col("seconds") > F.col("s9"), "short": F.col("seconds") < F.col("s1"), "tail": F.col("trailing_pause") > F.col("t9"), "brief": F.length("text") < 40, "no_text": F.col("text").isNull()}
     return select.gate_report(rows, masks)
 
@@ -317,7 +316,7 @@ _COMMON = ", ".join(f"'{w}'" for w in glossary.COMMON)
 _GLOSSARY = rf"""
     en AS (SELECT replace(text, '’', chr(39)) AS t FROM documents WHERE text IS NOT NULL AND starts_with(lower(lang), 'en')),
     w AS (SELECT regexp_replace(regexp_replace(regexp_replace(raw, '^[^A-Za-z]+|[^A-Za-z\x27\-]+$', '', 'g'), '\x27s$', ''), '\x27+$', '') AS name FROM (SELECT unnest(string_split_regex(t, '[ \t\n\r]+')) AS raw FROM en)),
-    n AS (SELECT name, count(*) AS n FROM w WHERE length(name) >= 3 AND regexp_matches(name, '^[A-Z]') AND name NOT IN ({_COMMON}) AND NOT contains(lower(name), 'n' || chr(39) || 't') GROUP BY name HAVING count(*) >= 2),
+    n AS (SELECT name, count(*) AS n FROM w WHERE length(name) >= 3 AND regexp_matches(name, '^[A-Z]') AND name NOT IN ({_COMMON}) AND NOT contains(lower(name), 'n' || chr(39) || 't') AND lower(name) NOT IN ('i''m', 'i''ll', 'i''d', 'i''ve') GROUP BY name HAVING count(*) >= 2),
     i AS (SELECT DISTINCT regexp_extract(s, '[A-Za-z][A-Za-z\x27\-]+') AS name FROM (SELECT unnest(string_split_regex(t, '[.!?]+')) AS s FROM en)),
     o AS (SELECT lower(x) AS x FROM (SELECT unnest(regexp_extract_all(t, '[A-Za-z][A-Za-z\x27]+')) AS x FROM en) WHERE regexp_matches(x, '^[a-z]') GROUP BY 1 HAVING count(*) >= 5),
     g AS (SELECT n.name, n FROM n LEFT JOIN i ON i.name = n.name WHERE (i.name IS NULL OR n >= 4 OR regexp_matches(n.name, '[\x27-]')) AND lower(n.name) NOT IN (SELECT x FROM o))"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions import stats
 from corpusloom.operators import gates, intervals, sft
 from corpusloom.plans.registry import query
 from corpusloom.session import table
@@ -122,8 +123,9 @@ def failure_streaks(spark, d):
 def epoch_distance(spark, d):
     """Event types as epochs against all events as the reference."""
     e = table(spark, d, "events")
-    agg = [F.percentile("value", F.lit(0.5)).alias("med"), F.percentile("value", F.lit(0.9)).alias("p90")]
-    rows = gates.epoch_distance(e.groupBy(F.col("event_type").alias("name")).agg(*agg), e.agg(*agg), {"med": 2.0, "p90": 0.1})
+    e = e.select(F.col("event_type").alias("name"), "value")
+    of = lambda by: stats.order_statistics(e, by, "value", {}, {"med": 0.5, "p90": 0.9})
+    rows = gates.epoch_distance(of(["name"]), of([]), {"med": 2.0, "p90": 0.1})
     return rows.select("name", F.round("distance", 6).alias("distance"))
 
 

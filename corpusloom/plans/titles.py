@@ -38,7 +38,7 @@ _STEP = rf"CASE WHEN regexp_replace(regexp_replace({{0}}, '{_MARK}', '', 'i'), '
 
 
 def _clean_title_sql(title: str) -> str:
-    return f"trim({_nested(_STEP, rf'''regexp_replace({title}, '\s*#shorts?\b', '', 'gi')''', text.TITLE_ROUNDS)})"
+    return f"trim({_nested(_STEP, rf'''regexp_replace({title}, '\s*#shorts?\b', '', 'gi')''', 8)})"
 
 
 def _tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -235,8 +235,7 @@ def restrict_list(spark, d):
 def dist_summary(spark, d):
     """A1-A3: the medians and percentiles side by side."""
     m = table(spark, d, "lifetime_daily").select("channel", F.col("lifetime.ctr").alias("x")).where("x is not null")
-    x = F.col("x")
-    spread = F.round(stats.percentile(x, 0.9) - stats.percentile(x, 0.1), 9)
-    base = m.groupBy("channel").agg(F.count("*").alias("n"), F.round(stats.median(x), 9).alias("median"), spread.alias("spread"))
-    ranks = stats.order_statistics(m, ["channel"], "x", {"upper_median": stats.upper_index, "p95_nearest": stats.nearest_index(0.95)})
-    return base.join(ranks, "channel")
+    points = {"median": 0.5, "p90": 0.9, "p10": 0.1}
+    ranks = stats.order_statistics(m, ["channel"], "x", {"upper_median": stats.upper_index, "p95_nearest": stats.nearest_index(0.95)}, points)
+    ranks = ranks.select("channel", "upper_median", F.round("median", 9).alias("median"), "p95_nearest", F.round(F.col("p90") - F.col("p10"), 9).alias("spread"))
+    return m.groupBy("channel").agg(F.count("*").alias("n")).alias("b").join(ranks.alias("r"), F.col("b.channel").eqNullSafe(F.col("r.channel"))).select("r.channel", "n", "upper_median", "median", "p95_nearest", "spread")

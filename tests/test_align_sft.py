@@ -17,26 +17,72 @@ def test_stream_and_fused_words():
     assert [(w["word"], w["start"], w["end"]) for w in got] == [("“Mater", 1.0, 1.5), ("Mundi,", 1.5, 2.0), ("x", 2.0, 3.0)]
 
 
-def test_window_alignment():
-    book = "front matter The kettle slept beside the old garden today".split()
-    out = align.align_window(book, heard("the kettle slapt beside garden now".split()))
-    assert [w["w"] for w in out][:1] == ["The"] and out[-1]["w"] == "garden"
-    by = {w["w"]: w for w in out}
-    assert by["slept"]["corr"] and by["old"]["corr"] and not by["kettle"]["corr"] and by["slept"]["start"] == 1.0
-    assert align.align_window([], []) == [] and [w["corr"] for w in align.align_window(["a"], [])] == [True]
-    assert align.auto_anchor("a b c d e f g h".split(), "e f g".split(), margin=1) == 3
+WORDS, HEARD = "stem string, pos int, word string", "stem string, pos int, word string, start double, end double"
 
 
-def test_global_alignment():
+def two(spark, book, told, stem="s"):
+    rows = [(stem, i, h["word"], h["start"], h["end"]) for i, h in enumerate(heard(told))]
+    return spark.createDataFrame([(stem, i, w) for i, w in enumerate(book)], WORDS), spark.createDataFrame(rows, HEARD)
+
+
+def test_window_alignment(spark):
+    book, told = two(spark, "front matter The kettle slept beside the old garden today".split(), "the kettle slapt beside garden now".split())
+    out = align.align_window(book, told, "stem").orderBy("pos").collect()
+    assert out[0].word == "The" and out[-1].word == "garden" and [r.pos for r in out] == list(range(2, 9))
+    by = {r.word: r for r in out}
+    assert by["slept"].corr and by["old"].corr and not by["kettle"].corr and (by["slept"].start, by["slept"].end) == (1.0, 1.5)
+    assert (by["the"].start, by["the"].end, by["old"].start, by["old"].end) == (2.0, 2.0, 2.0, 2.0)  # nothing is left between beside and garden
+    gap = align.align_window(book, told.where("word <> 'beside'"), "stem").collect()
+    assert {r.word: (r.start, r.end) for r in gap}["garden"] == (2.0, 2.5)
+    none = two(spark, ["a"], ["x"])
+    assert [r.corr for r in align.align_window(*none, "stem").collect()] == [True] and align.align_window(book.limit(0), told.limit(0), "stem").count() == 0
+
+
+def test_shares_of_what_was_heard(spark):
+    book, told = two(spark, "the kettle of copper slept".split(), "the pot slept".split())
+    out = {r.word: (r.start, r.end) for r in align.align_window(book, told, "stem").collect()}
+    assert out == {"the": (0.0, 0.5), "kettle": (0.5, 0.667), "of": (0.667, 0.833), "copper": (0.833, 1.0), "slept": (1.0, 1.5)}
+    told = told.where("word <> 'pot'")
+    out = {r.word: (r.start, r.end) for r in align.align_window(book, told, "stem").collect()}
+    assert out["kettle"] == (0.5, 0.667) and out["copper"] == (0.833, 1.0)
+
+
+def test_auto_anchor(spark):
+    book, told = two(spark, "a b c d e f g h".split(), "E, f g".split())
+    r = align.auto_anchor(book, told, "stem", margin=1).first()
+    assert (r.start, r.a, r.b, r.size) == (3, 4, 0, 3)
+    assert align.auto_anchor(*two(spark, ["a"], ["x"]), "stem").first().size == 0
+    r = random.Random(3)
+    import difflib
+
+    for _ in range(3):
+        b, h = ([r.choice("abcd") for _ in range(n)] for n in (60, 20))
+        m = difflib.SequenceMatcher(None, b, h, autojunk=False).find_longest_match()
+        got = align.auto_anchor(*two(spark, b, h), "stem", margin=0).first()
+        assert (got.a, got.b, got["size"]) == (m.a, m.b, m.size)
+
+
+def test_global_alignment(spark):
     r = random.Random(1)
     book = [f"w{r.randint(0, 400)}" for _ in range(600)]
     told = ["intro", "words", "here"] + book[100:160] + ["extra"] * 14 + book[300:340]
     told[20] = "misheard"
-    out = align.align_global(book, heard(told))
-    used = [w["book_idx"] for w in out if w["source"] == "book"]
+    out = align.aligned_sources(*two(spark, book, told), "stem").orderBy("pos").collect()
+    used = [w.book_idx for w in out if w.source == "book"]
     assert len(used) == len(set(used)) and set(range(100, 160)) <= set(used) and set(range(300, 340)) <= set(used)
-    assert sum(w["source"] == "whisper" for w in out) >= 16 and all(a["start"] <= b["start"] for a, b in zip(out, out[1:]))
-    assert align.align_global(book, []) == [] and all(w["source"] == "whisper" for w in align.align_global([], heard(["a"] * 9)))
+    assert sum(w.source == "whisper" for w in out) >= 16 and all(a.start <= b.start for a, b in zip(out, out[1:]))
+    empty = two(spark, [], ["a"] * 9)
+    assert {w.source for w in align.aligned_sources(*empty, "stem").collect()} == {"whisper"} and align.aligned_sources(*two(spark, book, []), "stem").count() == 0
+
+
+def test_words_only_in_the_book(spark):
+    """The first takes the whole gap, the others none; a run of more than eight is dropped."""
+    book = [f"w{i}" for i in range(60)]
+    told = book[:20] + book[23:40] + book[50:]
+    rows = [(i, w, float(i), i + 0.5) for i, w in enumerate(told)]
+    h = spark.createDataFrame([("s", *r) for r in rows], HEARD)
+    out = {r.book_idx: (r.start, r.end) for r in align.aligned_sources(spark.createDataFrame([("s", i, w) for i, w in enumerate(book)], WORDS), h, "stem").collect()}
+    assert out[20] == (19.5, 20.0) and out[21] == out[22] == (20.0, 20.0) and not set(range(40, 50)) & set(out)
 
 
 def test_aligned_sources(spark):
@@ -56,7 +102,9 @@ def test_routes(spark):
     df = spark.createDataFrame(rows, "d boolean, c double, r double, h boolean, l double, n double, want string")
     got = df.select(align.correction_route(*(F.col(c) for c in "dcrhln")).alias("got"), "want").collect()
     assert [r.got for r in got] == [r.want for r in got]
-    assert align.tightened_end("a b c".split(), [("a", 1.0), ("x", 2.0), ("b", 3.0), ("c", 4.0)]) == 4.0 and align.tightened_end("a b c".split(), [("a", 1.0)]) is None
+    ends = [("a b c", [("a", 1.0), ("x", 2.0), ("b", 3.0), ("c", 4.0)], 4.0), ("a b c", [("a", 1.0)], None), (None, [("a", 1.0)], None), ("a b", [], None)]
+    df = spark.createDataFrame(ends, "t string, h array<struct<w:string,end:double>>, want double")
+    assert all(r.got == r.want for r in df.select(align.tightened_end(F.split("t", " "), F.col("h")).alias("got"), "want").collect())
 
 
 def test_fill_times(spark):

@@ -104,12 +104,31 @@ def test_planner():
     assert clips == [(0.0, 11.0, False), (11.0, 14.0, True), (14.0, 30.0, False), (30.0, 33.0, False)]
     assert (deferred, forced) == (1, 1)
     assert planner.merge_spans([(0, 2), (2, 4), (4, 9), (9, 30)], 5, 10) == [(0, 9), (9, 30)]
-    assert planner.split_at_gaps((0, 30), [(9, 11), (14, 17), (20, 20.5)], 12) == [(0, 10), (10, 15.5), (15.5, 20.25), (20.25, 30)]
-    parts = planner.split_at_gaps((0, 30), [(9, 11), (14, 17)], 12)
+    assert planner.split_at_gaps((0, 30), [(9, 11, 10), (14, 17, 16), (20, 20.5, 20.1)], 12) == [(0, 10), (10, 16), (16, 20.1), (20.1, 30)]
+    assert planner.split_at_gaps((0, 30), [(9, 11, 31)], 12) == [(0, 30)]
+    parts = planner.split_at_gaps((0, 30), [(9, 11, 9.5), (14, 17, 15)], 12)
     assert parts[0][0] == 0 and parts[-1][1] == 30 and all(x[1] == y[0] for x, y in zip(parts, parts[1:]))
     assert planner.probe_cues([0, 100, 310, 590, 900], 300) == [2, 3, 4]
     assert planner.cap_parts([3, 3, 3, 9, 1], 7) == [0, 0, 1, 2, 3]
-    assert planner.opening_match("one two three four".split(), [("x", 1.0), ("one", 5.0), ("two", 5.2), ("three", 5.4), ("four", 5.6)], 4.5) == 0.5
+
+
+def test_spans_of_sources(spark):
+    spans = frame(spark, [("s", 0.0, 2.0), ("s", 2.0, 4.0), ("s", 4.0, 9.0), ("s", 9.0, 30.0), ("t", 1.0, 2.0)], "src string, a double, b double")
+    merged = planner.merged_spans(spans, "src", 5, 10)
+    assert sorted(tuple(r) for r in merged.collect()) == [("s", 0, 0.0, 9.0), ("s", 1, 9.0, 30.0), ("t", 0, 1.0, 2.0)]
+    gaps = frame(spark, [("s", 14.0, 17.0, 16.5), ("s", 20.0, 21.0, None), ("t", 1.2, 1.4, None)], "src string, g0 double, g1 double, quiet double")
+    got = sorted((r.src, r.a, r.b) for r in planner.split_spans(merged, gaps, "src", 12).collect())
+    assert got == [("s", 0.0, 9.0), ("s", 9.0, 16.5), ("s", 16.5, 20.5), ("s", 20.5, 30.0), ("t", 1.0, 2.0)]
+    cues = frame(spark, [("s", i, float(x)) for i, x in enumerate([0, 100, 310, 590, 900])] + [("s", 9, None)], "src string, i int, start double")
+    assert [(r.i, r.probe) for r in planner.probes(cues, "src", "start", 300).orderBy("probe").collect()] == [(2, 0), (3, 1), (4, 2)]
+    assert [r.part for r in planner.capped_parts(cues, "src", "i", "i", 3).orderBy("i").collect()][:3] == [0, 0, 0]
+
+
+def test_opening_words_are_heard_in_order(spark):
+    cues = frame(spark, [("s", 1, 4.5, "one two three four".split()), ("s", 2, 4.5, "two one three four".split()), ("s", 3, 4.5, ["one", "two", "nine"]), ("s", 4, 400.0, ["one", "two"]), ("s", 5, 4.5, []), ("s", 6, 4.0, None)], "src string, cue int, start double, tokens array<string>")
+    heard = frame(spark, [("s", i, w, a) for i, (w, a) in enumerate([("x", 1.0), ("one", 5.0), ("two", 5.2), ("three", 5.4), ("four", 5.6), ("one", 4.0)])], "src string, pos int, token string, at double")
+    got = {r.cue: round(r.offset, 6) for r in planner.opening_offsets(cues, heard, "src", "cue", 30.0).collect()}
+    assert got == {1: 0.5, 3: 0.5}
 
 
 def test_planned(spark):
