@@ -335,7 +335,8 @@ def defective_pairs(verdicts: DataFrame, descriptions: DataFrame) -> DataFrame:
     never_last = (total >= SEEN) & (n_last < total * LAST_SHARE)
     # Only the words a title cannot end in meet the titles again: few, and none of those most titles end in.
     bad = checked_broadcast(materialize(words.where(F.col("cut") | never_last).select("token", F.lit("truncated").alias("broke"))))
-    return found.join(bad, "token", "left").select("verdict_id", F.coalesce("defect", "broke").alias("defect")).where(F.col("defect").isNotNull())
+    asked = found.where(F.col("defect").isNull() & (F.col("token") != "")).join(bad, "token").select("verdict_id", F.col("broke").alias("defect"))
+    return found.where(F.col("defect").isNotNull()).select("verdict_id", "defect").unionByName(asked)
 
 
 def _without_tail(title: Column) -> Column:

@@ -1,4 +1,5 @@
-"""Text cut off by field limits: the last word against a corpus trie, sentence and structure ends, length spikes."""
+"""Text cut off by field limits: the last word against a corpus trie, combined with length spikes and with the sentence
+ends of the text and its source; record and cue structure where there is any."""
 
 from __future__ import annotations
 
@@ -28,8 +29,11 @@ CAPTION_WORDS, CAPTION_CHARS = 6, 60
 # Fixed value: kana in which a Japanese sentence without its full stop commonly ends.
 _JAPANESE_END = "ただるすいんうねよかくむつぬぶぐ"
 
-# What is known of a text before the corpus is asked.
-WHOLE, CUT, ASK_WORD, ASK_ELLIPSIS = "whole", "cut", "ask_word", "ask_ellipsis"
+# What is known of a text before the corpus is asked. CUT: its record or cue is broken. MARKED: a mark of abridgement
+# stands after an unfinished sentence. PHRASE: it ends in a comma or the like. OPEN: it ends without a full stop, and
+# no sentence in it is ended; OPEN_AFTER: the same after sentences that are.
+WHOLE, CUT, MARKED, PHRASE, OPEN, OPEN_AFTER, ASK_WORD, ASK_ELLIPSIS = "whole", "cut", "marked", "phrase", "open", "open_after", "ask_word", "ask_ellipsis"
+_ENDED = re.compile(r"[.!?][\"'”’»)\]]*\s|[。！？]")
 
 
 def is_caption(line: str) -> bool:
@@ -57,10 +61,17 @@ def asks_word(line: str) -> bool:
 
 
 def last_token(text: str) -> str:
-    """The last word of a text in lower case, if nothing but closers stands after it; else ''."""
-    tail = text.rstrip()[-80:].rstrip(_CLOSERS + " ").lower()
-    words = WORD.findall(tail)
-    return words[-1] if words and tail.endswith(words[-1]) and words[-1][-1] not in _TERMINAL else ""
+    """The last word of a text in lower case, of any length, if nothing but closers stands after it; else ''."""
+    bare = text.rstrip().rstrip(_CLOSERS + " ")
+    size = 80
+    while True:
+        tail = bare[-size:].lower()
+        words = WORD.findall(tail)
+        if not words or not tail.endswith(words[-1]) or words[-1][-1] in _TERMINAL:
+            return ""
+        if len(words[-1]) < len(tail) or size >= len(bare):
+            return words[-1]
+        size *= 2  # the word goes on before
 
 
 def ending(text: str | None, kind: str | None) -> tuple[str, str] | None:
@@ -91,7 +102,7 @@ def ending(text: str | None, kind: str | None) -> tuple[str, str] | None:
     if m := _MARK.search(s):
         plain = s[: m.start()].rstrip()
         done = plain.rstrip(_CLOSERS)[-1:]
-        return (WHOLE, "") if done and done in _TERMINAL else (CUT, last_token(plain))
+        return (WHOLE, "") if done and done in _TERMINAL else (MARKED, last_token(plain))
     if is_caption(last) and not (last.startswith("- ") or last.startswith("* ")):
         return WHOLE, last_token(last) if asks_word(last) else ""
     s = _TAGS.sub("", s) or s
@@ -105,24 +116,27 @@ def ending(text: str | None, kind: str | None) -> tuple[str, str] | None:
         return WHOLE, ""  # the quotation was closed after the dots
     if bare and bare[-1] in _TERMINAL:
         return WHOLE, ""
-    return CUT, last_token(s)
+    if s[-1] in ",;:，、；：":
+        return PHRASE, ""
+    return (OPEN_AFTER if _ENDED.search(s) else OPEN), last_token(s)
 
 
-ENDINGS = "doc_id long, source string, n_chars int, state string, token string"
+ENDINGS = "doc_id long, source string, kind string, n_chars int, ended boolean, state string, token string"
 
 
 def endings(documents: DataFrame) -> DataFrame:
-    """doc_id, source, n_chars (of the text), state, token of each text that is neither null nor blank."""
+    """doc_id, source, kind, n_chars (of the text), ended (its last character but closers is a full stop), state, token (null
+    if there is none to ask for) of each text that is neither null nor blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, source, kind, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if (e := ending(text, kind)) is not None:
-                    rows.append((doc, source, len(text), *e))
-            cols = list(zip(*rows)) or [()] * 5
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "source", "n_chars", "state", "token"])
+                    rows.append((doc, source, kind, len(text), text.rstrip().rstrip(_CLOSERS + " ")[-1:] in tuple(_TERMINAL), e[0], e[1] or None))
+            cols = list(zip(*rows)) or [()] * 7
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "source", "kind", "n_chars", "ended", "state", "token"])
 
     return documents.select("doc_id", "source", "kind", "text").mapInArrow(run, ENDINGS)
 
@@ -142,42 +156,67 @@ def length_limits(lengths: DataFrame) -> DataFrame:
     return spikes.select("source", "n_chars", F.lit(True).alias("at_limit"))
 
 
-def judge(state: Column, cut_word: Column, n: Column, n_end: Column, at_limit: Column) -> Column:
-    """Whether a text broke off. A whole text with a token did if that is a cut word. A text that ends in dots is whole unless its last word is cut or ends no sentence; at a
-    length where its source's texts pile up, fewer occurrences of the word are enough to say so."""
+#: Texts of a source and kind end their sentences if at least this share of those that end in a word or a full stop end in the latter.
+HABIT = 0.5
+
+
+def habits(ends: DataFrame) -> DataFrame:
+    """(source, kind, habit): the share of full stops at the end of texts that end in a word or a full stop."""
+    stop, word = F.col("ended") & (F.col("state") == WHOLE), F.col("state").isin(OPEN, OPEN_AFTER)
+    return ends.where(stop | word).groupBy("source", "kind").agg((F.count_if(stop) / F.count("*")).alias("habit"))
+
+
+def evidence(state: Column, cut_word: Column, n: Column, n_end: Column, at_limit: Column, habit: Column) -> Column:
+    """What says that a text broke off, null if nothing does: structure, mark, word (its last word is a proper prefix of
+    words and none itself), phrase (it ends in a comma, or in a word that ends no sentence where its source ends them), length (its source's texts
+    pile up at its length) or sentence (it and its source end their sentences, but not this one).
+
+    A text that ends in a word without a full stop is whole unless one of these says otherwise; so is one that ends in
+    dots. At a length where texts pile up fewer occurrences of the last word are enough."""
     seen = F.when(at_limit, SEEN / 4).otherwise(SEEN)
     never_last = (n >= seen) & (n_end < n * END_SHARE)
-    return F.when(state == CUT, True).when(state == ASK_WORD, cut_word).when(state == ASK_ELLIPSIS, cut_word | never_last).otherwise(cut_word)
+    is_open = state.isin(OPEN, OPEN_AFTER)
+    return (
+        F.when(state == CUT, "structure").when(cut_word, "word").when(state == MARKED, "mark").when((state == PHRASE) | (((is_open & (habit >= HABIT)) | (state == ASK_ELLIPSIS)) & never_last), "phrase")
+        .when(is_open & at_limit, "length").when((state == OPEN_AFTER) & (habit >= HABIT), "sentence")
+    )
 
 
 def truncated(documents: DataFrame) -> DataFrame:
-    """doc_id, source, truncated, in_word, at_limit of each text that is neither null nor blank; repeated rows each.
+    """doc_id, source, truncated, evidence, at_limit of each text that is neither null nor blank; repeated rows each.
 
     Method: the corpus vocabulary (words with their counts, without the last word of each text) as a trie; a last
-    token that is no word but a proper prefix of words is a cut word. Sentence ends, cue and record structure decide
-    where words alone do not, and lengths at which a source's texts pile up are combined with them. Whole texts are
-    read; the vocabulary, the trie and the lengths are tables of any size. A null source is a source of its own."""
+    token that is no word but a proper prefix of words is a cut word. That is combined with lengths at which a source's
+    texts pile up, with how often the last word ends a sentence, and with whether the text and its source end theirs;
+    broken records and cues speak for themselves. Whole texts are read; the vocabulary, the trie, the lengths and the
+    habits are tables of any size. A null source is a source of its own."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "kind", "text")
     e = materialize(endings(texts))
-    words = last_words(e.where(F.col("token") != ""), word_counts(documents.select("text")))
+    words = last_words(e.where("token is not null"), word_counts(documents.select("text")))
     # Only words that say something meet the texts again: few, and not those many texts end in.
     telling = words.where(F.col("cut") | ((F.col("n") >= SEEN / 4) & (F.col("n_end") < F.col("n") * END_SHARE)))
     words = checked_broadcast(materialize(telling.select("token", "cut", "n", "n_end")))
-    limits = length_limits(e)
     no = F.lit(False)
+    own_source = F.col("e.source").eqNullSafe(F.col("l.source"))
+    # A text without a word to ask for takes its number for a key, which meets nothing, so that such texts do not meet at one place.
+    asked = e.withColumn("token", F.coalesce("token", F.concat(F.lit("\u0000"), F.col("doc_id").cast("string")))).join(words, "token", "left")
     joined = (
-        e.join(words, "token", "left").alias("e")
-        .join(limits.alias("l"), F.col("e.source").eqNullSafe(F.col("l.source")) & (F.col("e.n_chars") == F.col("l.n_chars")), "left")
+        asked.alias("e").join(checked_broadcast(length_limits(e)).alias("l"), own_source & (F.col("e.n_chars") == F.col("l.n_chars")), "left")
+        .join(checked_broadcast(habits(e)).alias("h"), F.col("e.source").eqNullSafe(F.col("h.source")) & F.col("e.kind").eqNullSafe(F.col("h.kind")), "left")
     )
-    cut, at_limit = F.coalesce("cut", no), F.coalesce("at_limit", no)
-    n, n_end = F.coalesce("n", F.lit(0)), F.coalesce("n_end", F.lit(0))
-    broke = judge(F.col("state"), cut, n, n_end, at_limit)
-    return joined.select("doc_id", "e.source", broke.alias("truncated"), (broke & cut).alias("in_word"), at_limit.alias("at_limit"))
+    at_limit, zero = F.coalesce("at_limit", no), F.lit(0)
+    why = evidence(F.col("state"), F.coalesce("cut", no), F.coalesce("n", zero), F.coalesce("n_end", zero), at_limit, F.coalesce("habit", F.lit(0.0)))
+    return joined.select("doc_id", "e.source", why.alias("evidence"), at_limit.alias("at_limit")).select("doc_id", "source", F.col("evidence").isNotNull().alias("truncated"), "evidence", "at_limit")
+
+
+KINDS = ("word", "phrase", "sentence", "length", "mark", "structure")
 
 
 def by_source(marked: DataFrame) -> DataFrame:
-    """How often each source truncates: source, texts, truncated, in_word, at_limit, share."""
-    hit = F.count_if(F.col("truncated"))
+    """How often each source truncates: source, texts, n_truncated, at_limit (how many of those stand where lengths pile up),
+    n_word, n_phrase, ... (by the evidence that decided), share."""
+    hit = F.count_if("truncated")
     return marked.groupBy("source").agg(
-        F.count("*").alias("texts"), hit.alias("n_truncated"), F.count_if(F.col("in_word")).alias("n_in_word"), F.count_if(F.col("at_limit")).alias("n_at_limit"), F.round(hit / F.count("*"), 6).alias("share")
-    )
+        F.count("*").alias("texts"), hit.alias("n_truncated"), F.count_if(F.col("truncated") & F.col("at_limit")).alias("n_at_limit"),
+        *(F.count_if(F.col("evidence").eqNullSafe(k)).alias(f"n_{k}") for k in KINDS), F.round(hit / F.count("*"), 6).alias("share"),
+    )

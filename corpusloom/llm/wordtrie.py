@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import checked_broadcast, materialize
+
 #: A word with the mark that ends a sentence, if one follows it.
 WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*[.!?。！？]?")
 _ENDS = ".!?。！？"
@@ -46,7 +48,7 @@ def word_counts(texts: DataFrame, drop_last: bool = True) -> DataFrame:
             for i, more in ((2, last), (3, once), (4, once_last)):
                 for w, k in more.items():
                     n.setdefault(w.rstrip(_ENDS), [0] * 5)[i] += k
-            words = [w for w in n if len(w) <= 40]
+            words = list(n)
             return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([n[w][i] for w in words], pa.int64()) for i in range(5))], names=["word", *kinds])
 
         for batch in batches:
@@ -81,14 +83,17 @@ def last_words(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """For each distinct ``token`` (lower case) of ``tokens``: the counts of ``vocabulary``, below (how often longer
     words stand that begin with it) and cut: it is no word of the corpus but a proper prefix of some.
 
-    The trie is a table of nodes (prefix, words below), built by an aggregation of the words' prefixes and met by
-    the tokens in a join, so that it may be of any size; only the nodes of tokens are kept."""
-    distinct = tokens.where("token <> ''").select("token").distinct()
+    The trie is a table of nodes (prefix, words below), built by an aggregation of the words' prefixes, so that it may be
+    of any size; only the nodes of tokens are built. Words may be of any length."""
+    distinct = materialize(tokens.where("token <> ''").select("token").distinct())
     lasts = "n_last" in vocabulary.columns
     n = F.col("n") + F.col("n_last") if lasts else F.col("n")
     words = vocabulary.select("word", n.alias("n"), *["once"] * lasts).where((F.col("n") >= 2) & (F.length("word") > 1))
-    prefixes = words.select("n", *["once"] * lasts, F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", F.lit(1), i))).alias("token"))
-    nodes = prefixes.groupBy("token").agg(F.sum("n").alias("below"), *[F.sum("once").alias("once_below")] * lasts).join(distinct, "token", "left_semi")
+    # Prefixes only of lengths that tokens have: one row, with a number for each length.
+    sizes = distinct.agg(F.collect_set(F.length("token")).alias("_sizes"))
+    cut = F.transform(F.filter("_sizes", lambda i: i < F.length("word")), lambda i: F.substring("word", F.lit(1), i))
+    prefixes = words.crossJoin(F.broadcast(sizes)).select("n", *["once"] * lasts, F.explode(cut).alias("token")).join(checked_broadcast(distinct), "token", "left_semi")
+    nodes = prefixes.groupBy("token").agg(F.sum("n").alias("below"), *[F.sum("once").alias("once_below")] * lasts)
     own = vocabulary.withColumnRenamed("word", "token")
     out = distinct.join(own, "token", "left").join(nodes, "token", "left").fillna(0)
     unknown = F.col("n") <= F.col("below") * KNOWN_SHARE
