@@ -44,16 +44,16 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.report(table(spark, d, "clips", spread=True))
 
 
-def _p5(spark: SparkSession, d: str) -> DataFrame:
-    return lookalike.normalize([("clips", table(spark, d, "clips", spread=True), "clip_id", "text"), ("anchored_words", table(spark, d, "anchored_words", spread=True), "word_id", "word")])
+def _p5(spark: SparkSession, d: str) -> lookalike.Tables:
+    return [("clips", table(spark, d, "clips", spread=True), "clip_id", "text"), ("anchored_words", table(spark, d, "anchored_words", spread=True), "word_id", "word")]
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return _p5(spark, d).select("tbl", "row_id")
+    return lookalike.found_rows(_p5(spark, d))
 
 
 def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
-    return _p5(spark, d)
+    return lookalike.normalize(_p5(spark, d))
 
 
 def _p6(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
