@@ -12,29 +12,39 @@ from pyspark.sql import functions as F
 from corpusloom.llm.wordtrie import last_words, word_counts
 from corpusloom.session import checked_broadcast, materialize
 
-# Words that stand for a missing title, compared without case and outer signs.
+# What stands for a missing title, compared without case and outer signs.
 STAND_INS = frozenset(
-    "untitled|no title|title|titel|titre|título|titulo|empty|leer|vide|vacío|vacio|none|null|nil|nan|n/a|na|tbd|tba|todo|unknown|unbekannt|inconnu|desconocido|undefined|missing|placeholder|"
-    "sin título|sin titulo|sans titre|ohne titel|kein titel|blank|test|xxx|default|add title here|insert title|your title here".split("|")
-)
-# Phrases by which a writer declines, by language; apostrophes plain, lower case.
-REFUSALS = tuple(
-    # English
-    "as an ai|as a language model|as a large language model|i am an ai|i'm an ai|i cannot|i can't|i can not|i could not|i couldn't|i am unable|i'm unable|i am not able|i'm not able|i won't be able|i will not be able|"
-    "i must decline|i have to decline|i decline|i am sorry but|i'm sorry but|not possible for me|isn't possible for me|not able to help|unable to help|unable to assist|unable to comply|unable to create content|"
-    "can not do for you|cannot do for you|can't do for you|can not help with|cannot help with|request denied|request declined|request refused|request rejected|against content policy|against policy|content policy|"
-    "break the guidelines|violates the guidelines|violate the guidelines|cannot be fulfilled|can't be fulfilled|i refuse to|i won't|i will not|cannot comply|not authorized to|not authorised to|not allowed to|not permitted to|no title can be|"
-    "no answer can be|no response can be|cannot be provided|can't be provided|cannot be titled|cannot be suggested|cannot be generated|cannot be answered|unable to provide|unable to generate|unable to write|unable to suggest|"
-    # German
-    "als ki|als sprachmodell|als kimodell|das kann ich nicht|kann ich nicht|ist mir nicht möglich|ist mir das nicht möglich|mir leider nicht möglich|kann ich keinen titel|kann ich keine|kann ich dabei nicht|darf ich bei dieser|"
-    "darf ich nicht|ich kann nicht|ich kann keinen|ich kann keine|ich darf nicht|ich bin nicht in der lage|bin ich nicht in der lage|anfrage abgelehnt|nicht weiterhelfen|bin ich nicht befugt|ich bin nicht befugt|nicht berechtigt zu|nicht autorisiert|kein titel vorgeschlagen|kein titel möglich|kein titel werden|es kann kein titel|bei dieser anfrage nicht helfen|"
-    # French
-    "en tant que modèle|en tant qu'ia|je ne peux pas|je ne peux|il m'est impossible|m'est impossible|je ne suis pas en mesure|je ne puis|je refuse|demande refusée|je dois refuser|je ne suis pas autorisé|je ne suis pas autorisée|pas autorisé à répondre|aucun titre ne peut|"
-    # Spanish
-    "como modelo de lenguaje|como ia|como una ia|no puedo|no me es posible|no soy capaz|no estoy en condiciones|debo rechazar|solicitud rechazada|petición rechazada|no estoy autorizado|no estoy autorizada|no se puede sugerir|ningún título puede|no puede sugerirse|solicitud denegada|"
-    # Russian, Japanese
-    "как языковая модель|я не могу|не могу помочь|申し訳ありません|お手伝いできません|できません".split("|")
+    "untitled|no title|null|nil|nan|n/a|na|tbd|tba|undefined|placeholder|xxx|sin título|sin titulo|sans titre|ohne titel|kein titel|add title here|insert title|your title here".split("|")
 )
+# Words that do so only in brackets; without them they may be a title.
+IN_BRACKETS = frozenset("title|titel|titre|título|titulo|empty|leer|vide|vacío|vacio|none|todo|unknown|unbekannt|inconnu|desconocido|missing|blank|test|default".split("|"))
+_BRACKETED = re.compile(r"^\W*[\[(<{].*[\])>}]\W*$", re.S)
+# What the words of a refusal say, by class; apostrophes plain, lower case, several languages side by side.
+# A refusal says that one who speaks (self) is not (negation) able or allowed (ability) to do what was asked (task, help).
+REFUSAL_WORDS = {
+    "self": "i|i'm|for me|ich|mir|je|j'ai|m'est|puedo|soy|estoy|no me|я|мне",
+    "negation": "not|no|cannot|can't|couldn't|won't|isn't|don't|unable|impossible|nicht|kein|keine|keinen|unmöglich|ne|pas|aucun|aucune|imposible|ningún|ninguna|не|невозможно",
+    "ability": "can|could|cannot|can't|couldn't|will|won't|able|unable|possible|impossible|kann|könnte|möglich|unmöglich|in der lage|peux|peut|puis|en mesure|capable|puedo|puede|posible|imposible|capaz|en condiciones|могу|невозможно",
+    "allowed": "allowed|permitted|authorized|authorised|darf|befugt|berechtigt|autorisiert|autorisé|autorisée|permis|autorizado|autorizada|permitido",
+    "possible": "possible|impossible|möglich|unmöglich|posible|imposible|невозможно",
+    "task": "title|titled|titel|titre|título|titulo|request|anfrage|demande|petición|solicitud|guidelines|richtlinien|content policy|text given|this topic|this material|this description|this video|dieses video|"
+    "cette vidéo|este vídeo|este video|do for you|for you to title|заголовок|запрос",
+    "help": "help|assist|comply|answer|respond|provide|helfen|weiterhelfen|antworten|aider|répondre|ayudar|responder|contestar|помочь|ответить",
+    "apology": "sorry|apologize|apologise|unfortunately|regrettably|afraid|leider|bedauerlicherweise|es tut mir leid|malheureusement|désolé|désolée|regrette|lo siento|por desgracia|lamentablemente|desafortunadamente|"
+    "lamento|извините|к сожалению",
+    "machine": "as an ai|as a language model|as a large language model|as an assistant|i am an ai|i'm an ai|als ki|als sprachmodell|als sprach ki|en tant que modèle|en tant qu'ia|como modelo de lenguaje|como ia|como una ia|"
+    "как языковая модель|как ии",
+    "request": "request|anfrage|demande|solicitud|petición|запрос",
+    "turned_down": "denied|declined|refused|rejected|abgelehnt|verweigert|refusée|rejetée|rechazada|denegada|отклонён|отклонен",
+    "decline": "decline|refuse|ablehnen|lehne|verweigere|refuse|refuser|décline|rechazar|rechazo|declino|отказываюсь",
+    "done": "suggested|provided|generated|written|created|given|titled|fulfilled|answered|vorgeschlagen|erstellt|vergeben|geschrieben|proposé|donné|fourni|sugerirse|sugerir|darse|proponerse|generarse",
+}
+# Classes that make a refusal when they stand in one sentence; those after a bar anywhere in the title.
+REFUSALS = (
+    "self negation ability task", "self negation allowed task", "self negation allowed help", "negation ability|machine", "negation allowed|machine", "self negation ability help|apology",
+    "self negation ability possible|apology", "self decline help", "self decline task", "negation ability task done", "negation task possible",
+)
+_UNSPACED = (("申し訳", "できません"), ("タイトル", "できません"), ("お手伝い", "できません"))
 # Frequent words by which a language is told, letters plain lower case.
 STOPWORDS = {
     "en": "the of and to in that was with for on a an is had not by were from what why how nobody has been without under behind there they them because when after if who again".split(),
@@ -73,24 +83,27 @@ def is_empty(title: str | None) -> bool:
         return True
     t = bare_title(title)
     core = re.sub(r"^[\W_]+|[\W_]+$", "", t).lower()
-    return not core or core in STAND_INS or re.sub(r"[^\w/ ]", "", t.lower()).strip() in STAND_INS
+    if not core or core in STAND_INS or re.sub(r"[^\w/ ]", "", t.lower()).strip() in STAND_INS:
+        return True
+    return core in IN_BRACKETS and _BRACKETED.match(title) is not None
 
 
 class PhraseAutomaton:
-    """Aho-Corasick automaton over words: does any of the phrases stand in a sequence of words?"""
+    """Aho-Corasick automaton over words: which of the labelled phrases end at each word of a sequence."""
 
-    def __init__(self, phrases: tuple[str, ...]):
+    def __init__(self, phrases: dict[str, str]):
         self.next: list[dict[str, int]] = [{}]
-        self.hit = [False]
-        for p in phrases:
-            at = 0
-            for w in _WORDS.findall(p):
-                if w not in self.next[at]:
-                    self.next[at][w] = len(self.next)
-                    self.next.append({})
-                    self.hit.append(False)
-                at = self.next[at][w]
-            self.hit[at] = True
+        self.says: list[frozenset[str]] = [frozenset()]
+        for label, text in phrases.items():
+            for p in text.split("|"):
+                at = 0
+                for w in _WORDS.findall(p):
+                    if w not in self.next[at]:
+                        self.next[at][w] = len(self.next)
+                        self.next.append({})
+                        self.says.append(frozenset())
+                    at = self.next[at][w]
+                self.says[at] |= {label}
         self.fail = [0] * len(self.next)
         queue = list(self.next[0].values())
         for at in queue:
@@ -99,32 +112,44 @@ class PhraseAutomaton:
                 while f and w not in self.next[f]:
                     f = self.fail[f]
                 self.fail[to] = self.next[f].get(w, 0) if self.next[f].get(w, 0) != to else 0
-                self.hit[to] = self.hit[to] or self.hit[self.fail[to]]
+                self.says[to] |= self.says[self.fail[to]]
                 queue.append(to)
 
-    def finds(self, words: list[str]) -> bool:
-        at = 0
+    def run(self, words: list[str]) -> list[frozenset[str]]:
+        """For each word the labels of the phrases that end with it."""
+        at, out = 0, []
         for w in words:
             while at and w not in self.next[at]:
                 at = self.fail[at]
             at = self.next[at].get(w, 0)
-            if self.hit[at]:
-                return True
-        return False
+            out.append(self.says[at])
+        return out
 
 
-_REFUSAL = PhraseAutomaton(tuple(p for p in REFUSALS if p))
-_STARTERS = frozenset(_WORDS.findall(p)[0] for p in REFUSALS if p)
-_UNSPACED = tuple(p for p in REFUSALS if p and p[0] > "぀")
+_REFUSAL = PhraseAutomaton(REFUSAL_WORDS)
+_RULES = [tuple(frozenset(x.split()) for x in (r + "|").split("|")[:2]) for r in REFUSALS]
+_CLAUSE = re.compile(r"[.!?;:…\n]+")
+# Without one of these words nothing is declined.
+_NEEDED = frozenset(w for k in ("negation", "decline", "turned_down") for p in REFUSAL_WORDS[k].split("|") for w in _WORDS.findall(p))
 
 
 def is_refusal(title: str) -> bool:
-    """A refusal automaton over the title outside quotations (a title may quote one), unless all of it is quoted."""
-    t = title.replace("’", "'")
-    inner = _QUOTED.sub(" ", title).replace("’", "'")
-    t = inner if len(_WORDS.findall(inner)) > 1 else t
-    words = _WORDS.findall(t.lower())
-    return (not _STARTERS.isdisjoint(words) and _REFUSAL.finds(words)) or any(p in title for p in _UNSPACED)
+    """Whether the title declines to be one: automaton states over who speaks, negation, ability and what was asked.
+
+    Only what stands outside quotations counts (a title may quote a refusal), unless all of it is quoted. A phrase like
+    "I can't" alone is none: it must be about the title, the request or help that was asked for."""
+    inner = _QUOTED.sub(" ", title).replace("’", "'").lower()
+    text = inner if len(_WORDS.findall(inner)) > 1 else title.replace("’", "'").lower()
+    if any(all(x in title for x in both) for both in _UNSPACED):
+        return True
+    if _NEEDED.isdisjoint(_WORDS.findall(text)):
+        return False
+    clauses = [_REFUSAL.run(_WORDS.findall(c)) for c in _CLAUSE.split(text)]
+    said = [frozenset().union(*c) if c else frozenset() for c in clauses]
+    anywhere = frozenset().union(*said)
+    if any(here <= s and whole <= anywhere for s in said for here, whole in _RULES):
+        return True
+    return any("request" in a and ("turned_down" in b or "turned_down" in c) for x in clauses for a, b, c in zip(x, [*x[1:], frozenset()], [*x[2:], frozenset(), frozenset()]))
 
 
 class SuffixAutomaton:
@@ -194,12 +219,21 @@ def _is_prose(line: str) -> bool:
     return len(line.split()) > 5 and bool(re.search(r"(?<!\.)[.!?][\"”»]*\s*$", line))
 
 
+_UNITS = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W\u3040-\u30ff\u3400-\u9fff]+(?:['’]\w+)*")
+
+
+def _words(text: str) -> list[str]:
+    """Words; of scripts without blanks each character is one."""
+    return _WORDS.findall(text) if text.isascii() else _UNITS.findall(text)
+
+
 def copied(title: str, description: str) -> bool:
     """Whether the title repeats one or more whole sentences of the description, verbatim or nearly.
 
     A first line that only echoes a title is not counted. The title is run through the suffix automaton of the
-    description; it is a copy if matches of SEED words or more cover TITLE_SHARE of it and SENTENCE_SHARE of a sentence."""
-    words = _WORDS.findall(_flat(_LABEL.sub("", title)))
+    description; it is a copy if one match has SEED words or more and matches of SEED - 1 or more cover TITLE_SHARE of it
+    and SENTENCE_SHARE of a sentence."""
+    words = _words(_flat(_LABEL.sub("", title)))
     if len(words) < SENTENCE_WORDS:
         return False
     text = description.replace("\r", "")
@@ -209,12 +243,12 @@ def copied(title: str, description: str) -> bool:
     text = _flat(text)
     if sum(w in text for w in words) < TITLE_SHARE * len(words):
         return False  # too few of its words stand there at all
-    flat = " ".join(_WORDS.findall(text))
+    flat = " ".join(_words(text))
     if not any(" ".join(words[i : i + SEED]) in flat for i in range(len(words) - SEED + 1)):
         return False
     bounds, all_words = [], []
     for m in _SENTENCE.finditer(text):
-        w = _WORDS.findall(m[0])
+        w = _words(m[0])
         if w:
             bounds.append((len(all_words), len(all_words) + len(w)))
             all_words += w

@@ -7,28 +7,30 @@ from corpusloom.llm.pairs import PhraseAutomaton, SuffixAutomaton, copied, defec
 PROSE = "The kettle of Saltwick slept beside the old garden. When the door froze, Ann painted nine wooden chairs and left. Nobody in Quillbay had noticed the damp island."
 
 
-@pytest.mark.parametrize("title", [None, "", "  ", "​", "-", "...", "#shorts", "(untitled)", "N/A", "TBD", "[title]", "Empty #shorts", " \n"])
+@pytest.mark.parametrize("title", [None, "", "  ", "​", "-", "...", "#shorts", "(untitled)", "N/A", "TBD", "[title]", "(empty)", "<blank>", " \n"])
 def test_empty(title):
     assert is_empty(title)
 
 
-@pytest.mark.parametrize("title", ["The Journal!", "N/A Means Nothing in Saltwick", "日本", "1984", "Empty Rooms"])
+@pytest.mark.parametrize("title", ["The Journal!", "N/A Means Nothing in Saltwick", "日本", "1984", "Empty Rooms", "Empty", "Empty | P20", "Missing #shorts"])
 def test_not_empty(title):
     assert not is_empty(title)
 
 
-@pytest.mark.parametrize("title", ["I’m sorry, but I can’t write a title for this video!", "AS AN AI MODEL, IT ISN'T POSSIBLE FOR ME TO COMPLY", "[request declined]", "Leider ist mir das nicht möglich.", "Je suis désolé, mais il m’est impossible d’aider.", "Por desgracia, no estoy autorizado a responder", "No title can be suggested for this material."])
+@pytest.mark.parametrize("title", ["I’m sorry, but I can’t write a title for this video!", "AS AN AI MODEL, IT ISN'T POSSIBLE FOR ME TO COMPLY", "[request declined]", "Leider ist mir das nicht möglich.", "Je suis désolé, mais il m’est impossible d’aider.", "Por desgracia, no estoy autorizado a responder", "No title can be suggested for this material.", "That is something I can not do for you.", "Request denied: this description goes against content policy.", "I must decline to answer this.", "Es tut mir leid, aber darf ich bei dieser Anfrage nicht helfen.", "Hello! Regrettably I won't be able to title this one", "Aucun titre ne peut être proposé", "タイトルを作成できません"])
 def test_refusal(title):
     assert is_refusal(title)
 
 
-@pytest.mark.parametrize("title", ["Sorry, We Can't Fix the Northern Easel", "“I Can't Do That”: Ann and the Day Ben Said No", "«No puedo»: Ann dice que no", "Leider verloren: Ann", "Unable to Sleep: The Velvet Inn", "Ann Apologizes for the Mossy Monument", "Désolé, Ann !"])
+@pytest.mark.parametrize("title", ["Sorry, We Can't Fix the Northern Easel", "“I Can't Do That”: Ann and the Day Ben Said No", "«No puedo»: Ann dice que no", "Leider verloren: Ann", "Unable to Sleep: The Velvet Inn", "Ann Apologizes for the Mossy Monument", "Désolé, Ann !", "Things I can't live without", "Why I won't buy this again", "No puedo dormir", "I will not go quietly: a life", "Content policy explained", "Je ne peux pas dormir", "Ich kann nicht schlafen", "I Can't Help Falling", "No Title Can Hold Me", "Request: A Song", "Leider nicht möglich: Ann", "Sorry, I can't swim"])
 def test_no_refusal(title):
     assert not is_refusal(title)
 
 
 def test_copied():
     assert copied("The kettle of Saltwick slept beside the old garden.", PROSE) and copied("TITLE: WHEN THE DOOR FROZE ANN PAINTED NINE WOODEN CHAIRS AND LEFT", PROSE)
+    japanese = "毎晩老人が静かな船を描いた。夜明けに船長が古い地図を売った。"
+    assert copied("夜明けに船長が古い地図を売った", japanese) and not copied("船長の地図", japanese) and not copied("古い地図と静かな船の話", japanese)
     assert copied("Nobody in had noticed the damp island.", PROSE)
     assert not copied("Why Ann Painted the Door", PROSE) and not copied("The kettle of Ferngate broke behind the new wall", PROSE)
     assert not copied("How Ann Painted Nine Chairs #shorts", "How Ann Painted Nine Chairs\n" + PROSE)
@@ -52,8 +54,9 @@ def test_suffix_automaton(text, words):
 
 
 def test_phrase_automaton():
-    a = PhraseAutomaton(("a b", "b c d", "c"))
-    assert a.finds("x b c".split()) and a.finds("a b".split()) and not a.finds("b d a".split()) and not a.finds([])
+    a = PhraseAutomaton({"x": "a b|b c d", "y": "c"})
+    assert [set(z) for z in a.run("x b c d".split())] == [set(), set(), {"y"}, {"x"}] and set().union(*a.run("a b".split())) == {"x"}
+    assert not set().union(*a.run("b d a".split())) and a.run([]) == []
 
 
 def test_pairs(spark):
