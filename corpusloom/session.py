@@ -93,13 +93,16 @@ def _width(field: T.StructField) -> Column:
     return F.lit(8)
 
 
-def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to at most ``rows`` rows and ``most`` bytes; else unchanged, so the join shuffles.
-
-    ``df`` should be materialized or cheap: it is counted here (no more than ``rows`` + 1 rows are looked at).
-    """
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is counted to at most ``rows`` rows and ``most`` bytes (no more than ``rows`` + 1 rows are looked at)."""
     width = F.lit(0)
     for field in df.schema.fields:
         width = width + _width(field)
     seen, size = df.limit(rows + 1).select(width.cast("long").alias("w")).agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0))).first()
-    return F.broadcast(df) if seen <= rows and size <= most else df
+    return seen <= rows and size <= most
+
+
+def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it ``fits_broadcast``; else unchanged, so the join shuffles. ``df`` should be
+    materialized or cheap: it is counted here."""
+    return F.broadcast(df) if fits_broadcast(df, rows, most) else df
