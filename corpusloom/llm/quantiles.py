@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.intervals import ranged
 from corpusloom.session import checked_broadcast, materialize
 
 #: The percentiles of the statement: median, 90th, 95th, 99th.
@@ -29,20 +30,19 @@ def percentiles(counts: DataFrame, keys: list[str], points: tuple[float, ...] =
     """metric, keys, n, then p50, p90, ... (linear interpolation between neighbouring order statistics; error 0).
 
     Method: a range-partitioned sort of the counts over (metric, keys, value), so that a group of any size is spread
-    over as many partitions as it needs; counts per (partition, group) give each partition's offset in its group;
-    rows that cover a target position are picked out and interpolated. A group without values has no row.
+    over as many partitions as it needs; running counts in each partition, and counts per (partition, group), give each
+    row's place in its group, and rows travel once; rows that cover a target position are picked out and interpolated. A group without values has no row.
     """
     group = ["metric", *keys]
-    placed = materialize(counts.select(*group, "value", "n").repartitionByRange(*group, "value").withColumn("part", F.spark_partition_id()))
-    parts = placed.groupBy("part", *group).agg(F.sum("n").alias("held"))
+    placed = ranged(counts.select(*group, "value", "n"), [*group, "value"], "n")
+    parts = placed.groupBy("_p", *group).agg(F.sum("n").alias("held"), F.min("_before").alias("begins"))
     # A row per partition and group: as range partitions cut a group only at their ends, groups + partitions rows.
     by = Window.partitionBy(*group)
-    before = F.sum("held").over(by.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = materialize(parts.select("part", *group, F.coalesce(before, F.lit(0)).alias("offset"), F.sum("held").over(by).alias("total")))
-    same = [F.col("r.part") == F.col("o.part"), *(F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in group)]
-    within = Window.partitionBy("part", *group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    last = placed.withColumn("upto", F.sum("n").over(within))
-    rows = last.alias("r").join(checked_broadcast(offsets).alias("o"), on=_all(same)).select(*(f"r.{k}" for k in group), "value", "total", (F.col("upto") + F.col("offset")).alias("end"), "n")
+    before = F.coalesce(F.sum("held").over(by.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = materialize(parts.select("_p", *group, (before - F.col("begins")).alias("offset"), F.sum("held").over(by).alias("total")))
+    same = [F.col("r._p") == F.col("o._p"), *(F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in group)]
+    upto = F.col("_before") + F.col("n") + F.col("offset")
+    rows = placed.alias("r").join(checked_broadcast(offsets).alias("o"), on=_all(same)).select(*(f"r.{k}" for k in group), "value", "total", upto.alias("end"), "n")
 
     targets = [(i, p) for i, p in enumerate(points)]
     lo = lambda p: F.floor(F.lit(round(p * 10_000)).cast("long") * (F.col("total") - 1) / 10_000)
