@@ -1,4 +1,4 @@
-"""Filling fixed-capacity containers: bounded-space online best-fit, with a second round over what stayed open."""
+"""Filling fixed-capacity containers: bounded-space online best-fit, with rounds over what stayed open."""
 
 from __future__ import annotations
 
@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import TOKENIZERS, token_counter
-from corpusloom.session import materialize
+from corpusloom.session import checked_broadcast, materialize
 
 #: Open windows kept per profile and partition.
 OPEN = 64
-#: Partitions whose open windows are packed together in the second round.
+#: Groups of open windows that are packed together in each later round.
 FAN_IN = 32
+#: Profiles are few (each one packs all items); more than this are an error, none is left out.
+MOST_PROFILES = 10_000
 
 
 class BoundedPacker:
@@ -66,8 +68,9 @@ def pack(items: DataFrame, capacities: list[tuple[str, int]], open_windows: int
     A profile with a null capacity or one below 1 gets no containers. An empty table gives no rows.
 
     Method: bounded-space online packing in each partition without a shuffle; what is still open at the end of the
-    partitions (at most ``open_windows`` windows for each) is packed once more, ``fan_in`` partitions at a time, as
-    whole windows. No group holds more than ``fan_in * open_windows`` windows, however large the input.
+    partitions (at most ``open_windows`` windows for each) is packed again as whole windows, ``fan_in`` partitions at a
+    time; of each such group the emptiest ``open_windows`` go on to the next round, until one group is left. No group
+    holds more than ``fan_in * open_windows`` windows, however large the input.
     """
     todo = [(p, int(c)) for p, c in capacities if c is not None and c >= 1]
 
@@ -96,30 +99,54 @@ def pack(items: DataFrame, capacities: list[tuple[str, int]], open_windows: int
                     yield batch_of(profile, capacity, rows)
         for (profile, capacity), packer in zip(todo, packers):
             if packer.windows:
-                yield batch_of(profile, capacity, [(at, None, STILL_OPEN, 0, 0) for _, at in packer.windows])
+                yield batch_of(profile, capacity, [(at, None, STILL_OPEN, 0, capacity - room) for room, at in packer.windows])
 
     placed = materialize(items.select(F.col("doc_id").cast("long"), F.col("tokens").cast("int")).mapInArrow(first, ITEMS))
-    fills = placed.groupBy("profile", "capacity", "part", "window").agg(F.sum("tokens").cast("int").alias("fill"), F.min("piece").alias("least"))
-    loose = fills.where(F.col("least") == STILL_OPEN).withColumn("group", F.floor(F.col("part") / fan_in))
+    moved = _merge_rounds(placed, open_windows, fan_in)
+    return placed.where(F.col("piece") != STILL_OPEN).join(checked_broadcast(moved), ["profile", "part", "window"], "left").select(
+        "profile", F.coalesce("container", F.concat_ws("-", F.lit("p"), "part", "window")).alias("container"), "doc_id", "piece", "start_token", "tokens"
+    )
+
+
+def _merge_rounds(placed: DataFrame, open_windows: int, fan_in: int) -> DataFrame:
+    """profile, part, window, container of the windows that were open at the end of a partition. The packer says what they hold."""
+    loose = placed.where(F.col("piece") == STILL_OPEN)
+    units = loose.select("profile", "capacity", F.col("part").alias("group"), F.concat_ws("-", "part", "window").alias("unit"), F.col("tokens").alias("fill"))
+    moved = loose.select("profile", "part", "window", F.concat_ws("-", "part", "window").alias("container"))
+    groups, turn = (loose.agg(F.max("part")).first()[0] or 0) + 1, 0
 
-    def second(key, pdf):
+    def again(key, pdf):
         import pandas as pd
 
-        pdf = pdf.sort_values(["fill", "part", "window"], ascending=[False, True, True])
-        packer = BoundedPacker(int(pdf["capacity"].iloc[0]), max(1, len(pdf)))
+        pdf = pdf.sort_values(["fill", "unit"], ascending=[False, True])
+        capacity = int(pdf["capacity"].iloc[0])
+        packer = BoundedPacker(capacity, max(1, len(pdf)))
         to = [packer.place(int(n)) for n in pdf["fill"]]
-        return pd.DataFrame({"profile": pdf["profile"], "part": pdf["part"], "window": pdf["window"], "container": [f"m{int(key[1])}-{t}" for t in to]})
-
-    moved = loose.groupBy("profile", "group").applyInPandas(second, "profile string, part int, window long, container string")
-    return placed.where(F.col("piece") != STILL_OPEN).join(moved, ["profile", "part", "window"], "left").select(
-        "profile", F.coalesce("container", F.concat_ws("-", F.lit("p"), "part", "window")).alias("container"), "doc_id", "piece", "start_token", "tokens"
-    )
+        room = {at: r for r, at in packer.windows[-open_windows:]}  # the emptiest go on
+        names = [f"m{turn}-{int(key[1])}-{t}" for t in to]
+        return pd.DataFrame({"profile": pdf["profile"], "capacity": capacity, "group": int(key[1]), "unit": pdf["unit"], "container": names, "fill": [capacity - room.get(t, 0) for t in to], "goes_on": [t in room for t in to]})
+
+    while True:
+        turn += 1
+        packed = materialize(
+            units.withColumn("group", F.floor(F.col("group") / fan_in)).groupBy("profile", "group")
+            .applyInPandas(again, "profile string, capacity int, group long, unit string, container string, fill int, goes_on boolean")
+        )
+        names = packed.select("profile", F.col("unit").alias("_unit"), F.col("container").alias("_to"))
+        same = (F.col("m.profile") == F.col("n.profile")) & (F.col("m.container") == F.col("n._unit"))
+        moved = moved.alias("m").join(names.alias("n"), same, "left").select("m.profile", "part", "window", F.coalesce("_to", "m.container").alias("container"))
+        groups = -(-groups // fan_in)
+        if groups <= 1:
+            return materialize(moved)
+        units = packed.where("goes_on").select("profile", "capacity", "group", F.col("container").alias("unit"), "fill").distinct()
 
 
 def pack_documents(documents: DataFrame, profiles: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
     """``pack`` over ``documents.text``, sized by byte_bpe_50k, into ``profiles.max_seq_length`` (a few rows)."""
     count = token_counter(documents, tokenizers)
-    rows = profiles.select("profile", "max_seq_length").where("profile is not null").distinct().orderBy("profile").limit(1000).collect()
+    rows = profiles.select("profile", "max_seq_length").where("profile is not null").distinct().orderBy("profile").limit(MOST_PROFILES + 1).collect()
+    if len(rows) > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} profiles")
     return pack(documents.select("doc_id", count(F.col("text")).alias("tokens")), [(r[0], r[1]) for r in rows])
 
 

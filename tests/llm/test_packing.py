@@ -1,7 +1,9 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from corpusloom.llm import packing
 from corpusloom.llm.packing import BoundedPacker, fill_report, pack, pack_documents, pieces
 
 
@@ -52,3 +54,21 @@ def test_documents(spark):
     report = {r.profile: r for r in fill_report(packed, profiles).collect()}
     assert len({r.tokens for r in report.values()}) == 1 and len(report) == 4
     assert packed.where("piece = 0").groupBy("profile").count().select("count").distinct().collect()[0][0] == docs.count()
+
+
+def test_rounds_over_all_partitions(spark):
+    """Ten rounds' worth of groups: what stays open is packed until one group is left."""
+    df = spark.createDataFrame([(i, 60 if i % 2 else 40) for i in range(400)], "doc_id long, tokens int").repartition(40)
+    for fan_in in (2, 3, 64):
+        rows = pack(df, [("p", 100), ("q", 250)], open_windows=4, fan_in=fan_in).collect()
+        fill, seen = check([r for r in rows if r.profile == "p"], 100)
+        assert len(seen) == 400 and sum(seen.values()) / (100 * len(fill)) > 0.85 and len(rows) == 800
+
+
+def test_any_number_of_profiles_or_an_error(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text")], "doc_id long, text string")
+    profiles = spark.range(1001).select(F.concat(F.lit("p"), "id").alias("profile"), F.lit(10).alias("max_seq_length"))
+    assert pack_documents(docs, profiles).select("profile").distinct().count() == 1001
+    monkeypatch.setattr(packing, "MOST_PROFILES", 1000)
+    with pytest.raises(ValueError, match="profiles"):
+        pack_documents(docs, profiles)
