@@ -32,12 +32,12 @@ def boundaries(text: str) -> tuple[list[int], dict[int, int]]:
     return sorted(strength), strength
 
 
-def bisect_cuts(text: str, room: int, most: int) -> list[int]:
+def bisect_cuts(text: str, room: int, most: int, known: tuple[list[int], dict[int, int]] | None = None) -> list[int]:
     """Cut positions such that the first part is at most ``most`` characters long and each later one at most ``room``.
 
     A segment that is too long is cut at the strongest boundary near its midpoint (the nearest of the strongest
     within REACH of it; else the nearest of any kind; without one, at the midpoint), then both halves again."""
-    places, strength = boundaries(text)
+    places, strength = known or boundaries(text)
     cuts: list[int] = []
     todo = [(0, len(text))]
     while todo:
@@ -69,17 +69,21 @@ def merge_cuts(n: int, cuts: list[int], room: int, most: int) -> list[int]:
 
 def split_text(text: str, max_chars: int, overlap: int) -> list[tuple[int, int, int]]:
     """(start, core start, end) of each piece: at most ``max_chars`` long; start to core start is the overlap with the
-    piece before: ``overlap`` characters, less only to begin at a boundary."""
-    overlap = max(0, min(overlap, (max_chars - 1) // 2))
+    piece before: ``overlap`` characters, less only to begin at a boundary.
+
+    The overlap is kept in full wherever it fits: wherever it is shorter than a piece. One that is not leaves no room
+    for anything new in a piece; then half of the piece is overlap."""
+    overlap = max(0, overlap if overlap < max_chars else max_chars // 2)
     room = max_chars - overlap
-    cuts = merge_cuts(len(text), bisect_cuts(text, room, max_chars), room, max_chars)
-    places, _ = boundaries(text)
+    places, strength = boundaries(text)
+    cuts = merge_cuts(len(text), bisect_cuts(text, room, max_chars, (places, strength)), room, max_chars)
     edges, out = [0, *cuts, len(text)], []
     for a, b in zip(edges, edges[1:]):
         start = a
         if a and overlap:
-            i = bisect_left(places, a - overlap)
-            start = places[i] if i < len(places) and places[i] < a else a - overlap
+            first = max(0, a - overlap)
+            i = bisect_left(places, first) if first else 0
+            start = first if not first or i == len(places) or places[i] >= a else places[i]
         out.append((start, a, b))
     return out
 

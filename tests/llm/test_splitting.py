@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusloom.llm.splitting import PIECES, split_clips, split_item, split_text  # noqa: F401
+from corpusloom.llm.splitting import PIECES, boundaries, split_clips, split_item, split_text  # noqa: F401
 
 TEXT = "First sentence here. Second one, with a comma; and more! 日本語の文。次の文。 And a last one without end"
 
@@ -15,7 +15,11 @@ def test_pieces_cover_the_text_within_the_limit(text, most, overlap):
     parts = split_text(text, most, overlap)
     assert parts[0][0] == 0 and parts[-1][2] == len(text)
     for (s0, a0, b0), (s1, a1, b1) in zip(parts, parts[1:]):
-        assert b0 == a1 and s1 <= a1 and a1 - s1 <= overlap
+        assert b0 == a1 and 0 <= s1 <= a1 and a1 - s1 <= overlap
+        if overlap < most:  # in full, less only to begin at a natural place
+            assert a1 - s1 == min(overlap, a1) or s1 in boundaries(text)[1]
+        else:
+            assert a1 - s1 <= most // 2
     assert all(b - s <= most for s, _, b in parts)
     assert "".join(text[a:b] for _, a, b in parts) == text
 
@@ -60,3 +64,10 @@ def test_limits_nulls_and_repeats(spark, profiles):
     assert len(by[2]) == 4 and len(by[4]) == 3 and {r.text for r in by[4]} == {None} and {r.text for r in by[5]} == {""}
     assert all(r.seconds is None for r in by[6]) and [r.piece for r in sorted(by[3], key=lambda r: r.piece)] == list(range(len(by[3])))
     assert split_clips(df.limit(0), profiles).count() == 0
+
+
+def test_an_overlap_of_half_the_limit_and_more_is_kept():
+    text = "x" * 200
+    for overlap in (10, 11, 15, 19):
+        parts = split_text(text, 20, overlap)
+        assert all(a - s == overlap for s, a, _ in parts[1:]) and all(b - s <= 20 for s, _, b in parts)
