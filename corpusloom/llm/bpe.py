@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 TOKENIZERS = "/opt/tokenizers"
 
 # Fixed value: the public pretoken pattern of the byte_bpe_50k vocabulary.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+BYTE_BPE_50K = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Pretoken patterns by vocabulary; for another one the pattern must be given with its name.
+PATTERNS = {"byte_bpe_50k": BYTE_BPE_50K}
 #: A worker's memo of encoded pretokens is emptied at this size; it changes no result.
 MEMO_LIMIT = 400_000
 _NONE = 1 << 40
@@ -94,10 +96,10 @@ def bpe_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder:
     """Encodes whole texts; remembers pretokens, as few distinct ones make up most of a corpus."""
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes, pattern: str = BYTE_BPE_50K):
         import regex
 
-        self.ranks, self.find, self.memo = parse_ranks(raw), regex.compile(PATTERN).findall, {}
+        self.ranks, self.find, self.memo = parse_ranks(raw), regex.compile(pattern).findall, {}
 
     def _miss(self, piece: str) -> list[int]:
         if len(self.memo) >= MEMO_LIMIT:
@@ -123,17 +125,24 @@ class Encoder:
         return n
 
 
-def encode_ids(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
+def pattern_of(name: str, pattern: str | None) -> str:
+    if pattern is None and name not in PATTERNS:
+        raise ValueError(f"the pretoken pattern of {name} must be given")
+    return pattern or PATTERNS[name]
+
+
+def encode_ids(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = TOKENIZERS, name: str = "byte_bpe_50k", pattern: str | None = None) -> DataFrame:
     """``key`` and ``ids`` (array<int>) of each row of ``df``, without special tokens; rows stay as they are, repeated ones too.
 
     A null text has null ids, an empty text the empty array; white space is text like any other. No shuffle; the
-    text is read whole. Other columns of ``df`` are not read.
+    text is read whole. Other columns of ``df`` are not read. A vocabulary other than byte_bpe_50k needs its ``pattern``.
     """
+    split = pattern_of(name, pattern)
     raw = df.sparkSession.sparkContext.broadcast(read_ranks(path, name))
     kind = dict(df.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(raw.value).encode
+        encode = Encoder(raw.value, split).encode
         for batch in batches:
             ids = [None if t is None else encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["key", "ids"])
@@ -142,13 +151,14 @@ def encode_ids(df: DataFrame, key: str = "doc_id", text: str = "text", path: str
     return out.withColumnRenamed("key", key)
 
 
-def token_counter(df: DataFrame, path: str = TOKENIZERS, name: str = "byte_bpe_50k"):
+def token_counter(df: DataFrame, path: str = TOKENIZERS, name: str = "byte_bpe_50k", pattern: str | None = None):
     """A Column function text -> number of tokens (0 for a null or empty text), as an Arrow UDF."""
+    split = pattern_of(name, pattern)
     raw = df.sparkSession.sparkContext.broadcast(read_ranks(path, name))
 
     @F.arrow_udf("int")
     def count(texts: pa.Array) -> pa.Array:
-        n = _encoder(raw.value).count
+        n = _encoder(raw.value, split).count
         return pa.array([n(t) if t else 0 for t in texts.to_pylist()], pa.int32())
 
     def apply(text: Column) -> Column:
@@ -157,11 +167,11 @@ def token_counter(df: DataFrame, path: str = TOKENIZERS, name: str = "byte_bpe_5
     return apply
 
 
-_ENCODERS: dict[bytes, Encoder] = {}
+_ENCODERS: dict[tuple[bytes, str], Encoder] = {}
 
 
-def _encoder(raw: bytes) -> Encoder:
-    if raw not in _ENCODERS:
+def _encoder(raw: bytes, pattern: str) -> Encoder:
+    if (raw, pattern) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[raw] = Encoder(raw)
-    return _ENCODERS[raw]
+        _ENCODERS[raw, pattern] = Encoder(raw, pattern)
+    return _ENCODERS[raw, pattern]

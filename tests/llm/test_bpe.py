@@ -17,7 +17,7 @@ def raw():
 @pytest.fixture(scope="module")
 def reference(raw):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
-    return tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=bpe.BYTE_BPE_50K, mergeable_ranks=ranks, special_tokens={})
 
 
 def test_equals_a_public_implementation(raw, reference):
@@ -46,3 +46,9 @@ def test_round_trip(spark, reference):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for r in df.join(bpe.encode_ids(df), "doc_id").where(F.col("text").isNotNull()).select("text", "ids").collect():
         assert reference.decode(r.ids) == r.text
+
+
+def test_another_vocabulary_needs_its_pattern(spark):
+    with pytest.raises(ValueError, match="pattern"):
+        bpe.encode_ids(spark.createDataFrame([(1, "x")], "doc_id long, text string"), name="other")
+    assert bpe.pattern_of("other", "x") == "x" and bpe.pattern_of("byte_bpe_50k", None) == bpe.BYTE_BPE_50K
