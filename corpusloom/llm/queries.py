@@ -66,8 +66,8 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
-    df, places, _ = _p6(spark, d)
-    return site_lines.without_lines(df, "video_id", F.col("snippet.description"), places)
+    df, _, confirmed = _p6(spark, d)
+    return site_lines.without_repeated(df, "video_id", F.col("channel"), F.col("snippet.description"), confirmed)
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import checked_broadcast, materialize, written
+from corpusloom.session import checked_broadcast, fits_broadcast, materialize, written
 
 #: Where the defaults of min_docs and min_share come from: the statement of the problem.
 MIN_DOCS, MIN_SHARE = 5, 0.05
@@ -120,12 +120,23 @@ def repeated_lines(df: DataFrame, key: str, source: Column, text: Column, min_do
     return places, confirmed
 
 
-def without_lines(df: DataFrame, key: str, text: Column, places: DataFrame) -> DataFrame:
-    """``key`` and the text without the lines at ``places``; the others keep their order and their own spelling.
-
-    A text of which nothing is left is the empty string; null stays null. ``key`` must be unique."""
-    drop = places.groupBy(key).agg(F.collect_set("line_no").alias("drop"))
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.coalesce(F.array_contains("drop", (i + 1).cast("int")), F.lit(False)))
-    return df.select(key, text.alias("text")).join(drop, key, "left").select(key, F.concat_ws("\n", kept).alias("t"), F.col("text").isNull().alias("none")).select(
-        key, F.when(~F.col("none"), F.col("t")).alias("description")
-    )
+def without_repeated(df: DataFrame, key: str, source: Column, text: Column, confirmed: DataFrame) -> DataFrame:
+    """``key`` and description: the text without the lines that are ``confirmed`` (source, h) for its source; the others keep
+    their order and their own spelling.
+
+    A text of which nothing is left is the empty string; null stays null. One narrow pass: the confirmed lines of each
+    source are a set, whose size is bounded by the lines of a document over the least share, and all sets are broadcast
+    if counted to a bounded size. With more sources than that the sets are cut into places of each document, met by
+    ``key``, so that texts of one source do not meet in one task."""
+    rows = df.select(F.col(key).alias(key), source.alias("_source"), text.alias("text"))
+    sets = materialize(confirmed.groupBy("source").agg(F.collect_set("h").alias("drop")))
+    hashes = line_hashes(F.col("text"))
+    if fits_broadcast(sets):
+        met = rows.alias("r").join(F.broadcast(sets).alias("s"), F.col("r._source").eqNullSafe(F.col("s.source")), "left").select(f"r.{key}", "r.text", "drop")
+        pairs = F.arrays_zip(F.split("text", "\n").alias("line"), hashes.alias("h"))
+        kept = F.transform(F.filter(pairs, lambda x: ~F.coalesce(F.array_contains("drop", x["h"]), F.lit(False))), lambda x: x["line"])
+        return met.select(key, F.when(F.col("drop").isNull(), F.col("text")).when(F.col("text").isNotNull(), F.array_join(kept, "\n")).alias("description"))
+    lines = rows.where("text is not null").select(key, "_source", F.posexplode(hashes).alias("i", "h")).where("h is not null")
+    hit = lines.alias("l").join(confirmed.alias("f"), F.col("l._source").eqNullSafe(F.col("f.source")) & (F.col("l.h") == F.col("f.h"))).groupBy(key).agg(F.collect_set("i").alias("drop"))
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("drop", i))
+    return rows.join(hit, key, "left").select(key, F.when(F.col("drop").isNull(), F.col("text")).when(F.col("text").isNotNull(), F.array_join(kept, "\n")).alias("description"))

@@ -2,9 +2,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm.site_lines import Summary, repeated_lines, without_lines
+from corpusloom.llm import site_lines
+from corpusloom.llm.site_lines import Summary, repeated_lines, without_repeated
 
 
 def brute(rows, least=5, share=0.05):
@@ -31,13 +33,15 @@ def corpus():
     return rows
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("sets_fit", [True, False])
+def test_against_brute_force(spark, monkeypatch, sets_fit):
+    monkeypatch.setattr(site_lines, "fits_broadcast", lambda df: sets_fit)
     rows = corpus()
     df = spark.createDataFrame([(*x, "clash", 1) for x in rows], "video_id string, channel string, description string, source string, h int").repartition(6)
     places, confirmed = repeated_lines(df, "video_id", F.col("channel"), F.col("description"))
     got = [(r.video_id, r.line_no) for r in places.collect()]
     assert len(got) == len(set(got)) and set(got) == brute(rows) and len(got) > 100
-    clean = {r.video_id: r.description for r in without_lines(df, "video_id", F.col("description"), places).collect()}
+    clean = {r.video_id: r.description for r in without_repeated(df, "video_id", F.col("channel"), F.col("description"), confirmed).collect()}
     bad = brute(rows)
     for i, _, t in rows:
         assert clean[i] == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if (i, n) not in bad))
