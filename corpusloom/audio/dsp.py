@@ -31,22 +31,40 @@ def brightness(x: np.ndarray, rate: int) -> tuple[float, float]:
     return band_db(f, p, 3500, 8000) - band_db(f, p, 300, 2000), dyn
 
 
-def cleanliness(x: np.ndarray, rate: int, zeros_ms: float = 100.0) -> dict[str, float]:
-    """Floor (p5 of frame levels), hum (50/60 Hz over neighbours), hiss (6-10 kHz of the quietest tenth), clipped
-    share, dropout (longest run of digital zeros in s, inside the clip), snr (p95 - p5)."""
-    size = max(1, rate // 50)
+# Bounds of the cleanliness measures.
+MAINS_HZ, QUIET_SHARE, LOUD_SHARE, LINE_FFT = 120.0, 20, 80, 1 << 14
+
+
+def running_median(v: np.ndarray, size: int) -> np.ndarray:
+    """The median of ``size`` (odd) values around each one, the ends mirrored."""
+    return np.median(np.lib.stride_tricks.sliding_window_view(np.pad(v, size // 2, mode="symmetric"), size), axis=1)
+
+
+def cleanliness(x: np.ndarray, rate: int, zeros_ms: float = 100.0, mains: float = MAINS_HZ) -> dict[str, float] | None:
+    """D2 in dB, over 20 ms frames: floor and speech (RMS of all samples of the quietest and of the loudest fifth of the
+    frames), hum (the most that ``mains`` or its next two harmonics stand out of a running median of the quiet
+    spectrum), hiss (quiet level above 6 kHz less that of 0.3-6 kHz); clipped share; dropout (share of the clip in runs
+    of digital zeros of ``zeros_ms`` or more). None for a clip under a quarter second or without enough quiet."""
+    if len(x) < rate // 4:
+        return None
+    size = max(1, int(rate * 0.02))
+    frames = x[: len(x) // size * size].reshape(-1, size)
     lv = levels(x, size)
-    lvl = db(lv)
-    f, p = spectrum(x, rate, 8192)
-    hum = max(band_db(f, p, h - 3, h + 3) - band_db(f, p, h + 12, h + 40) for h in (50, 60))
-    n = len(lv)
-    quiet = np.argsort(lv)[: max(1, n // 10)]
-    still = np.concatenate([x[i * size : (i + 1) * size] for i in quiet]) if n else x
-    fq, pq = spectrum(still, rate, 1024)
-    inner = [b - a for a, b in runs(x == 0, int(rate * zeros_ms / 1000)) if a > 0 and b < len(x)]
+    quiet, loud = frames[lv <= np.percentile(lv, QUIET_SHARE)].ravel(), frames[lv >= np.percentile(lv, LOUD_SHARE)].ravel()
+    if len(quiet) < LINE_FFT // 4 or not len(loud):
+        return None
+    still = np.pad(quiet[:LINE_FFT], (0, max(0, LINE_FFT - len(quiet))))
+    spec, f = db(np.abs(np.fft.rfft(still * np.hanning(LINE_FFT)))), np.fft.rfftfreq(LINE_FFT, 1 / rate)
+    high, mid = f >= 6000, (f >= 300) & (f < 6000)
+    if not high.any():
+        raise ValueError(f"a rate of {rate} is too low to measure hiss")
+    stands_out = spec - running_median(spec, 201)
+    lines = [stands_out[np.abs(f - mains * k) <= 8.0] for k in (1, 2, 3) if mains * k < f[-1]]
+    zeros = sum(b - a for a, b in runs(x == 0, max(1, int(rate * zeros_ms / 1000))))
+    rms = lambda y: float(db(np.sqrt((y**2).mean())))
     return {
-        "floor": float(np.percentile(lvl, 5)) if n else float("nan"), "hum": hum, "hiss": band_db(fq, pq, 6000, 10000), "clipped": float((np.abs(x) >= 0.999).mean()) if len(x) else 0.0,
-        "dropout": max(inner, default=0) / rate, "snr": float(np.percentile(lvl, 95) - np.percentile(lvl, 5)) if n else float("nan"),
+        "floor": rms(quiet), "speech": rms(loud), "hum": max([0.0, *(float(v.max()) for v in lines if len(v))]), "hiss": float(spec[high].mean() - spec[mid].mean()),
+        "clipped": float((np.abs(x) >= 0.999).mean()), "dropout": zeros / len(x),
     }
 
 
@@ -98,16 +116,41 @@ def resample(x: np.ndarray, a: int, b: int) -> np.ndarray:
     return np.fft.irfft(out, n) * n / max(1, len(x))
 
 
-def tones(x: np.ndarray, rate: int, over_db: float = 12.0, reach: int = 20, lo: float = 100.0, hi: float = 10_000.0) -> list[tuple[float, float]]:
-    """(Hz, dB over the local median) of spectral lines: the median is over ``reach`` bins each side without the centre."""
-    f, p = spectrum(x, rate, 8192)
-    level = 10 * np.log10(p + QUIET)
-    padded = np.pad(level, reach, mode="edge")
-    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1)
-    local = np.median(np.delete(around, [reach - 1, reach, reach + 1], axis=1), axis=1)
-    peak = np.r_[False, (level[1:-1] > level[:-2]) & (level[1:-1] >= level[2:]), False]
-    hit = peak & (level - local >= over_db) & (f >= lo) & (f <= hi)
-    return [(float(f[i]), float(level[i] - local[i])) for i in np.flatnonzero(hit)]
+def local_median(level: np.ndarray, reach: int = 12, gap: int = 2) -> np.ndarray:
+    """Along the last axis, the median of ``reach`` values on each side without the ``gap`` nearest ones and the centre,
+    ends repeated."""
+    pad = [(0, 0)] * (level.ndim - 1) + [(reach, reach)]
+    around = np.lib.stride_tricks.sliding_window_view(np.pad(level, pad, mode="edge"), 2 * reach + 1, axis=-1)
+    outside = np.flatnonzero(np.abs(np.arange(-reach, reach + 1)) > gap)
+    return np.median(around[..., outside], axis=-1)
+
+
+def tones(x: np.ndarray, rate: int, over_db: float = 8.0, persist: float = 0.3, lo: float = 200.0, size: int = 2048, hop: int = 512) -> list[tuple[float, float, float]]:
+    """(Hz, share of active frames, dB) of the bins from ``lo`` on that stand ``over_db`` out of their local median in more
+    than ``persist`` of the active frames (those above the 40th percentile of energy); bins at most two apart are one
+    tone, that of the most frames. dB is the median where it stands out. Too short a clip has none."""
+    if len(x) < 4 * size:
+        return []
+    starts = np.arange(0, len(x) - size, hop)
+    spec = np.abs(np.fft.rfft(np.lib.stride_tricks.sliding_window_view(x, size)[starts] * np.hanning(size), axis=1))
+    energy = spec.sum(axis=1)
+    active = energy > np.percentile(energy, 40)
+    if active.sum() < 10:
+        return []
+    level = db(spec[active])
+    over = level - local_median(level)
+    hit = over > over_db
+    share, f = hit.mean(axis=0), np.fft.rfftfreq(size, 1 / rate)
+    bins = np.flatnonzero((share > persist) & (f >= lo))
+    out, last = [], 0  # the distance is taken from the bin that stands for the tone, as long as no other bin takes its place
+    for i in bins.tolist():
+        if out and i - last <= 2:
+            if share[i] > share[out[-1]]:
+                out[-1] = last = i
+        else:
+            out.append(i)
+            last = i
+    return [(float(f[i]), float(share[i]), float(np.median(over[hit[:, i], i]))) for i in out]
 
 
 def comb_strength(x: np.ndarray, rate: int, base: float, teeth: int = 6) -> float:

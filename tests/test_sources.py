@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.audio import dsp, frames
+from corpusloom.audio import clips, dsp, frames
 from corpusloom.operators import stages
 from corpusloom.sources import epub, fetch, sinks, tables, vtt
 from corpusloom.streaming import metrics
@@ -200,11 +200,22 @@ def test_dsp():
     rng = np.random.default_rng(1)
     dull, bright = tone(1.0, 500) + 1e-4 * rng.standard_normal(RATE), tone(1.0, 5000) + 1e-4 * rng.standard_normal(RATE)
     assert dsp.brightness(bright, RATE)[0] > dsp.brightness(dull, RATE)[0] and dsp.tilt(bright, RATE) > dsp.tilt(dull, RATE)
-    lines = [f for f, _ in dsp.tones(tone(1.0, 3000, 0.1) + 0.01 * rng.standard_normal(RATE), RATE)]
-    assert len(lines) == 1 and abs(lines[0] - 3000) < 5
-    dead = np.concatenate([tone(0.5), quiet(0.1), tone(0.5)])
-    assert abs(dsp.cleanliness(dead, RATE)["dropout"] - 0.1) < 0.001 and dsp.cleanliness(np.concatenate([tone(0.5), quiet(0.099), tone(0.5)]), RATE)["dropout"] < 0.0999
-    assert dsp.cleanliness(np.clip(tone(0.5, amp=3.0), -1, 1), RATE)["clipped"] > 0.5
+    noise = 0.01 * rng.standard_normal(4 * RATE)
+    lines = dsp.tones(tone(4.0, 3000, 0.1) + noise, RATE)
+    assert len(lines) == 1 and abs(lines[0][0] - 3000) < 12 and lines[0][1] > 0.9 and lines[0][2] > 8
+    short = np.concatenate([tone(0.1, 3000, 0.1), np.zeros(4 * RATE - RATE // 10)]) + noise
+    assert dsp.tones(noise, RATE) == [] == dsp.tones(noise[:8000], RATE) and not [t for t in dsp.tones(short, RATE) if t[1] > 0.5]
+    flat = np.zeros((2, 60))
+    flat[:, 30] = 9.0
+    assert (dsp.local_median(flat) == 0).all() and dsp.running_median(np.array([1.0, 9.0, 2.0]), 3).tolist() == [1.0, 2.0, 2.0]
+    speech = np.concatenate([0.3 * tone(1.0, 800), 1e-3 * rng.standard_normal(RATE)])
+    hum = dsp.cleanliness(speech + 0.002 * np.sin(2 * np.pi * 240 * np.arange(len(speech)) / RATE), RATE)
+    clean = dsp.cleanliness(speech, RATE)
+    assert hum["hum"] > clean["hum"] + 10 and -62 < clean["floor"] < -58 and abs(clean["hiss"]) < 2 and dsp.cleanliness(speech[:1000], RATE) is None
+    loud = tone(1.5) + 1e-3 * rng.standard_normal(len(tone(1.5)))
+    dead = dsp.cleanliness(np.concatenate([loud, quiet(0.1), loud]), RATE)
+    assert abs(dead["dropout"] - 0.1 / 3.1) < 0.001 and dsp.cleanliness(np.concatenate([loud, quiet(0.099), loud]), RATE)["dropout"] == 0
+    assert dsp.cleanliness(np.clip(6 * loud, -1, 1), RATE)["clipped"] > 0.5
     c = dsp.bands()
     gains = np.linspace(-3, 3, len(c))
     x = rng.standard_normal(RATE) * 0.1
@@ -217,3 +228,38 @@ def test_dsp():
     assert abs(dsp.onset(np.concatenate([1e-4 * rng.standard_normal(RATE), tone(1.0)]), RATE, 0.5, 1.5) - 1.0) < 0.02
     s = dsp.summary(np.concatenate([tone(1.0), quiet(0.5), tone(1.0), quiet(0.5)]), RATE)
     assert abs(s["tail"] - 0.5) < 0.02 and abs(s["internal"] - 0.5) < 0.02 and 0.6 < s["speech"] < 0.7
+
+
+def test_audio_files(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    still = lambda n: 1e-4 * rng.standard_normal(int(n * RATE))
+    x = np.concatenate([still(0.2), tone(1.0, 800, 0.3), still(0.5), tone(0.5, 800, 0.3), still(1.5)])
+    for name, y in (("a", x), ("b", tone(1.0, 3000, 0.3)), ("empty", np.zeros(0))):
+        (tmp_path / f"{name}.wav").write_bytes(frames.encode(y, RATE))
+    files = clips.read_audio(spark, str(tmp_path))
+    m = {r.path.rsplit("/", 1)[-1]: r for r in clips.measures(files).collect()}
+    assert len(m) == 3 and abs(m["a.wav"].seconds - 3.7) < 0.01 and abs(m["a.wav"].tail - 1.5) < 0.02 and abs(m["a.wav"].lead - 0.2) < 0.02 and m["a.wav"].floor < -70
+    assert m["a.wav"].head_quiet and not m["b.wav"].head_quiet and m["b.wav"].edge == "hot" and m["empty.wav"].seconds == 0 and m["empty.wav"].floor is None
+    assert {r.path.rsplit("/", 1)[-1] for r in clips.tones(files).collect()} >= {"a.wav"}
+    one = files.where("path like '%/a.wav'").select("path")
+    r = clips.quiet_points(files, one.withColumn("g0", F.lit(1.2)).withColumn("g1", F.lit(1.7))).collect()
+    assert len(r) == 1 and 1.2 < r[0].quiet < 1.7
+    out = {r.path.rsplit("/", 1)[-1]: r for r in clips.trimmed(files, files.select("path", F.when(F.col("path").endswith("a.wav"), 0.5).alias("goal"))).collect()}
+    assert abs(out["a.wav"].cut - 1.0) < 0.03 and out["b.wav"].cut == 0 and abs(frames.pauses(*frames.decode(bytes(out["a.wav"].content)))[2] - 0.5) < 0.03
+    masks = clips.clean_gates(clips.measures(files))
+    assert clips.measures(files).where(masks["no_floor"]).count() == 1
+
+
+def test_state_after_each_item(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    wanted = spark.createDataFrame([(f"v{i}",) for i in range(6)] + [(None,)], "id string")
+
+    def call(ids):
+        if ids[0] in ("v2", "v4"):
+            raise OSError("down")
+        return {i: f"text of {i}" for i in ids}
+
+    first = {r.id: r for r in fetch.fetch_resumable(wanted, folder, call, tries=1).collect()}
+    assert {i for i, r in first.items() if r.ok} == {"v0", "v1", "v3", "v5"} and first["v2"].body is None
+    again = {r.id: r for r in fetch.fetch_resumable(wanted, folder, lambda ids: {i: "late" for i in ids}, tries=1).collect()}
+    assert all(r.ok for r in again.values()) and again["v2"].body == "late" and again["v0"].body == "text of v0"
