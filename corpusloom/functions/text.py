@@ -19,6 +19,8 @@ NUMBER_WORDS = [*ONES, *TENS, *SCALES]
 # Characters at which a sentence ends.
 SENTENCE_FINAL = '.?!"”)'
 DOUBLE_QUOTES = '"“”'
+# Signs and what they are in matching; those beyond the second string are removed.
+SMART = ("‘’“”–\u00a0\u200b\ufeff", "''\"\"- ")
 # Speech mark-up between brackets.
 MARKUP = r"\[(?:break|pause)(?::[^\]]*)?\]"
 
@@ -68,7 +70,7 @@ def tokens(text: Column, separators: str = r"[ \t\n\r]+") -> Column:
 
 def smart_chars(text: Column) -> Column:
     """Zero-width characters removed, typographic quotes plain, dashes and no-break spaces as used in matching."""
-    plain = F.translate(text, "‘’“”– ​﻿", "''\"\"- ")
+    plain = F.translate(text, *SMART)
     return F.replace(plain, F.lit("—"), F.lit(" - "))
 
 

@@ -24,7 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from corpusloom.plans import corpus, events, titles  # noqa: F401
+    from corpusloom.plans import corpus, events, sources, titles, units  # noqa: F401
 
     return dict(_QUERIES)
 
