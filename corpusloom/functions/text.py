@@ -282,3 +282,15 @@ def rolling_dedupe(lines: Column) -> Column:
         return F.when(known, acc).otherwise(F.array_append(acc, line))
 
     return F.aggregate(lines, F.array().cast("array<string>"), step)
+
+
+def wsl_path(path: Column) -> Column:
+    """a path with a drive letter as it is mounted under Linux (/mnt/c/...); others keep all but their backslashes."""
+    plain = F.replace(path, F.lit("\\"), F.lit("/"))
+    drive = F.regexp_extract(plain, "^([A-Za-z]):", 1)
+    return F.when(drive != "", F.concat(F.lit("/mnt/"), F.lower(drive), F.regexp_replace(F.substring(plain, 3, 1 << 30), "^/*", "/"))).otherwise(plain)
+
+
+def basename(path: Column) -> Column:
+    """The last part of a path, without its suffix."""
+    return F.regexp_replace(F.regexp_extract(path, r"([^/\\]*)$", 1), r"\.[^.]*$", "")

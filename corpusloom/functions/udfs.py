@@ -109,6 +109,29 @@ def lcs_length(a: Column, b: Column) -> Column:
     return run(a, b)
 
 
+def lcs_words(a: Column, b: Column) -> Column:
+    """F10 on texts of words with blanks between them; null if either is null. Texts travel as strings; one that stands in
+    many pairs is taken apart once a batch, and a pair is counted once however often it stands there."""
+
+    @F.arrow_udf(T.IntegerType())
+    def run(x: pa.Array, y: pa.Array) -> pa.Array:
+        words: dict[str, list[str]] = {}
+        known: dict[tuple[str, str], int] = {}
+
+        def length(p: str, q: str) -> int:
+            got = known.get((p, q))
+            if got is None:
+                for t in (p, q):
+                    if t not in words:
+                        words[t] = t.split()
+                got = known[p, q] = longest_common(words[p], words[q])
+            return got
+
+        return pa.array([None if p is None or q is None else length(p, q) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.int32())
+
+    return run(a, b)
+
+
 def _spoken(digits: str) -> str:
     words = number_words(int(digits)) if len(digits) <= 4 else None
     return " ".join(words) if words else digits

@@ -165,3 +165,14 @@ def junk_reason(body: Column, source_bytes: Column, least: int = 150, substantia
 def text_qc(df: DataFrame, sim: Column, compression: Column, logprob: Column, chars: Column, least: int = 60) -> DataFrame:
     """Rows of enough text with sim, compression, logprob and loop (compression over 2)."""
     return df.where(chars >= least).withColumn("sim", sim).withColumn("loop", compression > 2.0).withColumn("logprob", logprob)
+
+
+def transcript_fidelity(df: DataFrame, error: Column, want: Column, got: Column, most: float = 0.10) -> DataFrame:
+    """One row over clips with their word error rate and their words as written and as heard (arrays): clips, mean_wer,
+    first_missing and last_missing (clips whose first or last word was not heard), passed (a mean below ``most`` and none
+    missing; no clips do not pass). Clips without words are left out."""
+    rows = df.select(error.alias("_e"), want.alias("_w"), got.alias("_g")).where(F.size("_w") > 0)
+    heard = lambda at: F.array_contains(F.coalesce("_g", F.array().cast("array<string>")), F.element_at("_w", at))
+    out = rows.agg(F.count("*").alias("clips"), F.avg("_e").alias("mean_wer"), F.count_if(~heard(1)).alias("first_missing"), F.count_if(~heard(-1)).alias("last_missing"))
+    good = (F.col("mean_wer") < most) & (F.col("first_missing") == 0) & (F.col("last_missing") == 0)
+    return out.withColumn("passed", F.coalesce(good, F.lit(False)))

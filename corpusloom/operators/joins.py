@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import edit_ratio, word_ngrams
+from corpusloom.functions.text import basename, edit_ratio, word_ngrams
 from corpusloom.session import materialize
 
 
@@ -14,6 +14,14 @@ def restrict(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     return df.join(allowed.select(key).distinct(), key, "left_semi")
 
 
+def by_basename(files: DataFrame, rows: DataFrame, file: str, name: str) -> DataFrame:
+    """``files`` with the row of ``rows`` whose file has the same base name; files without one, and rows without a file,
+    are left out without a word. Columns that both have come from ``files``."""
+    other = [c for c in rows.columns if c not in files.columns]
+    right = rows.select(basename(F.col(name)).alias("_base"), *other)
+    return files.withColumn("_base", basename(F.col(file))).join(right, "_base").drop("_base")
+
+
 def todo(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key has no output yet; null keys stay."""
     return df.join(done.select(key).distinct(), key, "left_anti")

@@ -47,6 +47,16 @@ def spread_subset(df: DataFrame, order: list[str], size: str, need: float) -> Da
     return even_spread(df, order, share or 0.0).where("split = 'eval'").drop("split")
 
 
+def seed_set(df: DataFrame, order: list[str], seconds: str, low: float = 900.0, high: float = 2700.0, shortest: float = 3.5) -> DataFrame:
+    """The seed set of a voice: clips of ``shortest`` seconds or more, evenly spread down to ``high`` seconds in all; a set
+    of less than ``low`` seconds is too small and fails. (Its pauses are cut with ``audio.frames.cap_pauses``, 0.25 to 0.20 s.)"""
+    rows = df.where(F.col(seconds) >= shortest)
+    total = rows.agg(F.sum(seconds)).first()[0] or 0.0
+    if total < low:
+        raise ValueError(f"only {total / 60:.1f} minutes for a seed set of {low / 60:g}")
+    return spread_subset(rows, order, seconds, high)
+
+
 def speech_between(silences: DataFrame, by: list[str], total: DataFrame, at_least: float) -> DataFrame:
     """Speech is what lies between ALL silences; short silences are then dropped: (speech, kept silences) in one
     table with kind. ``total``: by, lo, hi."""

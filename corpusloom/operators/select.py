@@ -82,6 +82,19 @@ def bucket_targets(df: DataFrame, key: str, buckets: list[tuple[float, float, fl
     return df.withColumn("target", out)
 
 
+def mix_report(df: DataFrame, seconds: str, buckets: list[tuple[float, float, float]]) -> DataFrame:
+    """How far a corpus is from the designed mix of lengths: for each bucket (weight, lo, hi; lo inclusive) lo, hi, wanted
+    (its share of the weights), clips, minutes and share (of the clips in any bucket). A bucket without clips is there too."""
+    total = sum(w for w, *_ in buckets)
+    plan = df.sparkSession.createDataFrame([(float(lo), float(hi), w / total) for w, lo, hi in buckets], "lo double, hi double, wanted double")
+    which = F.lit(None).cast("double")
+    for _, lo, hi in buckets:
+        which = F.when((F.col(seconds) >= lo) & (F.col(seconds) < hi), F.lit(float(lo))).otherwise(which)
+    got = df.select(which.alias("_lo"), F.col(seconds).alias("_s")).where(F.col("_lo").isNotNull()).groupBy("_lo").agg(F.count("*").alias("clips"), (F.sum("_s") / 60).alias("minutes"))
+    rows = plan.join(got, F.col("lo") == F.col("_lo"), "left").fillna(0, ["clips"]).fillna(0.0, ["minutes"])  # a row per bucket
+    return rows.crossJoin(F.broadcast(got.agg(F.sum("clips").alias("_all")))).select("lo", "hi", "wanted", "clips", "minutes", F.coalesce(F.try_divide("clips", "_all"), F.lit(0.0)).alias("share"))
+
+
 def budget(df: DataFrame, order: list[str], size: str, need: float) -> DataFrame:
     """Rows in order until ``need`` is reached; the row that crosses it is kept. Too small a pool gives all rows."""
     return global_running(df, order, size).where(F.col("before") < need).drop("before", "total", "row", "total_rows")

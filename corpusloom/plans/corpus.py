@@ -362,16 +362,27 @@ def vtt_cues(spark, d):
     return c.groupBy("doc_id").agg(F.count("*").alias("cues"), F.sum(F.round((F.col("end_s") - F.col("start_s")) * 1000).cast("long")).alias("ms"), F.sum(F.length("text")).alias("chars"))
 
 
-@query(r"""
+_CAPTIONS_WHOLE = r"""
     WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)), lambda x: trim(replace(x, chr(9), ' '))),
             lambda x: x <> '' AND x <> 'WEBVTT' AND NOT regexp_matches(x, '^[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3} --> ') AND NOT regexp_matches(x, '^(Kind:|Language:|NOTE|align:)')) AS ls FROM documents WHERE kind IN ('vtt', 'captions') AND text IS NOT NULL),
     t AS (SELECT doc_id, list_filter(list_transform(ls, lambda x: trim(regexp_replace(x, '<[^>]+>', '', 'g'))), lambda x: x <> '') AS ls FROM l),
     r AS (SELECT doc_id, CASE WHEN len(ls) > 0 THEN list_reduce(list_transform(ls, lambda x: [x]), lambda acc, x: CASE WHEN suffix(acc[len(acc)], x[1]) THEN acc ELSE list_concat(acc, x) END) ELSE CAST([] AS VARCHAR[]) END AS k FROM t)
-    SELECT doc_id, substring(array_to_string(k, ' '), 1, 30000) AS text FROM r""")
+    SELECT doc_id, array_to_string(k, ' ') AS text FROM r"""
+_CAPTIONS = _CAPTIONS_WHOLE.replace("array_to_string(k, ' ') AS text FROM r", "substring(array_to_string(k, ' '), 1, 30000) AS text FROM r")
+
+
+@query(_CAPTIONS_WHOLE)
 def caption_text(spark, d):
-    """Timed and rolling captions as running text."""
+    """Timed and rolling captions as running text, whole."""
+    docs = _docs(spark, d).where("kind in ('vtt', 'captions')")
+    return docs.select("doc_id", vtt.caption_text(F.col("text"), most=None).alias("text"))
+
+
+@query(_CAPTIONS)
+def caption_text_30k(spark, d):
+    """S4 with the cut at 30,000 characters that the title prompts are made with."""
     docs = _docs(spark, d).where("kind in ('vtt', 'captions')")
-    return docs.select("doc_id", vtt.caption_text(F.col("text")).alias("text"))
+    return docs.select("doc_id", vtt.caption_text(F.col("text"), most=30_000).alias("text"))
 
 
 @query("WITH " + _WORDS + """,
@@ -470,11 +481,12 @@ def seed_best_run(spark, d):
 @query()
 def classify_route(spark, d):
     """Pairs that share a seed, the training clip as the book and the other as what was heard."""
-    c = _clips(spark, d).select("clip_id", text.cue_tokens(F.col("text")).alias("w"), F.coalesce(F.col("text").rlike('["“]'), F.lit(False)).alias("dialogue"))
+    tokens = text.cue_tokens(F.col("text"))
+    c = _clips(spark, d).select("clip_id", F.array_join(tokens, " ").alias("w"), F.size(tokens).alias("n"), F.coalesce(F.col("text").rlike('["“]'), F.lit(False)).alias("dialogue"))
     pairs = _seeds(spark, d).select("book_key", "heard_key").distinct()
-    rows = pairs.join(c.select(F.col("clip_id").alias("book_key"), F.col("w").alias("b"), "dialogue"), "book_key").join(c.select(F.col("clip_id").alias("heard_key"), F.col("w").alias("h")), "heard_key")
-    cov, ratio = udfs.lcs_length("b", "h") / F.size("b"), F.size("h") / F.size("b")
-    rows = rows.withColumn("coverage", F.round(cov, 6)).withColumn("ratio", F.round(ratio, 6))
+    book, heard = c.select(F.col("clip_id").alias("book_key"), F.col("w").alias("b"), F.col("n").alias("bn"), "dialogue"), c.select(F.col("clip_id").alias("heard_key"), F.col("w").alias("h"), F.col("n").alias("hn"))
+    rows = pairs.join(book, "book_key").join(heard, "heard_key")
+    rows = rows.withColumn("coverage", F.round(udfs.lcs_words("b", "h") / F.col("bn"), 6)).withColumn("ratio", F.round(F.col("hn") / F.col("bn"), 6))
     route = align.correction_route(F.col("dialogue"), F.col("coverage"), F.col("ratio"), F.lit(False), F.lit(-0.2), F.lit(0.1))
     return rows.select("book_key", "heard_key", "coverage", "ratio", route.alias("route"))
 

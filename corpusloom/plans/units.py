@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions import text
-from corpusloom.operators import align, gates, joins, planner, reports, sft, stages
+from corpusloom.functions import text, udfs
+from corpusloom.operators import align, gates, joins, planner, reports, select, sft, stages
 from corpusloom.plans.corpus import _WORDS, _clips, _docs, _words
 from corpusloom.plans.registry import query
 from corpusloom.session import table
@@ -248,14 +248,14 @@ def task_slice(spark, d):
     return sft.task_slice([docs, docs.where("text is not null")], "chat", "doc_id").select("doc_id")
 
 
-@query("WITH " + _WORDS + """, c AS (SELECT stem, end_s - start_s AS s, CASE WHEN source = 'book' THEN 'accepted' WHEN in_sfx_keepout THEN 'rejected' ELSE 'idle' END AS state FROM w)
-    SELECT stem, round(sum(s), 6) AS seconds, round(sum(CASE WHEN state = 'accepted' THEN s ELSE 0 END) / sum(s), 5) AS accepted, round(sum(CASE WHEN state = 'rejected' THEN s ELSE 0 END) / sum(s), 5) AS rejected,
-           round(sum(CASE WHEN state = 'idle' THEN s ELSE 0 END) / sum(s), 5) AS idle FROM c GROUP BY stem""")
+@query("WITH " + _WORDS + """, c AS (SELECT stem, round((end_s - start_s) * 1000) AS s, CASE WHEN source = 'book' THEN 'accepted' WHEN in_sfx_keepout THEN 'rejected' ELSE 'idle' END AS state FROM w)
+    SELECT stem, sum(s) AS ms, round(sum(CASE WHEN state = 'accepted' THEN s ELSE 0 END) / sum(s), 6) AS accepted, round(sum(CASE WHEN state = 'rejected' THEN s ELSE 0 END) / sum(s), 6) AS rejected,
+           round(sum(CASE WHEN state = 'idle' THEN s ELSE 0 END) / sum(s), 6) AS idle FROM c GROUP BY stem""")
 def cost_shares(spark, d):
     """How the time of each source is spent."""
     state = F.when(F.col("source") == "book", "accepted").when(F.col("in_sfx_keepout"), "rejected").otherwise("idle")
-    rows = _words(spark, d).select("stem", (F.col("end_s") - F.col("start_s")).alias("seconds"), state.alias("state"))
-    return reports.cost_shares(rows, ["stem"]).select("stem", F.round("seconds", 6).alias("seconds"), *(F.round(c, 5).alias(c) for c in ("accepted", "rejected", "idle")))
+    rows = _words(spark, d).select("stem", F.round((F.col("end_s") - F.col("start_s")) * 1000).alias("seconds"), state.alias("state"))
+    return reports.cost_shares(rows, ["stem"]).select("stem", F.col("seconds").alias("ms"), "accepted", "rejected", "idle")
 
 
 @query("SELECT clip_id, round(greatest(0.0, 0.75 * seconds / 10 - trailing_pause), 6) AS gap FROM clips WHERE seconds IS NOT NULL AND trailing_pause IS NOT NULL")
@@ -265,6 +265,51 @@ def assembly_gaps(spark, d):
     return c.select("clip_id", F.round(reports.assembly_gap(F.col("seconds") / 10, F.col("trailing_pause")), 6).alias("gap"))
 
 
+@query("SELECT clip_id, '/mnt/d/corpus/' || audio_file AS path FROM clips WHERE audio_file IS NOT NULL")
+def mounted_paths(spark, d):
+    """F19."""
+    c = table(spark, d, "clips").where("audio_file is not null")
+    return c.select("clip_id", text.wsl_path(F.concat(F.lit("D:\\\\corpus\\"), F.replace("audio_file", F.lit("/"), F.lit("\\")))).alias("path"))
+
+
+_BASE = r"regexp_replace(regexp_replace({}.audio_file, '^.*/', ''), '\.[^.]*$', '')"
+
+
+@query(f"SELECT a.clip_id, b.text FROM clips a JOIN clips b ON b.text IS NOT NULL AND b.split = 'train' AND {_BASE.format('a')} = {_BASE.format('b')}")
+def texts_by_basename(spark, d):
+    """Audio files with their texts of the training metadata, by base name."""
+    c = table(spark, d, "clips")
+    rows = c.where("text is not null and split = 'train'").select(F.regexp_replace("audio_file", "^wavs/", "train/").alias("name"), "text")
+    return joins.by_basename(c.select("clip_id", "audio_file"), rows, "audio_file", "name").select("clip_id", "text")
+
+
+@query("""
+    WITH b AS (SELECT CASE WHEN seconds >= 1.5 AND seconds < 3 THEN 1.5 WHEN seconds >= 3 AND seconds < 10 THEN 3 WHEN seconds >= 10 AND seconds < 20 THEN 10 END AS lo, seconds FROM clips),
+    g AS (SELECT lo, count(*) AS clips, sum(seconds) / 60 AS minutes FROM b WHERE lo IS NOT NULL GROUP BY lo)
+    SELECT CAST(p.lo AS DOUBLE) AS lo, CAST(p.hi AS DOUBLE) AS hi, round(p.w / 6.0, 6) AS wanted, coalesce(clips, 0) AS clips, round(coalesce(minutes, 0), 6) AS minutes, round(coalesce(clips, 0) / (SELECT sum(clips) FROM g), 6) AS share
+    FROM (VALUES (1.5, 3, 1), (3, 10, 2), (10, 20, 3)) p(lo, hi, w) LEFT JOIN g ON g.lo = p.lo""")
+def length_mix(spark, d):
+    """Clips of 1.5-3, 3-10 and 10-20 s in the ratio 1:2:3."""
+    out = select.mix_report(_clips(spark, d), "seconds", [(1, 1.5, 3), (2, 3, 10), (3, 10, 20)])
+    return out.select("lo", "hi", F.round("wanted", 6).alias("wanted"), "clips", F.round("minutes", 6).alias("minutes"), F.round("share", 6).alias("share"))
+
+
+@query()
+def seed_set(spark, d):
+    """X10."""
+    return reports.seed_set(_clips(spark, d).select("clip_id", "seconds"), ["clip_id"], "seconds").select("clip_id", "seconds")
+
+
+@query()
+def transcript_fidelity(spark, d):
+    """Book words of each source as written against all of its words as heard."""
+    w = _words(spark, d).where("stem is not null and word is not null").select("stem", "pos", text.bare_word(F.col("word")).alias("w"), "source").where("w <> ''")
+    hour = w.withColumn("part", F.floor(F.col("pos") / 50))
+    said = lambda df, name: df.groupBy("stem", "part").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "w"))), lambda x: x["w"]).alias(name))
+    both = said(hour.where("source = 'book'"), "want").join(said(hour, "got"), ["stem", "part"])  # 50 words at most
+    return gates.transcript_fidelity(both, udfs.wer(F.col("want"), F.col("got")), F.col("want"), F.col("got"))
+
+
 # ---------------------------------------------------------------- alignment and planning, tested against plain loops
 
 

@@ -73,8 +73,9 @@ def caption_lines(text: Column) -> Column:
     return F.filter(F.transform(kept, lambda x: F.trim(F.regexp_replace(x, "<[^>]+>", ""))), lambda x: x != "")
 
 
-def caption_text(text: Column, most: int | None = 30_000) -> Column:
-    """A rolling caption file as running text: a line that equals, or ends, the line kept last is left out."""
+def caption_text(text: Column, most: int | None = None) -> Column:
+    """A rolling caption file as running text: a line that equals, or ends, the line kept last is left out. The whole
+    text unless ``most`` characters are asked for."""
     joined = F.array_join(rolling_dedupe(caption_lines(text)), " ")
     return joined if most is None else F.substring(joined, 1, most)
 
