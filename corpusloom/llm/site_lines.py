@@ -93,7 +93,7 @@ def repeated_lines(df: DataFrame, key: str, source: Column, text: Column, min_do
     count nowhere; blank ones count as documents. An empty table gives empty results. Texts are read whole.
 
     Pass 1 makes heavy-hitter summaries in each partition and adds them up with their errors: no line that qualifies
-    can be missing from them. Pass 2 counts those candidates exactly. The candidates of a source are bounded by the lines per
+    can be missing from them, unless the error of a source reaches its threshold; then all its lines are candidates. Pass 2 counts those candidates exactly. The candidates of a source are bounded by the lines per
     document over ``min_share``; they are broadcast if counted to a bounded size, else joined by a shuffle.
     """
     texts = df.where(text.isNotNull()).select(F.col(key).alias(key), source.alias("source"), line_hashes(text).alias("lines"))
@@ -109,10 +109,15 @@ def repeated_lines(df: DataFrame, key: str, source: Column, text: Column, min_do
         merged.where("h is not null").alias("m").join(bounds.alias("b"), same("m", "b")).where(F.col("n") >= floor - F.col("error")).select("m.source", "h", "of_docs")
     )
     wanted = checked_broadcast(candidates)
-    exact = (
-        docs.select("source", F.explode("hs").alias("h")).alias("d").join(wanted.alias("w"), same("d", "w") & (F.col("d.h") == F.col("w.h")))
-        .groupBy("w.source", "w.h", "w.of_docs").agg(F.count("*").alias("docs")).where(F.col("docs") >= floor)
-    )
+    def counted(lines: DataFrame) -> DataFrame:
+        return lines.groupBy("source", "h", "of_docs").agg(F.count("*").alias("docs")).where(F.col("docs") >= floor)
+
+    each = docs.select("source", F.explode("hs").alias("h"))
+    exact = counted(each.alias("d").join(wanted.alias("w"), same("d", "w") & (F.col("d.h") == F.col("w.h"))).select("w.source", "w.h", "w.of_docs"))
+    # A summary can only miss a line that its error reaches; should that ever be so, every line of the source is counted.
+    unsure = materialize(bounds.where(F.col("error") >= floor).select("source", "of_docs"))
+    if unsure.count():
+        exact = exact.unionByName(counted(each.alias("d").join(checked_broadcast(unsure).alias("u"), same("d", "u")).select("u.source", "d.h", "u.of_docs"))).distinct()
     confirmed = materialize(exact)
     found = checked_broadcast(confirmed.select("source", "h"))
     lines = texts.select(key, "source", F.posexplode("lines").alias("i", "h")).where("h is not null")

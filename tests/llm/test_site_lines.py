@@ -48,6 +48,15 @@ def test_against_brute_force(spark, monkeypatch, sets_fit):
     assert confirmed.count() >= 4
 
 
+def test_a_summary_that_may_miss_lines_is_not_trusted(spark, monkeypatch):
+    monkeypatch.setattr(site_lines, "summarize", lambda docs, share: docs.groupBy("source").agg(F.lit(None).cast("long").alias("h"), F.count("*").alias("n")).select("source", "h", "n"))
+    rows = corpus()
+    df = spark.createDataFrame(rows, "video_id string, channel string, description string")
+    places, _ = repeated_lines(df, "video_id", F.col("channel"), F.col("description"))
+    got = [(r.video_id, r.line_no) for r in places.collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
+
+
 def test_empty_and_blank(spark):
     schema = "video_id string, channel string, description string"
     assert repeated_lines(spark.createDataFrame([], schema), "video_id", F.col("channel"), F.col("description"))[0].count() == 0
