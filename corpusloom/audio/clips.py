@@ -91,3 +91,69 @@ def trimmed(files: DataFrame, goals: DataFrame, fade_ms: float = 5.0) -> DataFra
                 yield pd.DataFrame({"path": [p], "content": [bytes(kept)], "cut": [(len(x) - len(y)) / rate]})
 
     return files.join(goals.select("path", "goal"), "path").select("path", "content", "goal").mapInPandas(run, "path string, content binary, cut double")
+
+
+def changed(files: DataFrame, change) -> DataFrame:
+    """path, content of each file after ``change``, a function of (samples, rate) to (samples, rate)."""
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            for p, content in zip(pdf["path"], pdf["content"]):
+                yield pd.DataFrame({"path": [p], "content": [frames.encode(*change(*frames.decode(bytes(content))))]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, content binary")
+
+
+def resampled(files: DataFrame, rate: int) -> DataFrame:
+    """Files at another rate."""
+    return changed(files, lambda x, own: (dsp.resample(x, own, rate), rate))
+
+
+def band_levels(files: DataFrame) -> DataFrame:
+    """D3: long-term levels, a row per file and band: path, band, hz, level."""
+    centres = dsp.bands()
+    return _each(files, lambda path, x, rate: [(path, i, float(c), float(v)) for i, (c, v) in enumerate(zip(centres, dsp.ltas(x, rate, centres)))], "path string, band int, hz double, level double")
+
+
+def eq_gains(source: DataFrame, target: DataFrame, most: float = 6.0) -> list[float]:
+    """D3: the gain of each band that brings the mean levels of one corpus to those of another (both from ``band_levels``;
+    27 numbers come to the driver)."""
+    mean = lambda df: [r["v"] for r in df.where(~F.isnan("level")).groupBy("band").agg(F.avg("level").alias("v")).orderBy("band").collect()]
+    a, b = mean(source), mean(target)
+    if len(a) != len(b):
+        raise ValueError("the corpora do not fill the same bands")
+    return [float(g) for g in dsp.eq_plan(np.array(a), np.array(b), most)]
+
+
+def equalised(files: DataFrame, gains: list[float], invert: bool = False) -> DataFrame:
+    """Files with the gains of each band put on, or taken off again."""
+    centres, g = dsp.bands(), np.array(gains)
+    return changed(files, lambda x, rate: (dsp.apply_eq(x, rate, centres, g, invert), rate))
+
+
+def notched(files: DataFrame, hz: list[float]) -> DataFrame:
+    """Files without the given tones."""
+
+    def change(x: np.ndarray, rate: int) -> tuple[np.ndarray, int]:
+        for f in hz:
+            x = dsp.notch(x, rate, f)
+        return x, rate
+
+    return changed(files, change)
+
+
+def beds(files: DataFrame, seconds: float) -> DataFrame:
+    """Path, content of a bed of room tone harvested from each file; a file without quiet stretches has no row."""
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            for p, content in zip(pdf["path"], pdf["content"]):
+                x, rate = frames.decode(bytes(content))
+                if (tone := dsp.bed(x, rate, seconds)) is not None:
+                    yield pd.DataFrame({"path": [p], "content": [frames.encode(tone, rate)]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, content binary")

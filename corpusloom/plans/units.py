@@ -393,3 +393,14 @@ def capped_parts(spark, d):
     """Clips of each source in parts of ten minutes at most."""
     c = _clips(spark, d).where("stem is not null").select("stem", "clip_id", "seconds")
     return planner.capped_parts(c, "stem", "clip_id", "seconds", 600.0).select("stem", "clip_id", "part")
+
+
+@query("WITH " + _WORDS + r""",
+    f AS (SELECT *, regexp_replace(lower(word), '[^a-z0-9]', '', 'g') = 'echoed' AS hit FROM w WHERE word IS NOT NULL AND start_s IS NOT NULL AND end_s IS NOT NULL)
+    SELECT stem, pos, part, CASE WHEN NOT hit THEN word WHEN part = 0 THEN regexp_extract(word, '^[^\p{L}\p{N}_]*') || 'ech' ELSE 'oed' || regexp_extract(word, '[^\p{L}\p{N}_]*$') END AS word,
+           CASE WHEN hit AND part = 1 THEN round(start_s + (end_s - start_s) / 2, 3) ELSE start_s END AS start_s FROM f, (VALUES (0), (1)) p(part) WHERE hit OR part = 0""".replace("\\\\", "\\"))
+def fused_words(spark, d):
+    """a word that is written as two, its time shared out."""
+    w = _words(spark, d).where("word is not null and start_s is not null and end_s is not null").select("stem", "pos", "word", F.col("start_s").alias("start"), F.col("end_s").alias("end"))
+    fixes = spark.createDataFrame([("echoed", ["ech", "oed"])], "token string, parts array<string>")
+    return align.split_fused(w, fixes).select("stem", "pos", "part", "word", F.col("start").alias("start_s"))

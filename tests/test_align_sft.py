@@ -10,11 +10,18 @@ def heard(words, step=0.5):
     return [{"word": w, "start": round(i * step, 3), "end": round(i * step + step, 3)} for i, w in enumerate(words)]
 
 
-def test_stream_and_fused_words():
+def test_stream():
     tokens, of = align.stream(["Twenty-one", "It’s", "42", "—", "12345"])
     assert tokens == ["twenty", "one", "its", "forty", "two", "12345"] and of == [0, 0, 1, 2, 2, 4]
-    got = align.fix_fused([{"word": "“matamundi,", "start": 1.0, "end": 2.0}, {"word": "x", "start": 2.0, "end": 3.0}], {"matamundi": ["Mater", "Mundi"]})
-    assert [(w["word"], w["start"], w["end"]) for w in got] == [("“Mater", 1.0, 1.5), ("Mundi,", 1.5, 2.0), ("x", 2.0, 3.0)]
+
+
+def test_fused_words(spark):
+    words = spark.createDataFrame([(1, "“matamundi,", 1.0, 2.0), (2, "x", 2.0, 3.0), (3, None, 3.0, 4.0), (4, "Bb", 4.0, 4.1)], "pos int, word string, start double, end double")
+    fixes = spark.createDataFrame([("matamundi", ["Mater", "Mundi"]), ("bb", ["B", "B", "C"]), ("bb", ["B", "B", "C"]), ("none", [])], "token string, parts array<string>")
+    got = [tuple(r) for r in align.split_fused(words, fixes).orderBy("pos", "part").collect()]
+    assert got[:4] == [(1, "“Mater", 1.0, 1.5, 0), (1, "Mundi,", 1.5, 2.0, 1), (2, "x", 2.0, 3.0, 0), (3, None, 3.0, 4.0, 0)]
+    assert got[4:] == [(4, "B", 4.0, 4.033, 0), (4, "B", 4.033, 4.067, 1), (4, "C", 4.067, 4.1, 2)]
+    assert align.split_fused(words.limit(0), fixes).count() == 0
 
 
 WORDS, HEARD = "stem string, pos int, word string", "stem string, pos int, word string, start double, end double"

@@ -246,6 +246,17 @@ def test_audio_files(spark, tmp_path):
     assert len(r) == 1 and 1.2 < r[0].quiet < 1.7
     out = {r.path.rsplit("/", 1)[-1]: r for r in clips.trimmed(files, files.select("path", F.when(F.col("path").endswith("a.wav"), 0.5).alias("goal"))).collect()}
     assert abs(out["a.wav"].cut - 1.0) < 0.03 and out["b.wav"].cut == 0 and abs(frames.pauses(*frames.decode(bytes(out["a.wav"].content)))[2] - 0.5) < 0.03
+    full = files.where("path not like '%empty.wav'")
+    double = frames.decode(bytes(clips.resampled(full, 2 * RATE).first().content))
+    assert double[1] == 2 * RATE and len(double[0]) in (2 * RATE, 2 * len(x))
+    levels = clips.band_levels(full)
+    assert levels.count() == 2 * 27 and clips.eq_gains(levels, levels) == [0.0] * 27
+    gains = [3.0] * 13 + [-3.0] * 14
+    back = {r.path: r.content for r in clips.equalised(clips.equalised(full, gains), gains, invert=True).collect()}
+    assert all(np.abs(frames.decode(bytes(c))[0] - frames.decode(bytes(r.content))[0]).max() < 0.01 for r in full.collect() for c in [back[r.path]])
+    tone_out = frames.decode(bytes(clips.notched(full.where("path like '%/b.wav'"), [3000.0]).first().content))[0]
+    assert np.abs(np.fft.rfft(tone_out))[3000] < 0.3 * np.abs(np.fft.rfft(tone(1.0, 3000, 0.3)))[3000]
+    assert [r.path.rsplit("/", 1)[-1] for r in clips.beds(full, 0.5).collect()] == ["a.wav"]
     masks = clips.clean_gates(clips.measures(files))
     assert clips.measures(files).where(masks["no_floor"]).count() == 1
 
