@@ -478,7 +478,10 @@ def _cut(indexed: DataFrame, array_train: bool, suffixes: int, others: int):
         return few.select("n", "codes").mapInArrow(_sampled_keys, "key long")
 
     points = [float(i / ranges) for i in range(1, ranges)]
-    edges = np.array(sample(array_train, suffixes).agg(F.percentile_approx("key", points, max(10_000, 20 * ranges))).first()[0] if points else [], np.int64)
+    at = F.percentile_approx("key", points, max(10_000, 20 * ranges))
+    # Of a few long texts the sample may hold none; then all are looked at.
+    found = (sample(array_train, suffixes).agg(at).first()[0] or sample(array_train, 1).agg(at).first()[0]) if points else []
+    edges = np.array(found, np.int64)
     seen = np.zeros(ranges, np.int64)
     if others > SEEKERS:
         held = indexed.sparkSession.sparkContext.broadcast(edges)

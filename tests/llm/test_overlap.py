@@ -104,8 +104,9 @@ def brute(rows):
 
 
 def test_no_link_is_lost(spark, monkeypatch):
-    for seed, together, most in ((1, 500, 1_000_000), (2, 2000, 300)):
+    for seed, together, most, sample in ((1, 500, 1_000_000, 400), (2, 2000, 300, 0)):
         monkeypatch.setattr(overlap, "TOGETHER", together)
+        monkeypatch.setattr(overlap, "SAMPLE", sample)  # 0: no text of the sample
         monkeypatch.setattr(overlap, "RANGE", most)  # many ranges, with several parts each
         monkeypatch.setattr(overlap, "SEEKERS", most)
         rows = corpus(seed)
