@@ -472,15 +472,14 @@ def _cut(indexed: DataFrame, array_train: bool, suffixes: int, others: int):
     cores = indexed.sparkSession.sparkContext.defaultParallelism
     ranges = max(cores, -(-suffixes // RANGE))
 
-    def sample(train: bool, words: int) -> DataFrame:
-        share = min(1.0, SAMPLE * ranges / max(words, 1))
-        few = indexed.where(F.col("train") == F.lit(train)).where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    def sample(train: bool, share: float) -> DataFrame:
+        few = indexed.where(F.col("train") == F.lit(train)).where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30)))
         return few.select("n", "codes").mapInArrow(_sampled_keys, "key long")
 
     points = [float(i / ranges) for i in range(1, ranges)]
     at = F.percentile_approx("key", points, max(10_000, 20 * ranges))
     # Of a few long texts the sample may hold none; then all are looked at.
-    found = (sample(array_train, suffixes).agg(at).first()[0] or sample(array_train, 1).agg(at).first()[0]) if points else []
+    found = (sample(array_train, SAMPLE * ranges / suffixes).agg(at).first()[0] or sample(array_train, 1.0).agg(at).first()[0]) if points else []
     edges = np.array(found, np.int64)
     seen = np.zeros(ranges, np.int64)
     if others > SEEKERS:
@@ -491,7 +490,7 @@ def _cut(indexed: DataFrame, array_train: bool, suffixes: int, others: int):
                 at, many = np.unique(np.searchsorted(held.value, batch.column(0).to_numpy(), "left"), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(many.astype(np.int64))], names=["range", "n"])
 
-        for r in sample(not array_train, others).mapInArrow(ranges_of, "range int, n long").groupBy("range").agg(F.sum("n").alias("n")).collect():  # a row per range
+        for r in sample(not array_train, SAMPLE * ranges / others).mapInArrow(ranges_of, "range int, n long").groupBy("range").agg(F.sum("n").alias("n")).collect():  # a row per range
             seen[r["range"]] = r["n"]
     # A text has a seeker for every other word at most.
     parts = np.maximum(1, -(-seen * others // (2 * SEEKERS * max(1, int(seen.sum())))))
