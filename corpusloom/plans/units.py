@@ -10,6 +10,7 @@ from corpusloom.operators import align, gates, joins, planner, reports, select,
 from corpusloom.plans.corpus import _WORDS, _clips, _docs, _words
 from corpusloom.plans.registry import query
 from corpusloom.session import table
+from corpusloom.sources import sinks
 
 # ---------------------------------------------------------------- normalisers and sentence tests
 
@@ -221,6 +222,28 @@ def notable_stretches(spark, d):
     return align.heard_stretches(_words(spark, d), "stem").select("stem", "first_row", "n", F.round("seconds", 6).alias("seconds"))
 
 
+@query("WITH " + _WORDS + """,
+    v AS (SELECT stem, pos, word, start_s - lag(end_s) OVER o AS gap, source = 'whisper' AS off, lag(source = 'whisper') OVER o AS was, lead(source = 'whisper') OVER o AS nxt
+          FROM w WHERE word IS NOT NULL AND start_s IS NOT NULL AND end_s IS NOT NULL AND source IS NOT NULL WINDOW o AS (PARTITION BY stem ORDER BY pos))
+    SELECT stem, string_agg((CASE WHEN gap >= 1.5 THEN chr(10) || chr(10) WHEN gap IS NULL THEN '' ELSE ' ' END) || (CASE WHEN off AND NOT coalesce(was, false) THEN '[' ELSE '' END) || word
+                            || (CASE WHEN off AND NOT coalesce(nxt, false) THEN ']' ELSE '' END), '' ORDER BY pos) AS text FROM v GROUP BY stem""")
+def transcripts(spark, d):
+    """K4: readable transcripts, what was only heard in brackets."""
+    w = _words(spark, d).where("word is not null and start_s is not null and end_s is not null and source is not null")
+    return sinks.transcript(w.select("stem", "pos", "word", "start_s", "end_s", "source"), "stem")
+
+
+@query("""
+    WITH r AS (SELECT clip_id, row_number() OVER (ORDER BY clip_id) - 1 AS i, count(*) OVER () AS n, least(1.0, 30000000 / sum(ms) OVER ()) AS share FROM (SELECT clip_id, CAST(round(seconds * 1000) AS BIGINT) AS ms FROM clips WHERE seconds IS NOT NULL)),
+    k AS (SELECT *, CAST(round_even(n * share, 0) AS BIGINT) AS k FROM r),
+    x AS (SELECT DISTINCT CAST(round_even(j * ((n - 1) / CAST(k - 1 AS DOUBLE)), 0) AS BIGINT) AS i FROM (SELECT DISTINCT n, k FROM k), LATERAL (SELECT unnest(range(0, k)) AS j) UNION SELECT DISTINCT n - 1 FROM k)
+    SELECT clip_id FROM k WHERE i IN (SELECT i FROM x)""")
+def spread_subset(spark, d):
+    """Clips of about 500 minutes, evenly spread."""
+    c = _clips(spark, d).where("seconds is not null").select("clip_id", F.round(F.col("seconds") * 1000).cast("long").alias("ms"))
+    return reports.spread_subset(c, ["clip_id"], "ms", 30_000_000.0).select("clip_id")
+
+
 # ---------------------------------------------------------------- chat framing, costs, tasks
 
 
