@@ -196,18 +196,25 @@ def global_running(df: DataFrame, order: list[str], value: str) -> DataFrame:
 def grouped_running(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
     """``df`` with before, total, row (from 0) and rows of each group of ``by``, in one total ``order``.
 
-    One range-partitioned sort over (by, order): a group of any size is spread over as many partitions as it needs; a
-    group's own numbers are the global ones less those at its first row. A null in ``by`` is a group of its own."""
+    One range-partitioned sort over (by, order): a group of any size is spread over as many partitions as it needs. What
+    each range holds of a group gives the group's offset there. A null in ``by`` is a group of its own."""
     from corpusloom.session import checked_broadcast
 
-    rows = global_running(df, [*by, *order], value).drop("total", "total_rows")
-    first = rows.groupBy(*by).agg(F.min_by("before", "row").alias("_b"), F.min("row").alias("_r"), F.sum(value).alias("total"), F.count("*").alias("rows"))
-    same = F.lit(True)
+    placed = ranged(df, [*by, *order], value)
+    # A row per range and group: as ranges cut a group only at their ends, groups + ranges rows.
+    held = placed.groupBy("_p", *by).agg(F.sum(value).alias("_s"), F.count("*").alias("_c"), F.min("_row").alias("_r"), F.min_by("_before", "_row").alias("_b"))
+    w = Window.partitionBy(*by)
+    upto = w.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    offsets = held.select(
+        "_p", *by, (zero(F.sum("_s").over(upto)) - F.col("_b")).alias("_off"), (zero(F.sum("_c").over(upto)) - F.col("_r")).alias("_first"), F.sum("_s").over(w).alias("total"), F.sum("_c").over(w).alias("rows")
+    )
+    same = F.col("x._p") == F.col("f._p")
     for k in by:
         same = same & F.col(f"x.{k}").eqNullSafe(F.col(f"f.{k}"))
-    own = rows.alias("x").join(checked_broadcast(first).alias("f"), same)
+    own = placed.alias("x").join(checked_broadcast(offsets).alias("f"), same)
     kept = [F.col(f"x.{c}") for c in df.columns]
-    return own.select(*kept, (F.col("before") - F.col("_b")).alias("before"), (F.col("row") - F.col("_r")).alias("row"), "total", "rows")
+    return own.select(*kept, (F.col("_before") + F.col("_off")).alias("before"), (F.col("_row") + F.col("_first")).alias("row"), "total", "rows")
 
 
 def _global_parts(df: DataFrame, order: list[str], size: str, parts: int) -> DataFrame:

@@ -50,21 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and return it with its lineage cut; survives lost executors.
     Its files are removed when Python exits."""
-    spark = df.sparkSession
-    folder = ensure_checkpoint_dir(spark)
-    before = _folders(spark, folder)
+    ensure_checkpoint_dir(df.sparkSession)
     out = df.checkpoint(eager=True)
-    for path in _folders(spark, folder) - before:
-        atexit.register(_remove, spark, path)
+    try:
+        atexit.register(_remove, df.sparkSession, out._jdf.queryExecution().logical().rdd().getCheckpointFile().get())
+    except Exception:  # where the plan does not say, the folder's owner clears it
+        pass
     return out
 
 
-def _folders(spark: SparkSession, path: str) -> set[str]:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    return {str(s.getPath()) for s in fs.listStatus(at) if s.getPath().getName().startswith("rdd-")} if fs.exists(at) else set()
-
-
 def written(df: DataFrame) -> DataFrame:
     """Like ``materialize``, as a Parquet table in the same folder: smaller, and read by column. Removed when Python exits."""
     spark = df.sparkSession
