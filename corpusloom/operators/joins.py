@@ -88,21 +88,22 @@ def fuzzy_names(tokens: DataFrame, names: DataFrame, token: str = "token", name:
 def ngram_places(df: DataFrame, key: str, words: Column, n: int, most: int | None = None) -> DataFrame:
     """key, pos (from 0), g1, g2 (two hashes that stand for the n-gram, 12 bytes instead of its text).
 
-    With ``most``, only n-grams that stand at most that often: the hot ones go before any join."""
+    With ``most``, only n-grams that stand at most that often, counted where they meet: the hot ones go before any join."""
     hashed = F.transform(word_ngrams(words, n), lambda g: F.struct(F.xxhash64(g).alias("g1"), F.hash(g).alias("g2")))
     places = df.select(F.col(key), F.posexplode(hashed).alias("pos", "g")).select(key, "pos", "g.g1", "g.g2")
     if most is None:
         return places
-    rare = places.groupBy("g1", "g2").agg(F.count("*").alias("_n")).where(F.col("_n") <= most).select("g1", "g2")
-    return places.join(rare, ["g1", "g2"], "left_semi")
+    return places.withColumn("_n", F.count("*").over(Window.partitionBy("g1", "g2"))).where(F.col("_n") <= most).drop("_n")
 
 
 def seeds(book: DataFrame, heard: DataFrame, n: int = 6, most: int = 6) -> DataFrame:
     """Shared n-grams of two tables of (key, words): book_key, heard_key, book_pos, heard_pos; n-grams that stand more
-    than ``most`` times in the book are left out."""
+    than ``most`` times in the book are left out.
+
+    The join is by sorting, as it stands: Spark takes the n-grams of a table for no more than its rows, and would broadcast them."""
     b = ngram_places(book, "book_key", F.col("words"), n, most)
     h = ngram_places(heard, "heard_key", F.col("words"), n)
-    return h.withColumnRenamed("pos", "heard_pos").join(b.withColumnRenamed("pos", "book_pos"), ["g1", "g2"]).drop("g1", "g2")
+    return h.withColumnRenamed("pos", "heard_pos").join(b.withColumnRenamed("pos", "book_pos").hint("merge"), ["g1", "g2"]).drop("g1", "g2")
 
 
 def longest_runs(pairs: DataFrame, n: int = 6) -> DataFrame:
