@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from corpusloom.functions.udfs import longest_common
+from corpusloom.functions.udfs import longest_common, ratio, same_characters
 from corpusloom.plans import corpus
 
 
@@ -56,3 +56,18 @@ def test_classify_route_pairs(spark, clips):
 def test_ngrams_are_not_broadcast_by_estimate(spark, clips):
     for q in (corpus.seed_anchor, corpus.seed_best_run, corpus.classify_route):
         assert broadcasts(q(spark, clips[0])) == 0, q.__name__
+
+
+def test_text_similarity_pairs(spark, clips):
+    d, rows = clips
+    text = {k: " ".join(words(t)) for k, t, _ in rows if t is not None}
+    df = corpus.text_similarity(spark, d)
+    assert {(r.book_key, r.heard_key): r.sim for r in df.collect()} == {(b, h): round(ratio(text[b], text[h]), 6) for b, h in pairs(rows)}
+    assert broadcasts(df) == 0
+
+
+def test_same_characters_is_difflibs_count():
+    rng = random.Random(1)
+    for k in range(3000):
+        p, q = ("".join(rng.choices(("ab", "abc ", "abcdefgh é")[k % 3], k=rng.randrange(30))) for _ in range(2))
+        assert 2.0 * same_characters(p, q) / (len(p) + len(q) or 1) == (ratio(p, q) if p or q else 0.0)
